@@ -28,8 +28,11 @@ site_cls AS (
               ELSE 'Low' END AS congestion
   FROM site_counts CROSS JOIN site_tot
 ),
-area AS (
-  SELECT c.c_custkey, n.n_name FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+dim AS (
+  SELECT c.c_custkey, n.n_name, s.is_hot, s.congestion
+  FROM customer c
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey
+  LEFT JOIN site_cls s ON c.c_custkey = s.site
 )"""
 
 
@@ -56,33 +59,31 @@ def _time_cols(ts: str) -> str:
 INCIDENTS = f"""WITH {_site_sql('events', 'user_id')},
 inc AS (
   SELECT e.event_id AS DR_Number, {_time_cols('e.ts')},
-    a.n_name AS Area_Name,
+    d.n_name AS Area_Name,
     CASE WHEN e.event_type = 'error' THEN 'major' WHEN e.event_type IS NOT NULL THEN 'minor' END
       AS Collision_Severity,
     e.event_type AS Road_Type,
-    s.is_hot AS Is_Hotspot,
-    s.congestion AS Congestion_Index,
+    d.is_hot AS Is_Hotspot,
+    d.congestion AS Congestion_Index,
     CAST(e.user_id AS VARCHAR) AS Address,
     e.value AS Victim_Age
   FROM events e
-  LEFT JOIN area a ON e.user_id = a.c_custkey
-  LEFT JOIN site_cls s ON e.user_id = s.site
+  LEFT JOIN dim d ON e.user_id = d.c_custkey
 )"""
 
 INCIDENTS_LONG = f"""WITH {_site_sql('orders', 'o_custkey')},
 inc AS (
   SELECT o.o_orderkey AS DR_Number, {_time_cols('o.o_orderdate')},
-    a.n_name AS Area_Name,
+    d.n_name AS Area_Name,
     CASE WHEN o.o_orderpriority IN ('1-URGENT', '2-HIGH') THEN 'major'
          WHEN o.o_orderpriority IS NOT NULL THEN 'minor' END AS Collision_Severity,
     o.o_orderstatus AS Road_Type,
-    s.is_hot AS Is_Hotspot,
-    s.congestion AS Congestion_Index,
+    d.is_hot AS Is_Hotspot,
+    d.congestion AS Congestion_Index,
     CAST(o.o_custkey AS VARCHAR) AS Address,
     o.o_totalprice AS Victim_Age
   FROM orders o
-  LEFT JOIN area a ON o.o_custkey = a.c_custkey
-  LEFT JOIN site_cls s ON o.o_custkey = s.site
+  LEFT JOIN dim d ON o.o_custkey = d.c_custkey
 )"""
 
 _MEAN = "CAST(SUM(CAST(Victim_Age AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(Victim_Age) AS DOUBLE)"

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.enrich import day_name, hour_band, is_weekend, season
-from ..operators.combine import broadcast_if_small
+from ..operators.combine import bounded_rows, broadcast_if_small
 
 # Fixed values of the own rules above (percent of the mean site share).
 HOTSPOT_PCT = 115
@@ -52,6 +52,8 @@ CONGESTION_ELSE = "Low"
 MAJOR, MINOR = "major", "minor"
 URGENT_PRIORITIES = ["1-URGENT", "2-HIGH"]
 NATION_ROWS_BOUND = 10_000
+# Customers (sites) at or below this count are broadcast to the fact side.
+SITE_DIM_ROWS_BOUND = 1_000_000
 
 ALL_COLUMNS = [
     "DR_Number", "Date_Occurred", "Hour", "Area_Name", "Day_of_Week", "Time_of_Day",
@@ -114,6 +116,21 @@ def site_classes(fact: DataFrame, site: str) -> DataFrame:
     )
 
 
+def site_dimension(
+    spark: SparkSession, sf_dir: str, fact: DataFrame, site: str, with_classes: bool
+) -> DataFrame:
+    """One row per customer: c_custkey, Area_Name and, when asked, the site classes.
+
+    Area and site classes are folded into one dimension so the fact table is
+    joined once (one shuffle of the fact at most, one place for AQE to split a
+    hot key); a row whose site is not a known customer gets null area and class.
+    """
+    dim = area_lookup(spark, sf_dir)
+    if with_classes:
+        dim = dim.join(site_classes(fact, site), F.col("c_custkey") == F.col("_site"), "left").drop("_site")
+    return dim
+
+
 def _build(
     fact: DataFrame,
     spark: SparkSession,
@@ -126,11 +143,16 @@ def _build(
     unknown = [c for c in wanted if c not in ALL_COLUMNS]
     if unknown:
         raise ValueError(f"unknown incident columns: {unknown}")
+    need_site = bool(_SITE_COLS & set(wanted))
     df = fact
-    if _AREA_COLS & set(wanted):
-        df = df.join(area_lookup(spark, sf_dir), F.col(site) == F.col("c_custkey"), "left")
-    if _SITE_COLS & set(wanted):
-        df = df.join(site_classes(fact, site), F.col(site) == F.col("_site"), "left")
+    if need_site or _AREA_COLS & set(wanted):
+        dim = site_dimension(spark, sf_dir, fact, site, need_site)
+        # The dimension has one row per customer: broadcast it only when the
+        # customer table is proven small, else a shuffle join (AQE splits a
+        # skewed site key of the fact side).
+        if bounded_rows(table(spark, sf_dir, "customer"), SITE_DIM_ROWS_BOUND):
+            dim = F.broadcast(dim)
+        df = df.join(dim, F.col(site) == F.col("c_custkey"), "left")
     out = []
     for name in wanted:
         expr = F.col(name) if name in _AREA_COLS | _SITE_COLS else exprs[name]
