@@ -31,6 +31,29 @@ def pivot_counts(
     return out
 
 
+def pivot_sum(
+    cube: DataFrame,
+    row_key: str,
+    pivot_col: str,
+    values: Sequence,
+    value: str,
+    names: Sequence[str] | None = None,
+    total: str | None = None,
+) -> DataFrame:
+    """Pivot an already aggregated cube: one column per given value holding the
+    sum of ``value`` for it (0 when absent), plus an optional row total over all
+    cells. The cube has one row per (row_key, pivot value), so this second
+    aggregation is small whatever the size of the base table."""
+    labels = list(names) if names else [str(v) for v in values]
+    aggs = [
+        F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(value)).otherwise(F.lit(0))).alias(label)
+        for v, label in zip(values, labels)
+    ]
+    if total:
+        aggs.append(F.sum(value).alias(total))
+    return cube.groupBy(row_key).agg(*aggs)
+
+
 def dense_grid(cube: DataFrame, row_key: str, hour_col: str, value: str, hours: int = 24) -> DataFrame:
     """Every (row_key, hour) pair for the row keys present in ``cube``, with the
     cube's value or 0. The grid has exactly ``hours`` rows per key (a fixed

@@ -50,16 +50,20 @@ def count_by(
     return df.groupBy(*ks).agg(count_measure(id_col).alias(alias))
 
 
+def decimal_type(scale: int) -> T.DecimalType:
+    """Decimal used for exact sums of a measure kept to ``scale`` digits."""
+    if not 0 <= scale <= 8:
+        raise ValueError("scale must be between 0 and 8")
+    return T.DecimalType(18, scale)
+
+
 def exact_mean(col: str, scale: int | None = None) -> Column:
     """Mean ignoring nulls. With ``scale`` the sum is taken exactly in decimal
     (values rounded to ``scale`` digits) and divided once in double, so the result
     does not depend on the order rows are summed in."""
     if scale is None:
         return F.avg(col)
-    if not 0 <= scale <= 8:
-        raise ValueError("scale must be between 0 and 8")
-    dec = T.DecimalType(18, scale)
-    total = F.sum(F.col(col).cast(dec)).cast("double")
+    total = F.sum(F.col(col).cast(decimal_type(scale))).cast("double")
     return F.try_divide(total, F.count(F.col(col)).cast("double"))
 
 

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims, formatting, predicates
@@ -164,29 +164,54 @@ def _area_peaks(df: DataFrame) -> DataFrame:
 def area_peak_percent(df: DataFrame) -> DataFrame:
     """Area total, peak hour, peak count and the peak's percent of the total.
 
-    Both sides of the join have one row per area; the peaks side is broadcast
-    after a checked bound.
+    One aggregation to the (area, hour) cube -- null hours kept as a cell so the
+    total counts them -- then one window pass per area (at most 25 cells each):
+    the total is the sum of the area's cells, the peak the first non-null hour
+    by count desc, hour asc. Areas without a known hour drop out, as an inner
+    join of totals and peaks would do.
     """
-    totals = area_rows(df).withColumnRenamed(CCOUNT, TOTAL)
-    peaks = _area_peaks(df).select(
-        "Area_Name", F.col("Hour").alias("Peak_Hour"), F.col(CCOUNT).alias("Peak_Hour_Collisions")
-    )
+    cube = rollups.count_by(df, ["Area_Name", "Hour"], CCOUNT, id_col=None, null_keys="keep",
+                            where=F.col("Area_Name").isNotNull())
+    per_area = Window.partitionBy("Area_Name")
+    first = per_area.orderBy(F.col("Hour").isNull(), F.col(CCOUNT).desc(), F.col("Hour").asc())
     return (
-        combine.attach(totals, peaks, "Area_Name", how="inner")
-        .withColumn("Peak_Pct", trends.pct("Peak_Hour_Collisions", TOTAL))
-        .select("Area_Name", TOTAL, "Peak_Hour", "Peak_Hour_Collisions", "Peak_Pct")
+        cube.withColumn(TOTAL, F.sum(CCOUNT).over(per_area))
+        .withColumn("_rn", F.row_number().over(first))
+        .where((F.col("_rn") == 1) & F.col("Hour").isNotNull())
+        .select(
+            "Area_Name", TOTAL, F.col("Hour").alias("Peak_Hour"),
+            F.col(CCOUNT).alias("Peak_Hour_Collisions"),
+            trends.pct(CCOUNT, TOTAL).alias("Peak_Pct"),
+        )
         .orderBy(*_desc(TOTAL, "Area_Name"))
     )
 
 
 def hotspot_with_peak(df: DataFrame) -> DataFrame:
-    """Hotspot (area, address) counts with the area's peak hour attached."""
-    hot = rollups.count_by(
-        df.where(predicates.is_true("Is_Hotspot")), ["Area_Name", "Address"], CCOUNT, id_col=None, null_keys="drop"
+    """Hotspot (area, address) counts with the area's peak hour attached.
+
+    Both inputs come from ONE scan: grouping sets (area, hour) and (area,
+    address) are aggregated together; the per-area peak (one row per area) is
+    then joined onto the hotspot addresses.
+    """
+    named = df.where(F.col("Area_Name").isNotNull())
+    sets = named.groupingSets(
+        [["Area_Name", "Hour"], ["Area_Name", "Address"]], "Area_Name", "Hour", "Address"
+    ).agg(
+        F.count(F.lit(1)).alias("_rows"),
+        F.count_if(predicates.is_true("Is_Hotspot")).alias("_hot"),
+        F.grouping_id().alias("_set"),
+    )
+    # grouping_id bit set = column aggregated away: Address is the last column.
+    by_hour = sets.where((F.col("_set") == 1) & F.col("Hour").isNotNull())
+    peaks = ranking.peak(by_hour, "Area_Name", "_rows", by="Hour", ties="first").select(
+        "Area_Name", F.col("Hour").alias("Area_Peak_Hour")
+    )
+    hot = sets.where((F.col("_set") == 2) & F.col("Address").isNotNull() & (F.col("_hot") > 0)).select(
+        "Area_Name", "Address", F.col("_hot").alias(CCOUNT)
     )
-    peaks = _area_peaks(df).select("Area_Name", F.col("Hour").alias("Area_Peak_Hour"))
     return (
-        combine.attach(hot, peaks, "Area_Name", how="inner")
+        hot.join(peaks, "Area_Name", "inner")
         .select("Area_Name", "Address", CCOUNT, "Area_Peak_Hour")
         .orderBy(*_desc(CCOUNT, "Area_Name", "Address"))
     )
@@ -292,19 +317,51 @@ def top10_areas_overlay(df: DataFrame, n: int = 10, scale: int | None = 2) -> Da
 
 
 def severity_matrix(df: DataFrame, severities: Sequence[str] = ("Injury Involved", "Property Damage Only"), top: int | None = None) -> DataFrame:
-    """Area x severity counts (missing -> 0) with the area total, by total."""
-    named = df.where(F.col("Area_Name").isNotNull())
-    pivot = matrix.pivot_counts(named, "Area_Name", "Collision_Severity", list(severities))
-    totals = _chart_count(df, "Area_Name")
-    out = pivot.join(totals, "Area_Name", "inner")
+    """Area x severity counts (missing -> 0) with the area total, by total.
+
+    One aggregation to the (area, severity) cube; the matrix and the total are
+    both sums over the cube's cells.
+    """
+    cube = rollups.count_by(df, ["Area_Name", "Collision_Severity"], "_n", where=F.col("Area_Name").isNotNull())
+    out = matrix.pivot_sum(cube, "Area_Name", "Collision_Severity", list(severities), "_n", total=TOTAL)
     order = _desc(TOTAL, "Area_Name")
     return ranking.top_n(out, top, order) if top else out.orderBy(*order)
 
 
 def area_stats_with_peak(df: DataFrame, scale: int | None = 2) -> DataFrame:
-    peaks = ranking.peak(area_hour_cube(df, family="chart"), "Area_Name", "Hourly_Count", by="Hour", ties="first")
-    peaks = peaks.select("Area_Name", F.col("Hour").alias("Peak_Hour"), F.col("Hourly_Count").alias("Peak_Collisions"))
-    return combine.attach(area_stats(df, scale), peaks, "Area_Name", how="left").orderBy(*_desc(TOTAL, "Area_Name"))
+    """Area stats with the peak hour (lowest on ties), null peak when an area has
+    no known hour. One aggregation to an (area, hour) cube of additive measures
+    (counts, exact decimal sums); stats and peak are window sums over its cells."""
+    measure = F.col("Victim_Age") if scale is None else F.col("Victim_Age").cast(rollups.decimal_type(scale))
+    cube = (
+        df.where(F.col("Area_Name").isNotNull())
+        .groupBy("Area_Name", "Hour")
+        .agg(
+            rollups.count_measure(ID).alias("_n"),
+            F.count_if(predicates.is_true("Is_Hotspot")).alias("_hot"),
+            F.sum(measure).alias("_sum"),
+            F.count("Victim_Age").alias("_cnt"),
+        )
+    )
+    per_area = Window.partitionBy("Area_Name")
+    first = per_area.orderBy(F.col("Hour").isNull(), F.col("_n").desc(), F.col("Hour").asc())
+    peak_known = F.col("Hour").isNotNull()
+    return (
+        cube.withColumns({
+            TOTAL: F.sum("_n").over(per_area),
+            "Hotspot_Count": F.sum("_hot").over(per_area),
+            "Avg_Victim_Age": F.try_divide(
+                F.sum("_sum").over(per_area).cast("double"), F.sum("_cnt").over(per_area).cast("double")),
+            "_rn": F.row_number().over(first),
+        })
+        .where(F.col("_rn") == 1)
+        .select(
+            "Area_Name", TOTAL, "Hotspot_Count", "Avg_Victim_Age",
+            F.when(peak_known, F.col("Hour")).alias("Peak_Hour"),
+            F.when(peak_known, F.col("_n")).alias("Peak_Collisions"),
+        )
+        .orderBy(*_desc(TOTAL, "Area_Name"))
+    )
 
 
 def monthly_profile(df: DataFrame) -> DataFrame:
@@ -340,11 +397,11 @@ HOUR_COLUMNS = [f"H{h:02d}" for h in range(24)]
 
 
 def area_hour_heatmap(df: DataFrame) -> DataFrame:
-    """Area x hour matrix (24 fixed columns H00..H23, missing -> 0), by area total."""
-    named = df.where(F.col("Area_Name").isNotNull())
-    pivot = matrix.pivot_counts(named, "Area_Name", "Hour", list(range(24)), names=HOUR_COLUMNS)
-    totals = _chart_count(df, "Area_Name")
-    return pivot.join(totals, "Area_Name", "inner").orderBy(*_desc(TOTAL, "Area_Name"))
+    """Area x hour matrix (24 fixed columns H00..H23, missing -> 0), by area total.
+    One aggregation to the (area, hour) cube; cells and total are sums over it."""
+    cube = rollups.count_by(df, ["Area_Name", "Hour"], "_n", where=F.col("Area_Name").isNotNull())
+    out = matrix.pivot_sum(cube, "Area_Name", "Hour", list(range(24)), "_n", names=HOUR_COLUMNS, total=TOTAL)
+    return out.orderBy(*_desc(TOTAL, "Area_Name"))
 
 
 def hour_envelope(df: DataFrame) -> DataFrame:

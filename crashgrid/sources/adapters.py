@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.enrich import day_name, hour_band, is_weekend, season
-from ..operators.combine import bounded_rows, broadcast_if_small
+from ..operators.combine import bounded_table_rows
 
 # Fixed values of the own rules above (percent of the mean site share).
 HOTSPOT_PCT = 115
@@ -75,7 +75,8 @@ def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey"), F.col("n_name").alias("Area_Name")
     )
-    nation = broadcast_if_small(nation, NATION_ROWS_BOUND)
+    if bounded_table_rows(nation, f"{sf_dir}/nation", NATION_ROWS_BOUND):
+        nation = F.broadcast(nation)
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "Area_Name"
     )
@@ -150,7 +151,8 @@ def _build(
         # The dimension has one row per customer: broadcast it only when the
         # customer table is proven small, else a shuffle join (AQE splits a
         # skewed site key of the fact side).
-        if bounded_rows(table(spark, sf_dir, "customer"), SITE_DIM_ROWS_BOUND):
+        customers = table(spark, sf_dir, "customer")
+        if bounded_table_rows(customers, f"{sf_dir}/customer", SITE_DIM_ROWS_BOUND):
             dim = F.broadcast(dim)
         df = df.join(dim, F.col(site) == F.col("c_custkey"), "left")
     out = []
