@@ -17,6 +17,15 @@ from ..functions.predicates import not_null
 
 NULL_KEYS = ("keep", "drop")
 
+# A "weighted" frame is a pre-aggregated cube: each row stands for many rows of
+# the base table and carries these additive measures. Every helper below gives
+# the same answer on the base table and on a cube of it.
+W_ID = "_w_id"        # count of non-null ids
+W_ROWS = "_w_rows"    # count of rows
+W_SUM = "_w_sum"      # exact (decimal) sum of the measure
+W_CNT = "_w_cnt"      # count of non-null measure values
+WEIGHTS = (W_ID, W_ROWS, W_SUM, W_CNT)
+
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
     return [keys] if isinstance(keys, str) else list(keys)
@@ -27,6 +36,59 @@ def count_measure(id_col: str | None = "DR_Number") -> Column:
     return F.count(F.col(id_col)) if id_col else F.count(F.lit(1))
 
 
+def is_weighted(df: DataFrame) -> bool:
+    return W_ROWS in df.columns
+
+
+def count_col(df: DataFrame, id_col: str | None = "DR_Number") -> Column:
+    """``count(id)`` / row count on a base frame; the matching weight sum on a cube."""
+    if is_weighted(df):
+        return F.sum(W_ID if id_col else W_ROWS)
+    return count_measure(id_col)
+
+
+def count_if_col(df: DataFrame, cond: Column) -> Column:
+    """Rows where ``cond`` holds (null counts as false)."""
+    if is_weighted(df):
+        return F.sum(F.when(F.coalesce(cond, F.lit(False)), F.col(W_ROWS)).otherwise(F.lit(0)))
+    return F.count_if(F.coalesce(cond, F.lit(False)))
+
+
+def sum_parts(df: DataFrame, measure: str, scale: int | None) -> tuple[Column, Column]:
+    """(sum, count) of a measure, additive so they can be summed again."""
+    if is_weighted(df):
+        return F.sum(W_SUM), F.sum(W_CNT)
+    value = F.col(measure) if scale is None else F.col(measure).cast(decimal_type(scale))
+    return F.sum(value), F.count(measure)
+
+
+def mean_col(df: DataFrame, measure: str, scale: int | None = None) -> Column:
+    if is_weighted(df):
+        total, cnt = sum_parts(df, measure, scale)
+        return F.try_divide(total.cast("double"), cnt.cast("double"))
+    return exact_mean(measure, scale)
+
+
+def weighted_cube(
+    df: DataFrame,
+    grain: Sequence[str],
+    id_col: str = "DR_Number",
+    measure: str | None = "Victim_Age",
+    scale: int | None = 2,
+) -> DataFrame:
+    """Aggregate the base table once to ``grain`` with additive weights.
+
+    The cube's size is bounded by the product of the grain's domains, not by
+    the number of rows; every count, conditional count and exact mean over any
+    subset of the grain can then be computed from it.
+    """
+    aggs = [count_measure(id_col).alias(W_ID), F.count(F.lit(1)).alias(W_ROWS)]
+    if measure is not None:
+        total, cnt = sum_parts(df, measure, scale)
+        aggs += [total.alias(W_SUM), cnt.alias(W_CNT)]
+    return df.groupBy(*grain).agg(*aggs)
+
+
 def count_by(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -47,7 +109,7 @@ def count_by(
         df = df.where(where)
     if null_keys == "drop":
         df = df.where(not_null(*ks))
-    return df.groupBy(*ks).agg(count_measure(id_col).alias(alias))
+    return df.groupBy(*ks).agg(count_col(df, id_col).alias(alias))
 
 
 def decimal_type(scale: int) -> T.DecimalType:
@@ -77,14 +139,14 @@ def count_and_mean(
     scale: int | None = None,
 ) -> DataFrame:
     return df.groupBy(*_keys(keys)).agg(
-        count_measure(id_col).alias(count_alias),
-        exact_mean(measure, scale).alias(mean_alias),
+        count_col(df, id_col).alias(count_alias),
+        mean_col(df, measure, scale).alias(mean_alias),
     )
 
 
 def scenario_counts(df: DataFrame, scenarios: Mapping[str, Column]) -> DataFrame:
     """One row, one column per named predicate: all counts in a single pass."""
-    return df.agg(*[F.count_if(F.coalesce(cond, F.lit(False))).alias(name) for name, cond in scenarios.items()])
+    return df.agg(*[count_if_col(df, cond).alias(name) for name, cond in scenarios.items()])
 
 
 def distinct_count_by(

@@ -63,6 +63,7 @@ QUERIES: dict[str, Query] = {
         _q("congestion_by_area", partial(R.congestion_by_area, road_value=ROAD_VALUE), SHORT,
            _ID, "Area_Name", "Congestion_Index", "Road_Type"),
         _q("hotspot_addresses", R.hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
+        _q("top15_hotspot_addresses", R.top15_hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
         _q("severity_by_area", R.severity_by_area, SHORT, _ID, "Area_Name", "Collision_Severity"),
         _q("severity_matrix", partial(R.severity_matrix, severities=SEVERITIES), SHORT,
            _ID, "Area_Name", "Collision_Severity"),
@@ -71,6 +72,7 @@ QUERIES: dict[str, Query] = {
         _q("area_peak_percent", R.area_peak_percent, SHORT, "Area_Name", "Hour"),
         _q("hotspot_with_peak", R.hotspot_with_peak, SHORT, "Area_Name", "Hour", "Address", "Is_Hotspot"),
         _q("area_stats_with_peak", R.area_stats_with_peak, SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
+        _q("top5_area_peaks", R.top5_area_peaks, SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
         _q("yearly_trend", R.yearly_trend, LONG, _ID, "Year"),
         _q("yearly_direction", R.yearly_direction, LONG, "Year"),
         _q("monthly_trend", R.monthly_trend, LONG, _ID, "Month", "Season"),

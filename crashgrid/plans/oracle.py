@@ -182,6 +182,10 @@ GROUP BY Area_Name, Congestion_Index ORDER BY Collision_Count DESC""",
     "hotspot_addresses": f"""{INCIDENTS}
 SELECT Address, Area_Name, COUNT(DR_Number) AS Collision_Count FROM inc
 WHERE Is_Hotspot GROUP BY Address, Area_Name ORDER BY Collision_Count DESC""",
+    "top15_hotspot_addresses": f"""{INCIDENTS}
+SELECT Address, Area_Name, COUNT(DR_Number) AS Collision_Count FROM inc
+WHERE Is_Hotspot GROUP BY Address, Area_Name
+ORDER BY Collision_Count DESC, Address, Area_Name LIMIT 15""",
     "severity_by_area": f"""{INCIDENTS}
 SELECT Area_Name, Collision_Severity, COUNT(DR_Number) AS Count FROM inc
 GROUP BY Area_Name, Collision_Severity ORDER BY Area_Name, Count DESC""",
@@ -222,6 +226,13 @@ pk AS (
 )
 SELECT st.*, pk.Peak_Hour, pk.Peak_Collisions FROM st LEFT JOIN pk ON st.Area_Name = pk.Area_Name
 ORDER BY Total_Collisions DESC""",
+    "top5_area_peaks": f"""{INCIDENTS}, {_AREA_STATS}, {_CHART_CUBE},
+pk AS (
+  SELECT Area_Name, Hour AS Peak_Hour, Collision_Count AS Peak_Collisions FROM cube
+  QUALIFY row_number() OVER (PARTITION BY Area_Name ORDER BY Collision_Count DESC, Hour) = 1
+)
+SELECT st.*, pk.Peak_Hour, pk.Peak_Collisions FROM st LEFT JOIN pk ON st.Area_Name = pk.Area_Name
+ORDER BY Total_Collisions DESC, st.Area_Name LIMIT 5""",
     "yearly_trend": f"""{INCIDENTS_LONG}
 SELECT Year, COUNT(DR_Number) AS Total_Collisions FROM inc WHERE Year IS NOT NULL
 GROUP BY Year ORDER BY Year""",

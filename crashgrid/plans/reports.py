@@ -65,6 +65,11 @@ def hotspot_addresses(df: DataFrame) -> DataFrame:
     ).orderBy(*_desc(CCOUNT, "Address", "Area_Name"))
 
 
+def top15_hotspot_addresses(df: DataFrame, n: int = 15) -> DataFrame:
+    """The hotspot report's top rows (count desc, then address, area)."""
+    return ranking.top_n(hotspot_addresses(df), n, _desc(CCOUNT, "Address", "Area_Name"))
+
+
 def severity_by_area(df: DataFrame) -> DataFrame:
     return rollups.count_by(df, ["Area_Name", "Collision_Severity"], "Count").orderBy(
         F.col("Area_Name").asc_nulls_first(), F.col("Count").desc(), F.col("Collision_Severity").asc_nulls_first()
@@ -198,8 +203,8 @@ def hotspot_with_peak(df: DataFrame) -> DataFrame:
     sets = named.groupingSets(
         [["Area_Name", "Hour"], ["Area_Name", "Address"]], "Area_Name", "Hour", "Address"
     ).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(predicates.is_true("Is_Hotspot")).alias("_hot"),
+        rollups.count_col(named, None).alias("_rows"),
+        rollups.count_if_col(named, predicates.is_true("Is_Hotspot")).alias("_hot"),
         F.grouping_id().alias("_set"),
     )
     # grouping_id bit set = column aggregated away: Address is the last column.
@@ -272,7 +277,7 @@ def weekend_daily_average(df: DataFrame) -> DataFrame:
     return (
         df.where(F.col("Is_Weekend").isNotNull())
         .groupBy("Is_Weekend")
-        .agg(rollups.count_measure(ID).alias(TOTAL), F.count_distinct("Date_Occurred").alias("Distinct_Days"))
+        .agg(rollups.count_col(df, ID).alias(TOTAL), F.count_distinct("Date_Occurred").alias("Distinct_Days"))
         .withColumn("Avg_Daily", trends.ratio(TOTAL, "Distinct_Days"))
         .orderBy("Is_Weekend")
     )
@@ -303,9 +308,9 @@ def area_stats(df: DataFrame, scale: int | None = 2) -> DataFrame:
         df.where(F.col("Area_Name").isNotNull())
         .groupBy("Area_Name")
         .agg(
-            rollups.count_measure(ID).alias(TOTAL),
-            F.count_if(predicates.is_true("Is_Hotspot")).alias("Hotspot_Count"),
-            rollups.exact_mean("Victim_Age", scale).alias("Avg_Victim_Age"),
+            rollups.count_col(df, ID).alias(TOTAL),
+            rollups.count_if_col(df, predicates.is_true("Is_Hotspot")).alias("Hotspot_Count"),
+            rollups.mean_col(df, "Victim_Age", scale).alias("Avg_Victim_Age"),
         )
         .orderBy(*_desc(TOTAL, "Area_Name"))
     )
@@ -332,15 +337,15 @@ def area_stats_with_peak(df: DataFrame, scale: int | None = 2) -> DataFrame:
     """Area stats with the peak hour (lowest on ties), null peak when an area has
     no known hour. One aggregation to an (area, hour) cube of additive measures
     (counts, exact decimal sums); stats and peak are window sums over its cells."""
-    measure = F.col("Victim_Age") if scale is None else F.col("Victim_Age").cast(rollups.decimal_type(scale))
+    total, cnt = rollups.sum_parts(df, "Victim_Age", scale)
     cube = (
         df.where(F.col("Area_Name").isNotNull())
         .groupBy("Area_Name", "Hour")
         .agg(
-            rollups.count_measure(ID).alias("_n"),
-            F.count_if(predicates.is_true("Is_Hotspot")).alias("_hot"),
-            F.sum(measure).alias("_sum"),
-            F.count("Victim_Age").alias("_cnt"),
+            rollups.count_col(df, ID).alias("_n"),
+            rollups.count_if_col(df, predicates.is_true("Is_Hotspot")).alias("_hot"),
+            total.alias("_sum"),
+            cnt.alias("_cnt"),
         )
     )
     per_area = Window.partitionBy("Area_Name")
@@ -364,6 +369,11 @@ def area_stats_with_peak(df: DataFrame, scale: int | None = 2) -> DataFrame:
     )
 
 
+def top5_area_peaks(df: DataFrame, n: int = 5, scale: int | None = 2) -> DataFrame:
+    """The first areas of the stats-with-peak table (the annotated points)."""
+    return ranking.top_n(area_stats_with_peak(df, scale), n, _desc(TOTAL, "Area_Name"))
+
+
 def monthly_profile(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     mt = _chart_count(df, ["Month", "Season"])
