@@ -82,6 +82,8 @@ def weighted_cube(
     the number of rows; every count, conditional count and exact mean over any
     subset of the grain can then be computed from it.
     """
+    if is_weighted(df):  # re-aggregating a cube to a coarser grain
+        return df.groupBy(*grain).agg(*[F.sum(w).alias(w) for w in WEIGHTS if w in df.columns])
     aggs = [count_measure(id_col).alias(W_ID), F.count(F.lit(1)).alias(W_ROWS)]
     if measure is not None:
         total, cnt = sum_parts(df, measure, scale)

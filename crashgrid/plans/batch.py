@@ -27,12 +27,11 @@ from ..sources import adapters
 from . import catalogue
 
 ROW_LEVEL_COLUMNS = {"Address", "Latitude", "Longitude"}
-ROW_LEVEL_QUERIES = {"evening_rush_rows"}
 WEIGHT_COLUMNS = {"DR_Number", "Victim_Age"}
 
 
 def needs_rows(q: catalogue.Query) -> bool:
-    return q.name in ROW_LEVEL_QUERIES or bool(ROW_LEVEL_COLUMNS & set(q.columns))
+    return q.rows or bool(ROW_LEVEL_COLUMNS & set(q.columns))
 
 
 def cube_grain(queries: Iterable[catalogue.Query]) -> list[str]:

@@ -34,15 +34,17 @@ class Query:
     fn: Callable[[DataFrame], DataFrame]
     source: str
     columns: tuple[str, ...]
-    notes: str = field(default="")
+    rows: bool = field(default=False)
 
     def build(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         make = adapters.incidents if self.source == SHORT else adapters.incidents_long
-        return self.fn(make(spark, sf_dir, self.columns))
+        return self.fn(make(spark, sf_dir, self.columns, rows=self.rows))
 
 
-def _q(name, fn, source, *columns, notes=""):
-    return Query(name, fn, source, tuple(columns), notes)
+def _q(name, fn, source, *columns, rows=False):
+    """``rows=True``: the result lists base rows, so the source is never
+    pre-aggregated into weights."""
+    return Query(name, fn, source, tuple(columns), rows)
 
 
 _ID = "DR_Number"
@@ -85,7 +87,8 @@ QUERIES: dict[str, Query] = {
         _q("rush_breakdown", R.rush_breakdown, SHORT, _ID, "Hour", "Time_of_Day"),
         _q("scenario_counts", partial(R.scenario_counts, road_value=ROAD_VALUE, injury_value=INJURY_VALUE), SHORT,
            "Hour", "Road_Type", "Is_Hotspot", "Collision_Severity"),
-        _q("evening_rush_rows", R.evening_rush_rows, SHORT, _ID, "Area_Name", "Hour", "Address", "Collision_Severity"),
+        _q("evening_rush_rows", R.evening_rush_rows, SHORT, _ID, "Area_Name", "Hour", "Address", "Collision_Severity",
+           rows=True),
         _q("hourly_rows", R.hourly_rows, SHORT, "Hour"),
         _q("area_rows", R.area_rows, SHORT, "Area_Name"),
         _q("area_hour_rows", R.area_hour_rows, SHORT, "Area_Name", "Hour"),

@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.enrich import day_name, hour_band, is_weekend, season
+from ..operators import rollups
 from ..operators.combine import bounded_table_rows
 
 # Fixed values of the own rules above (percent of the mean site share).
@@ -61,6 +62,10 @@ ALL_COLUMNS = [
     "Is_Hotspot", "Congestion_Index", "Address", "Latitude", "Longitude", "Victim_Age",
 ]
 _AREA_COLS = {"Area_Name"}
+# Row columns only ever counted or averaged: carried as weights when the fact is
+# pre-aggregated before a shuffle join.
+_WEIGHT_SOURCES = ("DR_Number", "Victim_Age")
+MEASURE_SCALE = 2
 _SITE_COLS = {"Is_Hotspot", "Congestion_Index"}
 
 
@@ -139,27 +144,45 @@ def _build(
     site: str,
     exprs: dict[str, Column],
     columns: Iterable[str] | None,
+    rows: bool = False,
 ) -> DataFrame:
+    """Select the wanted columns, joining the site dimension only when needed.
+
+    Join strategy:
+
+    * customers proven few -> broadcast the dimension; the fact is not shuffled.
+    * otherwise, for aggregate queries (``rows=False``) -> the fact is first
+      aggregated on (site, the fact-side columns wanted) into additive weights
+      (see ``operators.rollups``), then shuffle-joined. Partial aggregation runs
+      map-side, so a site holding a third of all rows reaches the join as a few
+      rows per distinct label combination: no hot task, and far less shuffled.
+    * otherwise, for row-level queries -> a plain shuffle join; the dimension
+      side is a single shuffle stage, so AQE's skew-join split applies.
+    """
     wanted = list(ALL_COLUMNS if columns is None else columns)
     unknown = [c for c in wanted if c not in ALL_COLUMNS]
     if unknown:
         raise ValueError(f"unknown incident columns: {unknown}")
     need_site = bool(_SITE_COLS & set(wanted))
-    df = fact
-    if need_site or _AREA_COLS & set(wanted):
-        dim = site_dimension(spark, sf_dir, fact, site, need_site)
-        # The dimension has one row per customer: broadcast it only when the
-        # customer table is proven small, else a shuffle join (AQE splits a
-        # skewed site key of the fact side).
-        customers = table(spark, sf_dir, "customer")
-        if bounded_table_rows(customers, f"{sf_dir}/customer", SITE_DIM_ROWS_BOUND):
-            dim = F.broadcast(dim)
-        df = df.join(dim, F.col(site) == F.col("c_custkey"), "left")
-    out = []
-    for name in wanted:
-        expr = F.col(name) if name in _AREA_COLS | _SITE_COLS else exprs[name]
-        out.append(expr.alias(name))
-    return df.select(*out)
+    dim_cols = _AREA_COLS | _SITE_COLS
+    if not (need_site or _AREA_COLS & set(wanted)):
+        return fact.select(*[exprs[c].alias(c) for c in wanted])
+
+    dim = site_dimension(spark, sf_dir, fact, site, need_site)
+    on = F.col(site) == F.col("c_custkey")
+    customers = table(spark, sf_dir, "customer")
+    if bounded_table_rows(customers, f"{sf_dir}/customer", SITE_DIM_ROWS_BOUND):
+        df = fact.join(F.broadcast(dim), on, "left")
+    elif rows:
+        df = fact.join(dim, on, "left")
+    else:
+        keys = [c for c in wanted if c not in dim_cols and c not in _WEIGHT_SOURCES]
+        pre = fact.select(F.col(site), *[exprs[c].alias(c) for c in keys + list(_WEIGHT_SOURCES)])
+        pre = rollups.weighted_cube(pre, [site] + keys, id_col="DR_Number", measure="Victim_Age",
+                                    scale=MEASURE_SCALE)
+        joined = pre.join(dim, on, "left")
+        return joined.select(*[F.col(c) for c in wanted if c not in _WEIGHT_SOURCES], *rollups.WEIGHTS)
+    return df.select(*[(F.col(c) if c in dim_cols else exprs[c]).alias(c) for c in wanted])
 
 
 def _time_exprs(ts: Column) -> dict[str, Column]:
@@ -177,8 +200,11 @@ def _time_exprs(ts: Column) -> dict[str, Column]:
     }
 
 
-def incidents(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
-    """Events as incidents (see module doc). ``columns`` limits what is built."""
+def incidents(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, rows: bool = False
+) -> DataFrame:
+    """Events as incidents (see module doc). ``columns`` limits what is built;
+    ``rows=True`` promises one output row per event (never pre-aggregated)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     ts = F.col("ts")
     exprs = _time_exprs(ts) | {
@@ -189,10 +215,12 @@ def incidents(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None =
         "Address": F.col("user_id").cast("string"),
         "Victim_Age": F.col("value"),
     }
-    return _build(ev, spark, sf_dir, "user_id", exprs, columns)
+    return _build(ev, spark, sf_dir, "user_id", exprs, columns, rows)
 
 
-def incidents_long(spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None) -> DataFrame:
+def incidents_long(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, rows: bool = False
+) -> DataFrame:
     """Orders as incidents over several years (see module doc)."""
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
@@ -206,4 +234,4 @@ def incidents_long(spark: SparkSession, sf_dir: str, columns: Iterable[str] | No
         "Address": F.col("o_custkey").cast("string"),
         "Victim_Age": F.col("o_totalprice"),
     }
-    return _build(od, spark, sf_dir, "o_custkey", exprs, columns)
+    return _build(od, spark, sf_dir, "o_custkey", exprs, columns, rows)
