@@ -14,13 +14,12 @@ import os
 import re
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from crashgrid.plans import batch, catalogue  # noqa: E402
-from crashgrid.session import build_session  # noqa: E402
+from crashgrid.session import build_session, checkpoint_dir  # noqa: E402
 
 
 def _sf(path: str) -> float | str:
@@ -41,7 +40,7 @@ def main() -> None:
         shuffle_partitions=cpus,
         extra_conf={"spark.eventLog.enabled": "false"},
     )
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="crashgrid-bench-ckpt-"))
+    checkpoint_dir(spark)  # the configured shared folder, or a temp one in local mode
 
     def once(name: str) -> float:
         t0 = time.perf_counter()

@@ -7,7 +7,6 @@ settings the library relies on are present.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -58,8 +57,9 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder, setting one only where none is set.
 
     On a cluster ``spark.checkpoint.dir`` names a folder every executor can
-    reach; it is used as is. Only when it is unset (local tests) is a fallback
-    taken, by default a fresh folder under the system temp dir.
+    reach; it is used as is. Only when it is unset is a fallback taken: the
+    given one, or -- in local mode only -- a fresh temp folder. A cluster
+    without a configured folder is an error, never a machine-local folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,10 +69,11 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         "spark.checkpoint.dir", None
     )
     if not configured:
-        configured = fallback or tempfile.mkdtemp(prefix="crashgrid-ckpt-")
+        if fallback:
+            configured = fallback
+        elif sc.master.startswith("local"):
+            configured = tempfile.mkdtemp(prefix="crashgrid-ckpt-")
+        else:
+            raise ValueError("set spark.checkpoint.dir to a folder on shared storage")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def default_sf_dir() -> str:
-    return os.environ.get("CRASHGRID_SF_DIR", "/root/testdata/sf0.01")
