@@ -91,22 +91,23 @@ def site_classes(fact: DataFrame, site: str) -> DataFrame:
     """Per site: Is_Hotspot and Congestion_Index from the site share rule.
 
     One aggregation of the fact on the site key (partial counts map-side, so a
-    site holding a third of all rows is one row per map task), one global
-    1-row total broadcast onto it.
+    site holding a third of all rows is one row per map task) and two global
+    scalars over it.
     """
     counts = (
         fact.where(F.col(site).isNotNull())
         .groupBy(site)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    totals = counts.agg(
-        F.sum("_cnt").alias("_total"), F.count(F.lit(1)).alias("_sites")
-    )
+    # Global totals as scalar subqueries (Spark merges them into one 1-row job
+    # and inlines the values): no join of the site rows with anything.
     dec = T.DecimalType(38, 0)
-    share = F.col("_cnt").cast(dec) * F.col("_sites").cast(dec) * F.lit(100).cast(dec)
+    total = counts.select(F.sum("_cnt").cast(dec)).scalar()
+    sites = counts.select(F.count(F.lit(1)).cast(dec)).scalar()
+    share = F.col("_cnt").cast(dec) * sites * F.lit(100).cast(dec)
 
     def at_least(pct: int) -> Column:
-        return share >= F.col("_total").cast(dec) * F.lit(pct).cast(dec)
+        return share >= total * F.lit(pct).cast(dec)
 
     congestion = None
     for pct, label in CONGESTION_BANDS:
@@ -114,8 +115,7 @@ def site_classes(fact: DataFrame, site: str) -> DataFrame:
             F.when(at_least(pct), F.lit(label)) if congestion is None
             else congestion.when(at_least(pct), F.lit(label))
         )
-    # ``totals`` is a global aggregate: exactly one row, safe to broadcast.
-    return counts.crossJoin(F.broadcast(totals)).select(
+    return counts.select(
         F.col(site).alias("_site"),
         at_least(HOTSPOT_PCT).alias("Is_Hotspot"),
         congestion.otherwise(F.lit(CONGESTION_ELSE)).alias("Congestion_Index"),
