@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rollups import count_measure
@@ -56,23 +56,44 @@ def pivot_sum(
 
 def dense_grid(cube: DataFrame, row_key: str, hour_col: str, value: str, hours: int = 24) -> DataFrame:
     """Every (row_key, hour) pair for the row keys present in ``cube``, with the
-    cube's value or 0. The grid has exactly ``hours`` rows per key (a fixed
-    expansion, not a join of the data with itself)."""
-    keys = cube.select(row_key).distinct()
-    grid = keys.select(
-        row_key, F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias(hour_col)
+    cube's value or 0 (long form of the zero-filled matrix).
+
+    One pass over the cube: each key's cells are gathered into a map (at most
+    ``hours`` entries), then expanded over the fixed hour range -- no join of
+    the cube with itself and no cross join.
+    """
+    cells = cube.groupBy(row_key).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col(hour_col).cast("int"), F.col(value)))).alias("_cells")
     )
-    return (
-        grid.join(cube.select(row_key, F.col(hour_col).cast("int").alias(hour_col), value), [row_key, hour_col], "left")
-        .withColumn(value, F.coalesce(F.col(value), F.lit(0)))
+    return cells.select(
+        row_key, F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias(hour_col), "_cells"
+    ).select(
+        row_key, hour_col, F.coalesce(F.element_at("_cells", F.col(hour_col)), F.lit(0)).alias(value)
     )
 
 
-def envelope(grid: DataFrame, hour_col: str, value: str) -> DataFrame:
-    """Per hour: total, mean, max, min across row keys (absent cells count as 0)."""
-    return grid.groupBy(hour_col).agg(
+def envelope(cube: DataFrame, row_key: str, hour_col: str, value: str) -> DataFrame:
+    """Per hour present in ``cube``: total, mean, max and min of ``value`` across
+    all row keys of the cube, a key absent at that hour counting as 0.
+
+    One aggregation of the cube by hour (at most 24 rows, each carrying the set
+    of keys seen at that hour), then one window over those rows for the number
+    of distinct keys overall -- the zero cells are accounted for, not built.
+    """
+    per_hour = cube.groupBy(hour_col).agg(
         F.sum(value).alias("Total"),
-        F.avg(F.col(value).cast("double")).alias("Mean"),
-        F.max(value).alias("Max"),
-        F.min(value).alias("Min"),
+        F.max(value).alias("_max"),
+        F.min(value).alias("_min"),
+        F.count(value).alias("_present"),
+        F.collect_set(row_key).alias("_keys"),
+    )
+    everything = Window.partitionBy()
+    n_keys = F.size(F.array_distinct(F.flatten(F.collect_list("_keys").over(everything))))
+    missing = F.col("_present") < F.col("_n_keys")
+    return per_hour.withColumn("_n_keys", n_keys).select(
+        hour_col,
+        "Total",
+        F.try_divide(F.col("Total").cast("double"), F.col("_n_keys").cast("double")).alias("Mean"),
+        F.when(missing, F.greatest(F.col("_max"), F.lit(0).cast("bigint"))).otherwise(F.col("_max")).alias("Max"),
+        F.when(missing, F.least(F.col("_min"), F.lit(0).cast("bigint"))).otherwise(F.col("_min")).alias("Min"),
     )

@@ -416,10 +416,7 @@ def area_hour_heatmap(df: DataFrame) -> DataFrame:
 
 def hour_envelope(df: DataFrame) -> DataFrame:
     """Per hour present: total, mean, max, min across areas (absent area-hours are
-    0) and the total rescaled to the highest mean."""
+    0) and the total rescaled to the highest mean. One cube, one pass."""
     cube = area_hour_cube(df, CCOUNT, family="chart")
-    grid = matrix.dense_grid(cube, "Area_Name", "Hour", CCOUNT)
-    present = cube.select("Hour").distinct()
-    grid = grid.join(present, "Hour", "left_semi")
-    env = matrix.envelope(grid, "Hour", CCOUNT)
+    env = matrix.envelope(cube, "Area_Name", "Hour", CCOUNT)
     return trends.rescale_to_max(env, "Total", "Mean", "Total_Scaled").orderBy("Hour")

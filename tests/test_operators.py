@@ -77,3 +77,18 @@ def test_write_batch(spark):
     assert set(written) == {"count_by_area", "hotspot_addresses"}
     for path in written.values():
         assert [f for f in os.listdir(path) if f.startswith("part-")]
+
+
+def test_dense_grid_zero_fills_each_key(spark):
+    cube = spark.createDataFrame([("A", 0, 2), ("A", 5, 1), ("B", 23, 4)], "a string, Hour int, n long")
+    grid = {(r.a, r.Hour): r.n for r in matrix.dense_grid(cube, "a", "Hour", "n").collect()}
+    assert len(grid) == 48
+    assert grid[("A", 0)] == 2 and grid[("A", 5)] == 1 and grid[("A", 23)] == 0 and grid[("B", 23)] == 4
+    assert sum(grid.values()) == 7
+
+
+def test_envelope_counts_absent_keys_as_zero(spark):
+    cube = spark.createDataFrame([("A", 1, 4), ("B", 1, 2), ("C", 2, 6)], "a string, Hour int, n long")
+    env = {r.Hour: r for r in matrix.envelope(cube, "a", "Hour", "n").collect()}
+    assert (env[1].Total, env[1].Max, env[1].Min, env[1].Mean) == (6, 4, 0, 2.0)
+    assert (env[2].Total, env[2].Max, env[2].Min, env[2].Mean) == (6, 6, 0, 2.0)
