@@ -49,9 +49,13 @@ def count_col(df: DataFrame, id_col: str | None = "DR_Number") -> Column:
 
 def count_if_col(df: DataFrame, cond: Column) -> Column:
     """Rows where ``cond`` holds (null counts as false)."""
-    if is_weighted(df):
-        return F.sum(F.when(F.coalesce(cond, F.lit(False)), F.col(W_ROWS)).otherwise(F.lit(0)))
-    return F.count_if(F.coalesce(cond, F.lit(False)))
+    weight = F.col(W_ROWS) if is_weighted(df) else F.lit(1).cast("bigint")
+    # A plain conditional sum (0 on empty input, like count_if): it canonicalises
+    # identically wherever it appears, so repeated sub-plans are reused.
+    return F.coalesce(
+        F.sum(F.when(F.coalesce(cond, F.lit(False)), weight).otherwise(F.lit(0).cast("bigint"))),
+        F.lit(0).cast("bigint"),
+    )
 
 
 def sum_parts(df: DataFrame, measure: str, scale: int | None) -> tuple[Column, Column]:

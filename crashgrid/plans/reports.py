@@ -195,26 +195,16 @@ def area_peak_percent(df: DataFrame) -> DataFrame:
 def hotspot_with_peak(df: DataFrame) -> DataFrame:
     """Hotspot (area, address) counts with the area's peak hour attached.
 
-    Both inputs come from ONE scan: grouping sets (area, hour) and (area,
-    address) are aggregated together; the per-area peak (one row per area) is
-    then joined onto the hotspot addresses.
+    Two aggregations of the fact -- the (area, hour) cube for the peaks and the
+    hotspot (area, address) counts -- joined on area; the peak side has one row
+    per area, so the planner broadcasts it. (A single grouping-sets pass does
+    not help here: the self-join gives one branch fresh attribute ids, its
+    shuffle cannot be reused and the Expand only doubles the rows.)
     """
-    named = df.where(F.col("Area_Name").isNotNull())
-    sets = named.groupingSets(
-        [["Area_Name", "Hour"], ["Area_Name", "Address"]], "Area_Name", "Hour", "Address"
-    ).agg(
-        rollups.count_col(named, None).alias("_rows"),
-        rollups.count_if_col(named, predicates.is_true("Is_Hotspot")).alias("_hot"),
-        F.grouping_id().alias("_set"),
-    )
-    # grouping_id bit set = column aggregated away: Address is the last column.
-    by_hour = sets.where((F.col("_set") == 1) & F.col("Hour").isNotNull())
-    peaks = ranking.peak(by_hour, "Area_Name", "_rows", by="Hour", ties="first").select(
-        "Area_Name", F.col("Hour").alias("Area_Peak_Hour")
-    )
-    hot = sets.where((F.col("_set") == 2) & F.col("Address").isNotNull() & (F.col("_hot") > 0)).select(
-        "Area_Name", "Address", F.col("_hot").alias(CCOUNT)
+    hot = rollups.count_by(
+        df.where(predicates.is_true("Is_Hotspot")), ["Area_Name", "Address"], CCOUNT, id_col=None, null_keys="drop"
     )
+    peaks = _area_peaks(df).select("Area_Name", F.col("Hour").alias("Area_Peak_Hour"))
     return (
         hot.join(peaks, "Area_Name", "inner")
         .select("Area_Name", "Address", CCOUNT, "Area_Peak_Hour")

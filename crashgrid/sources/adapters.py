@@ -99,11 +99,13 @@ def site_classes(fact: DataFrame, site: str) -> DataFrame:
         .groupBy(site)
         .agg(F.count(F.lit(1)).alias("_cnt"))
     )
-    # Global totals as scalar subqueries (Spark merges them into one 1-row job
-    # and inlines the values): no join of the site rows with anything.
+    # Global totals as ONE scalar subquery (a 1-row struct, values inlined):
+    # no join of the site rows with anything.
     dec = T.DecimalType(38, 0)
-    total = counts.select(F.sum("_cnt").cast(dec)).scalar()
-    sites = counts.select(F.count(F.lit(1)).cast(dec)).scalar()
+    totals = counts.select(
+        F.struct(F.sum("_cnt").cast(dec).alias("t"), F.count(F.lit(1)).cast(dec).alias("s"))
+    ).scalar()
+    total, sites = totals.getField("t"), totals.getField("s")
     share = F.col("_cnt").cast(dec) * sites * F.lit(100).cast(dec)
 
     def at_least(pct: int) -> Column:
