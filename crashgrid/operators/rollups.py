@@ -163,3 +163,10 @@ def distinct_count_by(
 ) -> DataFrame:
     """Exact distinct count per group (not additive: never rolled up from a cube)."""
     return df.groupBy(*_keys(keys)).agg(F.count_distinct(distinct_col).alias(alias))
+
+
+def row_and_partition_counts(df: DataFrame) -> DataFrame:
+    """One row: number of rows and of non-empty input partitions, in one pass."""
+    return df.select(F.spark_partition_id().alias("_p")).agg(
+        F.count(F.lit(1)).alias("Rows"), F.count_distinct("_p").alias("Partitions")
+    )

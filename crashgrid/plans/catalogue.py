@@ -35,16 +35,18 @@ class Query:
     source: str
     columns: tuple[str, ...]
     rows: bool = field(default=False)
+    years: tuple[int, ...] | None = field(default=None)
 
     def build(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         make = adapters.incidents if self.source == SHORT else adapters.incidents_long
-        return self.fn(make(spark, sf_dir, self.columns, rows=self.rows))
+        return self.fn(make(spark, sf_dir, self.columns, rows=self.rows, years=self.years))
 
 
-def _q(name, fn, source, *columns, rows=False):
+def _q(name, fn, source, *columns, rows=False, years=None):
     """``rows=True``: the result lists base rows, so the source is never
-    pre-aggregated into weights."""
-    return Query(name, fn, source, tuple(columns), rows)
+    pre-aggregated into weights. ``years``: the query only looks at those
+    years, so the scan may skip the rest."""
+    return Query(name, fn, source, tuple(columns), rows, years)
 
 
 _ID = "DR_Number"
@@ -79,7 +81,8 @@ QUERIES: dict[str, Query] = {
         _q("yearly_direction", R.yearly_direction, LONG, "Year"),
         _q("monthly_trend", R.monthly_trend, LONG, _ID, "Month", "Season"),
         _q("monthly_profile", R.monthly_profile, LONG, _ID, "Month", "Season"),
-        _q("year_month_slice", partial(R.year_month_slice, years=SLICE_YEARS), LONG, _ID, "Year", "Month"),
+        _q("year_month_slice", partial(R.year_month_slice, years=SLICE_YEARS), LONG, _ID, "Year", "Month",
+           years=SLICE_YEARS),
         _q("hourly_flow", R.hourly_flow, SHORT, _ID, "Area_Name", "Hour"),
         _q("single_area_flow", partial(R.single_area_flow, area=SINGLE_AREA), SHORT,
            _ID, "Area_Name", "Hour", "Time_of_Day"),

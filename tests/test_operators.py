@@ -92,3 +92,8 @@ def test_envelope_counts_absent_keys_as_zero(spark):
     env = {r.Hour: r for r in matrix.envelope(cube, "a", "Hour", "n").collect()}
     assert (env[1].Total, env[1].Max, env[1].Min, env[1].Mean) == (6, 4, 0, 2.0)
     assert (env[2].Total, env[2].Max, env[2].Min, env[2].Mean) == (6, 6, 0, 2.0)
+
+
+def test_row_and_partition_counts(spark):
+    r = rollups.row_and_partition_counts(spark.range(0, 100, numPartitions=4)).collect()[0]
+    assert (r.Rows, r.Partitions) == (100, 4)

@@ -92,3 +92,9 @@ def test_fact_scanned_once(spark, split_scans, name):
 
 # Queries that aggregate the fact twice by design (documented in the report).
 TWO_AGGREGATIONS = {"hotspot_with_peak": 1}
+
+
+def test_year_slice_pushes_time_range_to_scan(spark):
+    df = catalogue.run(spark, SF_SMALL, "year_month_slice")
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan
