@@ -71,4 +71,5 @@ def write_batch(
     """Write every chosen result once under ``out_root/<name>``."""
     from ..sources.sinks import write_catalogue
 
-    return write_catalogue(batch_frames(spark, sf_dir, names), out_root, fmt=fmt)
+    row_level = {n for n, q in catalogue.QUERIES.items() if needs_rows(q)}
+    return write_catalogue(batch_frames(spark, sf_dir, names), out_root, fmt=fmt, row_level=row_level)

@@ -97,4 +97,5 @@ def run(spark: SparkSession, input_path: str, output: str, names: Iterable[str]
         fmt: str = "csv") -> dict[str, str]:
     """Read, check, compute and write every chosen result once."""
     df = read_table(spark, input_path)
-    return sinks.write_catalogue(results(df, names), output, fmt=fmt)
+    row_level = {n for n, (_fn, rows) in RESULTS.items() if rows}
+    return sinks.write_catalogue(results(df, names), output, fmt=fmt, row_level=row_level)

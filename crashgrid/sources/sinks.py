@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame
 SINGLE_FILE_ROWS = 1_000_000
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = True, max_rows: int = SINGLE_FILE_ROWS) -> str:
-    """Headered CSV, overwrite. ``single_file`` merges to one part file after the
-    last (already sorted) stage -- ``coalesce(1)`` keeps a global sort -- but only
-    behind a checked row bound, so a large result is never funnelled into one task."""
+def write_csv(df: DataFrame, path: str, single_file: bool | None = None, max_rows: int = SINGLE_FILE_ROWS) -> str:
+    """Headered CSV, overwrite. One part file (``coalesce(1)`` after the last,
+    already sorted stage keeps a global sort) only for a result known to be
+    small: ``True`` = bounded by construction (a roll-up over fixed dimensions),
+    ``False`` = row-level, always multi-file, ``None`` = check a row bound first
+    (this runs the result's plan once more, so callers that know should say)."""
     out = df
-    if single_file and df.limit(max_rows + 1).count() <= max_rows:
+    if single_file is None:
+        single_file = df.limit(max_rows + 1).count() <= max_rows
+    if single_file:
         out = df.coalesce(1)
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
@@ -34,11 +38,15 @@ def write_catalogue(
     frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
     root: str,
     fmt: str = "csv",
+    row_level: set[str] | None = None,
 ) -> dict[str, str]:
-    """Write each named result once under ``root/<name>``; returns name -> path."""
+    """Write each named result once under ``root/<name>``; returns name -> path.
+    Names in ``row_level`` list base rows and are never merged into one file;
+    when ``row_level`` is None every CSV result is size-checked instead."""
     written = {}
     for name, frame in frames.items():
         df = frame() if callable(frame) else frame
         path = f"{root.rstrip('/')}/{name}"
-        written[name] = write_csv(df, path) if fmt == "csv" else write_parquet(df, path)
+        single = None if row_level is None else name not in row_level
+        written[name] = write_csv(df, path, single) if fmt == "csv" else write_parquet(df, path)
     return written
