@@ -1,6 +1,6 @@
 """The count reports maintained incrementally over arriving files.
 
-The reference has no streaming; this module adds no operator. It runs the
+The original reports have no streaming; this module adds no operator. It runs the
 same ``count_by`` roll-up on a Structured Streaming source, so a folder that
 keeps receiving collision files has its counts kept current instead of
 recounted. State is one row per group, so use it for keys with bounded
