@@ -20,6 +20,10 @@ from ..session import checkpoint_dir
 from ..sources import readers, sinks
 from . import reports as R
 
+# Parameters of the single-area and year-slice chart tables.
+CHART_AREA = "77th Street"
+CHART_YEARS = (2018, 2019, 2020, 2021, 2022)
+
 # name -> (report function, needs row-level columns)
 RESULTS: dict[str, tuple[Callable[[DataFrame], DataFrame], bool]] = {
     # published reports
@@ -61,8 +65,8 @@ RESULTS: dict[str, tuple[Callable[[DataFrame], DataFrame], bool]] = {
     "chart_area_stats_with_peak": (R.area_stats_with_peak, False),
     "chart_area_hour_heatmap": (R.area_hour_heatmap, False),
     "chart_monthly_profile": (R.monthly_profile, False),
-    "chart_single_area_flow": (partial(R.single_area_flow, area="77th Street"), False),
-    "chart_year_month_slice": (partial(R.year_month_slice, years=(2018, 2019, 2020, 2021, 2022)), False),
+    "chart_single_area_flow": (partial(R.single_area_flow, area=CHART_AREA), False),
+    "chart_year_month_slice": (partial(R.year_month_slice, years=CHART_YEARS), False),
     "chart_top20_area_hours": (R.top20_area_hours, False),
     "chart_hour_envelope": (R.hour_envelope, False),
 }
