@@ -69,8 +69,22 @@ MEASURE_SCALE = 2
 _SITE_COLS = {"Is_Hotspot", "Congestion_Index"}
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, resolved once per application (like a catalog table):
+    reading Parquet infers its schema with a job, which is paid once instead of
+    once per query. Call :func:`forget_tables` after the files change."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
+
+
+def forget_tables() -> None:
+    _TABLES.clear()
 
 
 def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
