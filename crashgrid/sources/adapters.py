@@ -69,7 +69,7 @@ MEASURE_SCALE = 2
 _SITE_COLS = {"Is_Hotspot", "Congestion_Index"}
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, int, str], DataFrame] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,7 +77,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reading Parquet infers its schema with a job, which is paid once instead of
     once per query. Call :func:`forget_tables` after the files change."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    # per session: a frame is never shared between sessions of one application
+    key = (spark.sparkContext.applicationId, id(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
