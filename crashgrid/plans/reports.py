@@ -195,16 +195,31 @@ def area_peak_percent(df: DataFrame) -> DataFrame:
 def hotspot_with_peak(df: DataFrame) -> DataFrame:
     """Hotspot (area, address) counts with the area's peak hour attached.
 
-    Two aggregations of the fact -- the (area, hour) cube for the peaks and the
-    hotspot (area, address) counts -- joined on area; the peak side has one row
-    per area, so the planner broadcasts it. (A single grouping-sets pass does
-    not help here: the self-join gives one branch fresh attribute ids, its
-    shuffle cannot be reused and the Expand only doubles the rows.)
+    One aggregation of the fact to (area, hour, hotspot address) -- the address
+    is kept only on hotspot rows, so the cells are at most areas x 24 plus
+    hotspot addresses x 24 -- and both parts are roll-ups of it: the (area,
+    hour) counts give the peak, the (area, address) counts the hotspot rows.
+    Both roll-ups read only the cell count and filter only their own outputs,
+    so the shared aggregate stays one sub-plan and is computed once.
     """
-    hot = rollups.count_by(
-        df.where(predicates.is_true("Is_Hotspot")), ["Area_Name", "Address"], CCOUNT, id_col=None, null_keys="drop"
+    named = df.where(F.col("Area_Name").isNotNull())
+    hot_address = F.when(predicates.is_true("Is_Hotspot"), F.col("Address"))
+    cells = named.groupBy("Area_Name", "Hour", hot_address.alias("_addr")).agg(
+        rollups.count_col(named, None).alias("_rows")
+    )
+    per_hour = cells.groupBy("Area_Name", "Hour").agg(F.sum("_rows").alias("_n"))
+    first = Window.partitionBy("Area_Name").orderBy(F.col("Hour").isNull(), F.col("_n").desc(), F.col("Hour"))
+    peaks = (
+        per_hour.withColumn("_rn", F.row_number().over(first))
+        .where((F.col("_rn") == 1) & F.col("Hour").isNotNull())
+        .select("Area_Name", F.col("Hour").alias("Area_Peak_Hour"))
+    )
+    hot = (
+        cells.groupBy("Area_Name", "_addr")
+        .agg(F.sum(F.when(F.col("_addr").isNotNull(), F.col("_rows")).otherwise(F.lit(0))).alias(CCOUNT))
+        .where(F.col(CCOUNT) > 0)
+        .select("Area_Name", F.col("_addr").alias("Address"), CCOUNT)
     )
-    peaks = _area_peaks(df).select("Area_Name", F.col("Hour").alias("Area_Peak_Hour"))
     return (
         hot.join(peaks, "Area_Name", "inner")
         .select("Area_Name", "Address", CCOUNT, "Area_Peak_Hour")

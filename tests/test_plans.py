@@ -86,13 +86,9 @@ def test_fact_scanned_once(spark, split_scans, name):
             if info and info.numCompletedTasks == splits:
                 scans += 1
     allowed = 1 + (1 if {"Is_Hotspot", "Congestion_Index"} & set(q.columns) else 0)
-    allowed += TWO_AGGREGATIONS.get(name, 0)
     assert 1 <= scans <= allowed, f"{name}: {scans} scans of {fact}"
 
 
-# Queries that aggregate the fact twice by design (documented in the report).
-TWO_AGGREGATIONS = {"hotspot_with_peak": 1}
-
 
 def test_year_slice_pushes_time_range_to_scan(spark):
     df = catalogue.run(spark, SF_SMALL, "year_month_slice")
