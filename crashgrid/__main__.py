@@ -14,8 +14,8 @@ from .session import apply_runtime_conf
 
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="crashgrid", description="Write the collision reports.")
-    ap.add_argument("--input", required=True, help="collision table: CSV (headered) or .parquet, any Hadoop path")
-    ap.add_argument("--output", required=True, help="folder that receives one sub-folder per result")
+    ap.add_argument("--input", help="collision table: CSV (headered) or .parquet, any Hadoop path")
+    ap.add_argument("--output", help="folder that receives one sub-folder per result")
     ap.add_argument("--format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--only", default="", help="comma-separated result names (default: all)")
     ap.add_argument("--list", action="store_true", help="print the result names and exit")
@@ -23,6 +23,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.list:
         print("\n".join(runner.RESULTS))
         return 0
+    if not (args.input and args.output):
+        ap.error("--input and --output are required")
     spark = SparkSession.builder.appName("crashgrid").getOrCreate()
     apply_runtime_conf(spark)
     names = [n for n in args.only.split(",") if n] or None
