@@ -84,8 +84,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _TABLES[key]
 
 
+_DIMS: dict[tuple, DataFrame] = {}
+
+
 def forget_tables() -> None:
     _TABLES.clear()
+    _DIMS.clear()
 
 
 def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -199,7 +203,10 @@ def _build(
     if not (need_site or _AREA_COLS & set(wanted)):
         return fact.select(*[exprs[c].alias(c) for c in wanted])
 
-    dim = site_dimension(spark, sf_dir, whole, site, need_site)
+    dim_key = (spark.sparkContext.applicationId, id(spark), sf_dir, site, need_site)
+    if dim_key not in _DIMS:  # a lazy plan: built once per session, not per query
+        _DIMS[dim_key] = site_dimension(spark, sf_dir, whole, site, need_site)
+    dim = _DIMS[dim_key]
     on = F.col(site) == F.col("c_custkey")
     customers = table(spark, sf_dir, "customer")
     if bounded_table_rows(customers, f"{sf_dir}/customer", SITE_DIM_ROWS_BOUND):
