@@ -36,7 +36,7 @@ unique), so the adapter takes the list of columns up front.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -172,7 +172,7 @@ def _build(
     spark: SparkSession,
     sf_dir: str,
     site: str,
-    exprs: dict[str, Column],
+    exprs: dict[str, Callable[[], Column]],
     columns: Iterable[str] | None,
     rows: bool = False,
     where: Column | None = None,
@@ -201,7 +201,7 @@ def _build(
     if where is not None:
         fact = fact.where(where)
     if not (need_site or _AREA_COLS & set(wanted)):
-        return fact.select(*[exprs[c].alias(c) for c in wanted])
+        return fact.select(*[exprs[c]().alias(c) for c in wanted])
 
     dim_key = (spark.sparkContext.applicationId, id(spark), sf_dir, site, need_site)
     if dim_key not in _DIMS:  # a lazy plan: built once per session, not per query
@@ -215,26 +215,27 @@ def _build(
         df = fact.join(dim, on, "left")
     else:
         keys = [c for c in wanted if c not in dim_cols and c not in _WEIGHT_SOURCES]
-        pre = fact.select(F.col(site), *[exprs[c].alias(c) for c in keys + list(_WEIGHT_SOURCES)])
+        pre = fact.select(F.col(site), *[exprs[c]().alias(c) for c in keys + list(_WEIGHT_SOURCES)])
         pre = rollups.weighted_cube(pre, [site] + keys, id_col="DR_Number", measure="Victim_Age",
                                     scale=MEASURE_SCALE)
         joined = pre.join(dim, on, "left")
         return joined.select(*[F.col(c) for c in wanted if c not in _WEIGHT_SOURCES], *rollups.WEIGHTS)
-    return df.select(*[(F.col(c) if c in dim_cols else exprs[c]).alias(c) for c in wanted])
+    return df.select(*[(F.col(c) if c in dim_cols else exprs[c]()).alias(c) for c in wanted])
 
 
-def _time_exprs(ts: Column) -> dict[str, Column]:
+def _time_exprs(ts: Callable[[], Column]) -> dict[str, Callable[[], Column]]:
+    """Column builders (built only for the columns a query asks for)."""
     return {
-        "Date_Occurred": F.to_date(ts),
-        "Hour": F.hour(ts),
-        "Day_of_Week": day_name(ts),
-        "Time_of_Day": hour_band(F.hour(ts)),
-        "Season": season(F.month(ts)),
-        "Is_Weekend": is_weekend(ts),
-        "Year": F.year(ts),
-        "Month": F.month(ts),
-        "Latitude": F.lit(None).cast("double"),
-        "Longitude": F.lit(None).cast("double"),
+        "Date_Occurred": lambda: F.to_date(ts()),
+        "Hour": lambda: F.hour(ts()),
+        "Day_of_Week": lambda: day_name(ts()),
+        "Time_of_Day": lambda: hour_band(F.hour(ts())),
+        "Season": lambda: season(F.month(ts())),
+        "Is_Weekend": lambda: is_weekend(ts()),
+        "Year": lambda: F.year(ts()),
+        "Month": lambda: F.month(ts()),
+        "Latitude": lambda: F.lit(None).cast("double"),
+        "Longitude": lambda: F.lit(None).cast("double"),
     }
 
 
@@ -247,14 +248,13 @@ def incidents(
     ``years`` adds a scan-level time range covering those years (the report
     still applies its exact year test)."""
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    ts = F.col("ts")
-    exprs = _time_exprs(ts) | {
-        "DR_Number": F.col("event_id"),
-        "Collision_Severity": F.when(F.col("event_type") == "error", F.lit(MAJOR))
+    exprs = _time_exprs(lambda: F.col("ts")) | {
+        "DR_Number": lambda: F.col("event_id"),
+        "Collision_Severity": lambda: F.when(F.col("event_type") == "error", F.lit(MAJOR))
         .when(F.col("event_type").isNotNull(), F.lit(MINOR)),
-        "Road_Type": F.col("event_type"),
-        "Address": F.col("user_id").cast("string"),
-        "Victim_Age": F.col("value"),
+        "Road_Type": lambda: F.col("event_type"),
+        "Address": lambda: F.col("user_id").cast("string"),
+        "Victim_Age": lambda: F.col("value"),
     }
     where = year_range("ts", years) if years else None
     return _build(ev, spark, sf_dir, "user_id", exprs, columns, rows, where)
@@ -268,14 +268,13 @@ def incidents_long(
     od = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
     )
-    ts = F.col("o_orderdate")
-    exprs = _time_exprs(ts) | {
-        "DR_Number": F.col("o_orderkey"),
-        "Collision_Severity": F.when(F.col("o_orderpriority").isin(URGENT_PRIORITIES), F.lit(MAJOR))
+    exprs = _time_exprs(lambda: F.col("o_orderdate")) | {
+        "DR_Number": lambda: F.col("o_orderkey"),
+        "Collision_Severity": lambda: F.when(F.col("o_orderpriority").isin(URGENT_PRIORITIES), F.lit(MAJOR))
         .when(F.col("o_orderpriority").isNotNull(), F.lit(MINOR)),
-        "Road_Type": F.col("o_orderstatus"),
-        "Address": F.col("o_custkey").cast("string"),
-        "Victim_Age": F.col("o_totalprice"),
+        "Road_Type": lambda: F.col("o_orderstatus"),
+        "Address": lambda: F.col("o_custkey").cast("string"),
+        "Victim_Age": lambda: F.col("o_totalprice"),
     }
     where = year_range("o_orderdate", years) if years else None
     return _build(od, spark, sf_dir, "o_custkey", exprs, columns, rows, where)
