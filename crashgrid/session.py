@@ -38,6 +38,8 @@ def build_session(
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
+        # checkpointed cubes of earlier runs are deleted once unreferenced
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in {**RUNTIME_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
