@@ -66,3 +66,19 @@ def test_query_matches_oracle(spark, con, name):
     assert [TYPE_MAP[f.dataType.simpleString()] for f in df.schema.fields] == dtypes
     assert len(srows) == len(drows)
     assert _digest(df.columns, srows) == _digest(dcols, drows)
+
+
+@pytest.mark.parametrize("name", ["count_by_hour_band", "count_by_day", "weekend_daily_average", "monthly_trend"])
+def test_time_zone_independent(spark, con, name):
+    """Timestamps are read as timestamp_ntz: a caller's session time zone does
+    not move hours or days."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = E.queries()[name](spark, SF_ORACLE)
+        srows = [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    rel = con.execute(E.oracle_sql()[name])
+    dcols = [d[0] for d in rel.description]
+    assert _digest(df.columns, srows) == _digest(dcols, rel.fetchall())
