@@ -6,8 +6,9 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 
-# A result is written as one CSV file only when its row count is checked to be
-# at most this bound; larger results are written as multi-file Parquet/CSV.
+# A result is merged into one CSV file only when it is small: bounded by
+# construction (a roll-up over fixed dimensions) or, when the caller cannot
+# say, checked to have at most this many rows. Everything else is multi-file.
 SINGLE_FILE_ROWS = 1_000_000
 
 
