@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
@@ -57,3 +58,17 @@ def byte_chunks(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 <
 def texts_of(array: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null as empty."""
     return [x or b"" for x in array.cast(pa.binary()).to_pylist()]
+
+
+def row_key(id_col: str, text_col: str) -> Column:
+    """A digest of id and text: rows that share it are copies in both. Never null."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), text).cast("binary"))
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
