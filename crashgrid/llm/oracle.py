@@ -148,5 +148,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_decontamination": OP3,
     "op7_warc": OP7,
+    "op8_suffix_dedup": OP8,
     "op10_secret_scan": OP10,
 }

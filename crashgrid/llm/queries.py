@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, language_model, quality, secret_scan, sentencepiece_bpe, simhash, toxicity, warc
+from . import decontaminate, langid, language_model, quality, secret_scan, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), length=50)
+
+
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 5) == 1
@@ -82,5 +86,5 @@ def public_model(name: str = "piece_bpe_32k.model") -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op9_lm_scoring, op10_secret_scan]
+    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_lm_scoring, op10_secret_scan]
 }
