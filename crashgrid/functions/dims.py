@@ -1,6 +1,6 @@
-"""Small ordered dimension frames (days, seasons, months, hours).
+"""Small ordered dimension frames (days, seasons, months).
 
-Their size is fixed by the calendar (7, 4, 12, 24 rows), so they are safe to
+Their size is fixed by the calendar (7, 4, 12 rows), so they are safe to
 broadcast at any data volume. They are built from ``spark.range`` plus an
 array literal, so nothing is shipped from the driver beyond the literal.
 """
@@ -14,7 +14,6 @@ from .enrich import DAY_NAMES, MONTH_LABELS
 
 # Fixed value: season order used by the share chart.
 SEASON_ORDER = ["Spring", "Summer", "Fall", "Winter"]
-HOURS_PER_DAY = 24
 
 
 def _labelled(spark: SparkSession, labels: list[str], name: str, pos: str) -> DataFrame:
@@ -45,8 +44,3 @@ def month_dim(spark: SparkSession) -> DataFrame:
         F.col("id").cast("int").alias("Month"),
         F.element_at(arr, F.col("id").cast("int")).alias("MonthName"),
     )
-
-
-def hour_dim(spark: SparkSession) -> DataFrame:
-    """Hour 0..23 (int)."""
-    return spark.range(HOURS_PER_DAY).select(F.col("id").cast("int").alias("Hour"))

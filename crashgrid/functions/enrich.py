@@ -71,13 +71,6 @@ def is_weekend(date: str | Column) -> Column:
     return F.weekday(_col(date)) >= 5
 
 
-def month_label(month: str | Column) -> Column:
-    """Short month label; month outside 1..12 or null gives null (no error)."""
-    m = _col(month)
-    labels = F.array(*[F.lit(x) for x in MONTH_LABELS])
-    return F.when(m.between(1, 12), F.element_at(labels, m.cast("int")))
-
-
 def text_flag(c: str | Column) -> Column:
     """Normalise a Boolean written as text: True/true/TRUE -> true, false -> false,
     anything else (empty, junk, null) -> null. Booleans pass through unchanged."""

@@ -1,65 +1,10 @@
-"""Joins: size-checked broadcast, enrichment joins, calendar reindex."""
+"""Calendar reindex."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only when its row count is proven at or below this bound;
-# otherwise the join is left to the planner (sort-merge, AQE may still switch
-# to broadcast from measured shuffle sizes, and AQE skew-join splits hot keys).
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Costs at most max_rows+1 rows
-    of work (``limit`` stops the scan early), never a full count. Meant for base
-    tables or fixed dimensions: on a derived frame it would run its whole plan."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-_TABLE_BOUNDS: dict[tuple[str, str, int], bool] = {}
-
-
-def bounded_table_rows(df: DataFrame, key: str, max_rows: int) -> bool:
-    """:func:`bounded_rows` for a stored table, remembered per application and
-    ``key`` (its path), so a session that runs many queries checks it once."""
-    app = df.sparkSession.sparkContext.applicationId
-    k = (app, key, max_rows)
-    if k not in _TABLE_BOUNDS:
-        _TABLE_BOUNDS[k] = bounded_rows(df, max_rows)
-    return _TABLE_BOUNDS[k]
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint behind a checked row bound; the frame unchanged beyond it."""
-    return F.broadcast(df) if bounded_rows(df, max_rows) else df
-
-
-def attach(
-    detail: DataFrame,
-    lookup: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    broadcast: bool | None = False,
-    max_rows: int = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``lookup`` (one row per key) onto ``detail``.
-
-    ``False`` leaves the strategy to the planner (AQE turns the join into a
-    broadcast once the measured lookup is small); ``True`` is for lookups whose
-    size is fixed by construction (hours, days); ``None`` checks a row bound
-    first -- only sensible when ``lookup`` is a stored table.
-    """
-    if broadcast is None:
-        lookup = broadcast_if_small(lookup, max_rows)
-    elif broadcast:
-        lookup = F.broadcast(lookup)
-    return detail.join(lookup, on=on, how=how)
-
-
 def reindex(dim: DataFrame, values: DataFrame, on: str, order_col: str) -> DataFrame:
     """Ordered-label reindex: every label of ``dim`` in ``dim`` order, values from
     ``values`` or null when a label is absent; labels not in ``dim`` are dropped.

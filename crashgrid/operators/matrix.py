@@ -1,4 +1,4 @@
-"""Pivots, dense (zero-filled) grids and the hour envelope across areas."""
+"""Pivots and the hour envelope across areas."""
 
 from __future__ import annotations
 
@@ -7,29 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rollups import count_measure
-
-
-def pivot_counts(
-    df: DataFrame,
-    row_key: str,
-    pivot_col: str,
-    values: Sequence,
-    id_col: str | None = "DR_Number",
-    names: Sequence[str] | None = None,
-) -> DataFrame:
-    """``row_key x pivot_col`` count matrix, missing cells 0.
-
-    The pivot values are given, so every column exists even when a value never
-    occurs and Spark needs no extra job to discover them.
-    """
-    out = df.groupBy(row_key).pivot(pivot_col, list(values)).agg(count_measure(id_col))
-    cols = [str(v) for v in values]
-    out = out.na.fill(0, subset=cols)
-    if names:
-        out = out.withColumnsRenamed(dict(zip(cols, names)))
-    return out
-
 
 def pivot_sum(
     cube: DataFrame,
@@ -54,41 +31,23 @@ def pivot_sum(
     return cube.groupBy(row_key).agg(*aggs)
 
 
-def dense_grid(cube: DataFrame, row_key: str, hour_col: str, value: str, hours: int = 24) -> DataFrame:
-    """Every (row_key, hour) pair for the row keys present in ``cube``, with the
-    cube's value or 0 (long form of the zero-filled matrix).
-
-    One pass over the cube: each key's cells are gathered into a map (at most
-    ``hours`` entries), then expanded over the fixed hour range -- no join of
-    the cube with itself and no cross join.
-    """
-    cells = cube.groupBy(row_key).agg(
-        F.map_from_entries(F.collect_list(F.struct(F.col(hour_col).cast("int"), F.col(value)))).alias("_cells")
-    )
-    return cells.select(
-        row_key, F.explode(F.sequence(F.lit(0), F.lit(hours - 1))).alias(hour_col), "_cells"
-    ).select(
-        row_key, hour_col, F.coalesce(F.element_at("_cells", F.col(hour_col)), F.lit(0)).alias(value)
-    )
-
-
 def envelope(cube: DataFrame, row_key: str, hour_col: str, value: str) -> DataFrame:
     """Per hour present in ``cube``: total, mean, max and min of ``value`` across
     all row keys of the cube, a key absent at that hour counting as 0.
 
-    One aggregation of the cube by hour (at most 24 rows, each carrying the set
-    of keys seen at that hour), then one window over those rows for the number
-    of distinct keys overall -- the zero cells are accounted for, not built.
+    A key is counted at the first hour it has, so the number of keys is a sum
+    over at most 24 rows; zero cells are accounted for, not built. No key list
+    is gathered anywhere.
     """
-    per_hour = cube.groupBy(hour_col).agg(
+    first = F.row_number().over(Window.partitionBy(row_key).orderBy(hour_col)) == 1
+    per_hour = cube.withColumn("_first", first).groupBy(hour_col).agg(
         F.sum(value).alias("Total"),
         F.max(value).alias("_max"),
         F.min(value).alias("_min"),
         F.count(value).alias("_present"),
-        F.collect_set(row_key).alias("_keys"),
+        F.count_if("_first").alias("_new"),
     )
-    everything = Window.partitionBy()
-    n_keys = F.size(F.array_distinct(F.flatten(F.collect_list("_keys").over(everything))))
+    n_keys = F.sum("_new").over(Window.partitionBy())  # over one row per hour
     missing = F.col("_present") < F.col("_n_keys")
     return per_hour.withColumn("_n_keys", n_keys).select(
         hour_col,

@@ -58,12 +58,20 @@ def count_if_col(df: DataFrame, cond: Column) -> Column:
     )
 
 
+def measured(col: str, scale: int | None = None) -> Column:
+    """The values a mean is made of: nulls, NaN and infinities are missing. With
+    ``scale`` they are decimals of that many digits, whose sum does not depend
+    on the order rows are added in; without, they are as they come."""
+    value = F.col(col)
+    finite = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return finite if scale is None else finite.try_cast(decimal_type(scale))
+
+
 def sum_parts(df: DataFrame, measure: str, scale: int | None) -> tuple[Column, Column]:
     """(sum, count) of a measure, additive so they can be summed again."""
     if is_weighted(df):
         return F.sum(W_SUM), F.sum(W_CNT)
-    value = F.col(measure) if scale is None else F.col(measure).cast(decimal_type(scale))
-    return F.sum(value), F.count(measure)
+    return F.sum(measured(measure, scale)), F.count(measured(measure, scale))
 
 
 def mean_col(df: DataFrame, measure: str, scale: int | None = None) -> Column:
@@ -78,7 +86,7 @@ def weighted_cube(
     grain: Sequence[str],
     id_col: str = "DR_Number",
     measure: str | None = "Victim_Age",
-    scale: int | None = 2,
+    scale: int | None = None,
 ) -> DataFrame:
     """Aggregate the base table once to ``grain`` with additive weights.
 
@@ -119,20 +127,16 @@ def count_by(
 
 
 def decimal_type(scale: int) -> T.DecimalType:
-    """Decimal used for exact sums of a measure kept to ``scale`` digits."""
-    if not 0 <= scale <= 8:
-        raise ValueError("scale must be between 0 and 8")
-    return T.DecimalType(18, scale)
+    """Decimal for exact sums of a measure kept to ``scale`` digits."""
+    if not 0 <= scale <= 12:
+        raise ValueError("scale must be between 0 and 12")
+    return T.DecimalType(38, scale)
 
 
 def exact_mean(col: str, scale: int | None = None) -> Column:
-    """Mean ignoring nulls. With ``scale`` the sum is taken exactly in decimal
-    (values rounded to ``scale`` digits) and divided once in double, so the result
-    does not depend on the order rows are summed in."""
-    if scale is None:
-        return F.avg(col)
-    total = F.sum(F.col(col).cast(decimal_type(scale))).cast("double")
-    return F.try_divide(total, F.count(F.col(col)).cast("double"))
+    """Mean of the values ``measured`` keeps: their sum, divided once by their number."""
+    value = measured(col, scale)
+    return F.try_divide(F.sum(value).cast("double"), F.count(value).cast("double"))
 
 
 def count_and_mean(
@@ -155,18 +159,7 @@ def scenario_counts(df: DataFrame, scenarios: Mapping[str, Column]) -> DataFrame
     return df.agg(*[count_if_col(df, cond).alias(name) for name, cond in scenarios.items()])
 
 
-def distinct_count_by(
-    df: DataFrame,
-    keys: str | Sequence[str],
-    distinct_col: str,
-    alias: str,
-) -> DataFrame:
-    """Exact distinct count per group (not additive: never rolled up from a cube)."""
-    return df.groupBy(*_keys(keys)).agg(F.count_distinct(distinct_col).alias(alias))
-
-
 def row_and_partition_counts(df: DataFrame) -> DataFrame:
-    """One row: number of rows and of non-empty input partitions, in one pass."""
-    return df.select(F.spark_partition_id().alias("_p")).agg(
-        F.count(F.lit(1)).alias("Rows"), F.count_distinct("_p").alias("Partitions")
-    )
+    """One row: number of rows and of input partitions, empty ones included."""
+    parts = df.rdd.getNumPartitions()  # known from the plan, no job
+    return df.agg(F.count(F.lit(1)).alias("Rows"), F.lit(parts).cast("long").alias("Partitions"))

@@ -50,12 +50,6 @@ def share(df: DataFrame, value: str, alias: str = "Share_Pct", digits: int = 1)
     return df.withColumn(alias, pct(F.col(value), total, digits))
 
 
-def percent_of_group(df: DataFrame, group: str, value: str, total_alias: str, pct_alias: str) -> DataFrame:
-    """Group total beside each row and the row's percent of it."""
-    total = F.sum(F.col(value)).over(Window.partitionBy(group))
-    return df.withColumn(total_alias, total).withColumn(pct_alias, pct(value, total_alias))
-
-
 def rescale_to_max(df: DataFrame, value: str, target: str, alias: str) -> DataFrame:
     """``value / max(value) * max(target)`` over all rows."""
     everything = Window.partitionBy()

@@ -13,11 +13,12 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import rollups
 from ..sources import adapters
 from . import reports as R
 
-SHORT = "incidents"        # events: hours, days, weekend, areas, sites
-LONG = "incidents_long"    # orders: years, months, seasons
+SHORT = adapters.EVENTS   # hours, days, weekend, areas, sites
+LONG = adapters.ORDERS    # years, months, seasons
 
 # Parameters of the driver-table adapters (the collision data uses the
 # defaults in ``reports``: 'Road', 'Injury Involved', ...).
@@ -26,26 +27,33 @@ INJURY_VALUE = "major"
 SEVERITIES = ("major", "minor")
 SINGLE_AREA = "NATION_10"
 SLICE_YEARS = (1996, 1997, 1998, 1999, 2000)
+# Measures of the driver tables are summed as decimals of this many digits, so
+# that means do not depend on the order rows are read in.
+MEASURE_SCALE = 6
+BAR_UNIT = 100
 
 
 @dataclass(frozen=True)
 class Query:
+    """A report and what it reads: a cube if it looks at areas or sites, unless it
+    lists base rows (``rows``); else the rows, which it aggregates itself."""
+
     name: str
     fn: Callable[[DataFrame], DataFrame]
-    source: str
+    source: adapters.View
     columns: tuple[str, ...]
     rows: bool = field(default=False)
     years: tuple[int, ...] | None = field(default=None)
 
     def build(self, spark: SparkSession, sf_dir: str) -> DataFrame:
-        make = adapters.incidents if self.source == SHORT else adapters.incidents_long
-        return self.fn(make(spark, sf_dir, self.columns, rows=self.rows, years=self.years))
+        if self.rows or not adapters.JOINED & set(self.columns):
+            return self.fn(self.source.rows(spark, sf_dir, self.columns, self.years))
+        return self.fn(adapters.incident_cube(spark, sf_dir, self.source, self.columns, self.years, MEASURE_SCALE))
 
 
 def _q(name, fn, source, *columns, rows=False, years=None):
-    """``rows=True``: the result lists base rows, so the source is never
-    pre-aggregated into weights. ``years``: the query only looks at those
-    years, so the scan may skip the rest."""
+    """``rows=True``: the result lists base rows. ``years``: the query only looks
+    at those years, so the scan may skip the rest."""
     return Query(name, fn, source, tuple(columns), rows, years)
 
 
@@ -56,14 +64,14 @@ QUERIES: dict[str, Query] = {
         _q("count_by_hour_band", R.count_by_hour_band, SHORT, _ID, "Hour", "Time_of_Day"),
         _q("count_by_band", R.count_by_band, SHORT, _ID, "Time_of_Day"),
         _q("count_by_day", R.count_by_day, SHORT, _ID, "Day_of_Week"),
-        _q("day_profile_with_measure", R.day_profile_with_measure, SHORT, _ID, "Day_of_Week", "Victim_Age"),
+        _q("day_profile_with_measure", partial(R.day_profile_with_measure, scale=MEASURE_SCALE), SHORT, _ID, "Day_of_Week", "Victim_Age"),
         _q("weekend_split", R.weekend_split, SHORT, _ID, "Is_Weekend"),
         _q("weekend_daily_average", R.weekend_daily_average, SHORT, _ID, "Is_Weekend", "Date_Occurred"),
         _q("weekend_pair", R.weekend_pair, SHORT, _ID, "Is_Weekend", "Date_Occurred"),
         _q("count_by_season", R.count_by_season, LONG, _ID, "Season"),
         _q("season_share", R.season_share, LONG, _ID, "Season"),
         _q("count_by_area", R.count_by_area, SHORT, _ID, "Area_Name"),
-        _q("area_stats", R.area_stats, SHORT, _ID, "Area_Name", "Is_Hotspot", "Victim_Age"),
+        _q("area_stats", partial(R.area_stats, scale=MEASURE_SCALE), SHORT, _ID, "Area_Name", "Is_Hotspot", "Victim_Age"),
         _q("congestion_by_area", partial(R.congestion_by_area, road_value=ROAD_VALUE), SHORT,
            _ID, "Area_Name", "Congestion_Index", "Road_Type"),
         _q("hotspot_addresses", R.hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
@@ -71,12 +79,14 @@ QUERIES: dict[str, Query] = {
         _q("severity_by_area", R.severity_by_area, SHORT, _ID, "Area_Name", "Collision_Severity"),
         _q("severity_matrix", partial(R.severity_matrix, severities=SEVERITIES), SHORT,
            _ID, "Area_Name", "Collision_Severity"),
+        _q("severity_matrix_top10", partial(R.severity_matrix_top10, severities=SEVERITIES), SHORT,
+           _ID, "Area_Name", "Collision_Severity"),
         _q("peak_hour_per_area", R.peak_hour_per_area, SHORT, _ID, "Area_Name", "Hour"),
         _q("peak_hour_single", R.peak_hour_single, SHORT, _ID, "Area_Name", "Hour"),
         _q("area_peak_percent", R.area_peak_percent, SHORT, "Area_Name", "Hour"),
         _q("hotspot_with_peak", R.hotspot_with_peak, SHORT, "Area_Name", "Hour", "Address", "Is_Hotspot"),
-        _q("area_stats_with_peak", R.area_stats_with_peak, SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
-        _q("top5_area_peaks", R.top5_area_peaks, SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
+        _q("area_stats_with_peak", partial(R.area_stats_with_peak, scale=MEASURE_SCALE), SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
+        _q("top5_area_peaks", partial(R.top5_area_peaks, scale=MEASURE_SCALE), SHORT, _ID, "Area_Name", "Hour", "Is_Hotspot", "Victim_Age"),
         _q("yearly_trend", R.yearly_trend, LONG, _ID, "Year"),
         _q("yearly_direction", R.yearly_direction, LONG, "Year"),
         _q("monthly_trend", R.monthly_trend, LONG, _ID, "Month", "Season"),
@@ -98,17 +108,20 @@ QUERIES: dict[str, Query] = {
         _q("yearly_rows", R.yearly_rows, LONG, "Year"),
         _q("top10_hours", R.top10_hours, SHORT, "Hour"),
         _q("top5_areas", R.top5_areas, SHORT, "Area_Name"),
-        _q("top10_areas_overlay", R.top10_areas_overlay, SHORT, _ID, "Area_Name", "Is_Hotspot", "Victim_Age"),
+        _q("top10_areas_overlay", partial(R.top10_areas_overlay, scale=MEASURE_SCALE), SHORT, _ID, "Area_Name", "Is_Hotspot", "Victim_Age"),
         _q("top20_area_hours", R.top20_area_hours, SHORT, _ID, "Area_Name", "Hour"),
         _q("area_hour_heatmap", R.area_hour_heatmap, SHORT, _ID, "Area_Name", "Hour"),
         _q("hour_envelope", R.hour_envelope, SHORT, _ID, "Area_Name", "Hour"),
-        _q("calendar_ordered_days", R.calendar_ordered_days, SHORT, _ID, "Day_of_Week", "Victim_Age"),
+        _q("calendar_ordered_days", partial(R.calendar_ordered_days, scale=MEASURE_SCALE), SHORT, _ID, "Day_of_Week", "Victim_Age"),
         _q("overall_peak_hour", R.overall_peak_hour, SHORT, _ID, "Hour", "Time_of_Day"),
+        _q("hour_labels", partial(R.hour_labels, unit=BAR_UNIT), SHORT, _ID, "Hour", "Time_of_Day"),
+        _q("row_and_partition_counts", rollups.row_and_partition_counts, SHORT, _ID, rows=True),
         _q("hour_profile", R.hour_profile, SHORT, _ID, "Hour", "Time_of_Day"),
     ]
 }
 
-# Published report names (saved by the DataFrame script) -> query.
+# Published report and pattern names.
+# Report name (saved by the DataFrame script) -> query.
 REPORTS = {
     "obj1_peak_hours": "count_by_hour_band",
     "obj1_time_of_day": "count_by_band",

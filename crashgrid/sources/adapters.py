@@ -32,11 +32,18 @@ Only the joins a caller needs are built: a query that reads hours never joins
 customers, one that reads areas never computes the site statistics. Catalyst
 cannot drop an unused outer join by itself (it does not know the key is
 unique), so the adapter takes the list of columns up front.
+
+``incidents`` and ``incidents_long`` always return one row per event or order
+with the columns asked for. Aggregates read ``incident_cube``: the same view,
+aggregated by (site, the other columns asked for) into additive weights before
+the site is joined. Both do the same at every size; how a join runs is left to
+the planner and to AQE, which measure it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +51,7 @@ from pyspark.sql import types as T
 
 from ..functions.enrich import day_name, hour_band, is_weekend, season
 from ..operators import rollups
-from ..operators.combine import bounded_table_rows
+from .schema import OPTIONAL_COLUMNS, REQUIRED_COLUMNS
 
 # Fixed values of the own rules above (percent of the mean site share).
 HOTSPOT_PCT = 115
@@ -52,55 +59,39 @@ CONGESTION_BANDS = [(115, "Critical"), (100, "High"), (85, "Medium")]
 CONGESTION_ELSE = "Low"
 MAJOR, MINOR = "major", "minor"
 URGENT_PRIORITIES = ["1-URGENT", "2-HIGH"]
-NATION_ROWS_BOUND = 10_000
-# Customers (sites) at or below this count are broadcast to the fact side.
-SITE_DIM_ROWS_BOUND = 1_000_000
-
-ALL_COLUMNS = [
-    "DR_Number", "Date_Occurred", "Hour", "Area_Name", "Day_of_Week", "Time_of_Day",
-    "Season", "Is_Weekend", "Year", "Month", "Collision_Severity", "Road_Type",
-    "Is_Hotspot", "Congestion_Index", "Address", "Latitude", "Longitude", "Victim_Age",
-]
+
+ALL_COLUMNS = REQUIRED_COLUMNS + OPTIONAL_COLUMNS
 _AREA_COLS = {"Area_Name"}
-# Row columns only ever counted or averaged: carried as weights when the fact is
-# pre-aggregated before a shuffle join.
-_WEIGHT_SOURCES = ("DR_Number", "Victim_Age")
-MEASURE_SCALE = 2
 _SITE_COLS = {"Is_Hotspot", "Congestion_Index"}
+JOINED = _AREA_COLS | _SITE_COLS
+# Row columns only ever counted or averaged: a cube carries them as weights.
+_WEIGHT_SOURCES = ("DR_Number", "Victim_Age")
+# Rows without a site meet no customer; they are spread over this many join keys.
+NO_SITE_KEYS = 1024
 
-
-_TABLES: dict[tuple[str, int, str], DataFrame] = {}
+_SCHEMAS: dict[str, T.StructType] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, resolved once per application (like a catalog table):
-    reading Parquet infers its schema with a job, which is paid once instead of
-    once per query. Call :func:`forget_tables` after the files change."""
+    """A driver table. Its files are listed at every call, so appended files are
+    read; only the schema, which costs a job to infer, is remembered per path."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    # per session: a frame is never shared between sessions of one application
-    key = (spark.sparkContext.applicationId, id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-_DIMS: dict[tuple, DataFrame] = {}
-
-
-def forget_tables() -> None:
-    _TABLES.clear()
-    _DIMS.clear()
+def forget_schemas() -> None:
+    """Call after a table's columns have changed."""
+    _SCHEMAS.clear()
 
 
 def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """c_custkey -> Area_Name (nation name). The nation side is broadcast only
-    after its row count is checked against a fixed bound."""
+    """c_custkey -> Area_Name (nation name)."""
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     nation = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey"), F.col("n_name").alias("Area_Name")
     )
-    if bounded_table_rows(nation, f"{sf_dir}/nation", NATION_ROWS_BOUND):
-        nation = F.broadcast(nation)
     return customer.join(nation, customer.c_nationkey == nation.n_nationkey, "left").select(
         "c_custkey", "Area_Name"
     )
@@ -167,60 +158,53 @@ def year_range(ts: str, years: Iterable[int]) -> Column:
     return (F.col(ts) >= lo) & (F.col(ts) < hi)
 
 
-def _build(
-    fact: DataFrame,
-    spark: SparkSession,
-    sf_dir: str,
-    site: str,
-    exprs: dict[str, Callable[[], Column]],
-    columns: Iterable[str] | None,
-    rows: bool = False,
-    where: Column | None = None,
-) -> DataFrame:
-    """Select the wanted columns, joining the site dimension only when needed.
-
-    Join strategy:
-
-    * customers proven few -> broadcast the dimension; the fact is not shuffled.
-    * otherwise, for aggregate queries (``rows=False``) -> the fact is first
-      aggregated on (site, the fact-side columns wanted) into additive weights
-      (see ``operators.rollups``), then shuffle-joined. Partial aggregation runs
-      map-side, so a site holding a third of all rows reaches the join as a few
-      rows per distinct label combination: no hot task, and far less shuffled.
-    * otherwise, for row-level queries -> a plain shuffle join; the dimension
-      side is a single shuffle stage, so AQE's skew-join split applies.
-    """
-    wanted = list(ALL_COLUMNS if columns is None else columns)
-    unknown = [c for c in wanted if c not in ALL_COLUMNS]
-    if unknown:
-        raise ValueError(f"unknown incident columns: {unknown}")
-    need_site = bool(_SITE_COLS & set(wanted))
-    dim_cols = _AREA_COLS | _SITE_COLS
-    # the site statistics always see the whole fact; ``where`` narrows the rows
-    whole = fact
-    if where is not None:
-        fact = fact.where(where)
-    if not (need_site or _AREA_COLS & set(wanted)):
-        return fact.select(*[exprs[c]().alias(c) for c in wanted])
-
-    dim_key = (spark.sparkContext.applicationId, id(spark), sf_dir, site, need_site)
-    if dim_key not in _DIMS:  # a lazy plan: built once per session, not per query
-        _DIMS[dim_key] = site_dimension(spark, sf_dir, whole, site, need_site)
-    dim = _DIMS[dim_key]
-    on = F.col(site) == F.col("c_custkey")
-    customers = table(spark, sf_dir, "customer")
-    if bounded_table_rows(customers, f"{sf_dir}/customer", SITE_DIM_ROWS_BOUND):
-        df = fact.join(F.broadcast(dim), on, "left")
-    elif rows:
-        df = fact.join(dim, on, "left")
-    else:
-        keys = [c for c in wanted if c not in dim_cols and c not in _WEIGHT_SOURCES]
-        pre = fact.select(F.col(site), *[exprs[c]().alias(c) for c in keys + list(_WEIGHT_SOURCES)])
-        pre = rollups.weighted_cube(pre, [site] + keys, id_col="DR_Number", measure="Victim_Age",
-                                    scale=MEASURE_SCALE)
-        joined = pre.join(dim, on, "left")
+@dataclass(frozen=True, eq=False)
+class View:
+    """How one driver table fills the column roles."""
+
+    table: str
+    site: str
+    ts: str
+    row_id: str
+    columns: tuple[str, ...]
+    exprs: dict[str, Callable[[], Column]]
+
+    def fact(self, spark: SparkSession, sf_dir: str, wanted: list[str], years: Iterable[int] | None) -> tuple[DataFrame, DataFrame]:
+        """(whole table, its rows in ``years``): site statistics read the whole."""
+        unknown = [c for c in wanted if c not in ALL_COLUMNS]
+        if unknown:
+            raise ValueError(f"unknown incident columns: {unknown}")
+        whole = table(spark, sf_dir, self.table).select(*self.columns)
+        return whole, whole.where(year_range(self.ts, years)) if years else whole
+
+    def rows(self, spark: SparkSession, sf_dir: str, columns: Iterable[str] | None, years: Iterable[int] | None) -> DataFrame:
+        wanted = list(ALL_COLUMNS if columns is None else columns)
+        whole, fact = self.fact(spark, sf_dir, wanted, years)
+        dims = JOINED
+        if not dims & set(wanted):
+            return fact.select(*[self.exprs[c]().alias(c) for c in wanted])
+        dim = site_dimension(spark, sf_dir, whole, self.site, bool(_SITE_COLS & set(wanted)))
+        # rows without a site get join keys of their own that no customer has
+        spread = F.when(F.col(self.site).isNull(), F.pmod(F.xxhash64(self.row_id), F.lit(NO_SITE_KEYS))).otherwise(F.lit(-1))
+        left, right = fact.withColumn("_spread", spread), dim.withColumn("_whole", F.lit(-1).cast("long"))
+        joined = left.join(right, (F.col(self.site) == F.col("c_custkey")) & (F.col("_spread") == F.col("_whole")), "left")
+        return joined.select(*[(F.col(c) if c in dims else self.exprs[c]()).alias(c) for c in wanted])
+
+    def cube(
+        self, spark: SparkSession, sf_dir: str, columns: Iterable[str], years: Iterable[int] | None, scale: int | None
+    ) -> DataFrame:
+        wanted = list(columns)
+        whole, fact = self.fact(spark, sf_dir, wanted, years)
+        dims = JOINED
+        keys = [c for c in wanted if c not in dims and c not in _WEIGHT_SOURCES]
+        site = [F.col(self.site).alias("_site_key")] if dims & set(wanted) else []
+        base = fact.select(*site, *[self.exprs[c]().alias(c) for c in keys + list(_WEIGHT_SOURCES)])
+        pre = rollups.weighted_cube(base, ["_site_key"] * bool(site) + keys, measure="Victim_Age", scale=scale)
+        if not site:
+            return pre
+        dim = site_dimension(spark, sf_dir, whole, self.site, bool(_SITE_COLS & set(wanted)))
+        joined = pre.join(dim, F.col("_site_key") == F.col("c_custkey"), "left")
         return joined.select(*[F.col(c) for c in wanted if c not in _WEIGHT_SOURCES], *rollups.WEIGHTS)
-    return df.select(*[(F.col(c) if c in dim_cols else exprs[c]()).alias(c) for c in wanted])
 
 
 def _time_exprs(ts: Callable[[], Column]) -> dict[str, Callable[[], Column]]:
@@ -239,42 +223,58 @@ def _time_exprs(ts: Callable[[], Column]) -> dict[str, Callable[[], Column]]:
     }
 
 
-def incidents(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, rows: bool = False,
-    years: Iterable[int] | None = None,
-) -> DataFrame:
-    """Events as incidents (see module doc). ``columns`` limits what is built;
-    ``rows=True`` promises one output row per event (never pre-aggregated);
-    ``years`` adds a scan-level time range covering those years (the report
-    still applies its exact year test)."""
-    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
-    exprs = _time_exprs(lambda: F.col("ts")) | {
+def _major(is_major: Column, known: Column) -> Column:
+    return F.when(is_major, F.lit(MAJOR)).when(known.isNotNull(), F.lit(MINOR))
+
+
+EVENTS = View(
+    table="events", site="user_id", ts="ts", row_id="event_id",
+    columns=("event_id", "ts", "user_id", "event_type", "value"),
+    exprs=_time_exprs(lambda: F.col("ts")) | {
         "DR_Number": lambda: F.col("event_id"),
-        "Collision_Severity": lambda: F.when(F.col("event_type") == "error", F.lit(MAJOR))
-        .when(F.col("event_type").isNotNull(), F.lit(MINOR)),
+        "Collision_Severity": lambda: _major(F.col("event_type") == "error", F.col("event_type")),
         "Road_Type": lambda: F.col("event_type"),
         "Address": lambda: F.col("user_id").cast("string"),
         "Victim_Age": lambda: F.col("value"),
-    }
-    where = year_range("ts", years) if years else None
-    return _build(ev, spark, sf_dir, "user_id", exprs, columns, rows, where)
-
-
-def incidents_long(
-    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, rows: bool = False,
-    years: Iterable[int] | None = None,
-) -> DataFrame:
-    """Orders as incidents over several years (see module doc)."""
-    od = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
-    )
-    exprs = _time_exprs(lambda: F.col("o_orderdate")) | {
+    },
+)
+ORDERS = View(
+    table="orders", site="o_custkey", ts="o_orderdate", row_id="o_orderkey",
+    columns=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"),
+    exprs=_time_exprs(lambda: F.col("o_orderdate")) | {
         "DR_Number": lambda: F.col("o_orderkey"),
-        "Collision_Severity": lambda: F.when(F.col("o_orderpriority").isin(URGENT_PRIORITIES), F.lit(MAJOR))
-        .when(F.col("o_orderpriority").isNotNull(), F.lit(MINOR)),
+        "Collision_Severity": lambda: _major(F.col("o_orderpriority").isin(URGENT_PRIORITIES), F.col("o_orderpriority")),
         "Road_Type": lambda: F.col("o_orderstatus"),
         "Address": lambda: F.col("o_custkey").cast("string"),
         "Victim_Age": lambda: F.col("o_totalprice"),
-    }
-    where = year_range("o_orderdate", years) if years else None
-    return _build(od, spark, sf_dir, "o_custkey", exprs, columns, rows, where)
+    },
+)
+
+
+def incidents(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Events as incidents (see module doc), one row per event. ``columns`` limits
+    what is built; ``years`` adds a scan-level time range covering those years
+    (the report still applies its exact year test)."""
+    return EVENTS.rows(spark, sf_dir, columns, years)
+
+
+def incidents_long(
+    spark: SparkSession, sf_dir: str, columns: Iterable[str] | None = None, years: Iterable[int] | None = None
+) -> DataFrame:
+    """Orders as incidents over several years (see module doc), one row per order."""
+    return ORDERS.rows(spark, sf_dir, columns, years)
+
+
+def incident_cube(
+    spark: SparkSession, sf_dir: str, view: View, columns: Iterable[str], years: Iterable[int] | None = None, scale: int | None = None
+) -> DataFrame:
+    """A view aggregated to weights (``operators.rollups``) at the grain of the
+    site and ``columns``; DR_Number and Victim_Age go into the weights.
+
+    A site that holds a third of all rows reaches the join as one row per
+    combination of labels. Measures are summed as they are, or exactly in
+    decimal with ``scale`` digits.
+    """
+    return view.cube(spark, sf_dir, columns, years, scale)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from crashgrid.functions import enrich, formatting
-from crashgrid.operators import combine, matrix, rollups, trends
+from crashgrid.operators import matrix, rollups
 from crashgrid.plans import batch
 from crashgrid.sources import readers
 
@@ -16,26 +16,6 @@ from .conftest import SF_SMALL, have_data
 from .fixtures import rows
 
 
-def test_percent_of_group(spark):
-    df = spark.createDataFrame([("A", 1, 3), ("A", 2, 1), ("B", 5, 2)], "a string, h int, n long")
-    got = {(r.a, r.h): (r.T, r.P) for r in trends.percent_of_group(df, "a", "n", "T", "P").collect()}
-    assert got == {("A", 1): (4, 75.0), ("A", 2): (4, 25.0), ("B", 5): (2, 100.0)}
-
-
-def test_pivot_counts_on_rows(spark):
-    df = rows(spark, [{"Area_Name": "A", "Collision_Severity": "x"}, {"Area_Name": "A", "Collision_Severity": "x"},
-                      {"Area_Name": "B", "Collision_Severity": "y"}])
-    out = {r.Area_Name: (r.X, r.Y, r.Z) for r in
-           matrix.pivot_counts(df, "Area_Name", "Collision_Severity", ["x", "y", "z"], names=["X", "Y", "Z"]).collect()}
-    assert out == {"A": (2, 0, 0), "B": (0, 1, 0)}
-
-
-def test_distinct_count_by(spark):
-    df = rows(spark, [{"Date_Occurred": dt.date(2024, 1, 1)}, {"Date_Occurred": dt.date(2024, 1, 1)},
-                      {"Date_Occurred": dt.date(2024, 1, 2)}])
-    assert rollups.distinct_count_by(df, "Area_Name", "Date_Occurred", "Days").collect()[0].Days == 2
-
-
 def test_enrich_from_timestamp(spark):
     df = spark.createDataFrame([(dt.datetime(2024, 12, 1, 18, 5),)], "ts timestamp_ntz")
     r = enrich.enrich_from_timestamp(df, "ts").collect()[0]
@@ -48,16 +28,6 @@ def test_hour_text(spark):
     assert spark.range(1).select(formatting.hour_text(F.lit(7)).alias("t")).collect()[0].t == "07:00"
 
 
-def test_attach_modes(spark):
-    detail = spark.createDataFrame([("A", 1), ("B", 2)], "k string, v int")
-    lookup = spark.createDataFrame([("A", "x")], "k string, w string")
-    for mode in (False, True, None):
-        got = {r.k: r.w for r in combine.attach(detail, lookup, "k", how="left", broadcast=mode).collect()}
-        assert got == {"A": "x", "B": None}
-    plan = combine.attach(detail, lookup, "k", broadcast=None)._jdf.queryExecution().executedPlan().toString()
-    assert "Broadcast" in plan
-
-
 def test_read_parquet_validates_and_normalises(spark):
     df = rows(spark, [{"Area_Name": "A"}]).drop("Victim_Age")
     path = tempfile.mkdtemp(prefix="crashgrid-pq-") + "/t"
@@ -79,14 +49,6 @@ def test_write_batch(spark):
         assert [f for f in os.listdir(path) if f.startswith("part-")]
 
 
-def test_dense_grid_zero_fills_each_key(spark):
-    cube = spark.createDataFrame([("A", 0, 2), ("A", 5, 1), ("B", 23, 4)], "a string, Hour int, n long")
-    grid = {(r.a, r.Hour): r.n for r in matrix.dense_grid(cube, "a", "Hour", "n").collect()}
-    assert len(grid) == 48
-    assert grid[("A", 0)] == 2 and grid[("A", 5)] == 1 and grid[("A", 23)] == 0 and grid[("B", 23)] == 4
-    assert sum(grid.values()) == 7
-
-
 def test_envelope_counts_absent_keys_as_zero(spark):
     cube = spark.createDataFrame([("A", 1, 4), ("B", 1, 2), ("C", 2, 6)], "a string, Hour int, n long")
     env = {r.Hour: r for r in matrix.envelope(cube, "a", "Hour", "n").collect()}
@@ -97,3 +59,28 @@ def test_envelope_counts_absent_keys_as_zero(spark):
 def test_row_and_partition_counts(spark):
     r = rollups.row_and_partition_counts(spark.range(0, 100, numPartitions=4)).collect()[0]
     assert (r.Rows, r.Partitions) == (100, 4)
+
+
+def test_partition_count_includes_empty_ones(spark):
+    r = rollups.row_and_partition_counts(spark.range(0, 2, numPartitions=2).repartition(5)).collect()[0]
+    assert (r.Rows, r.Partitions) == (2, 5)
+
+
+@pytest.mark.parametrize("values, mean", [
+    ([float("nan"), 10.0], 10.0), ([float("inf"), None, 4.0], 4.0), ([1e17, 1e17], 1e17),
+    ([0.004, 0.004, 0.005], 0.013 / 3), ([float("nan")], None), ([-float("inf")], None),
+])
+@pytest.mark.parametrize("scale", [None, 6])
+def test_means_skip_what_is_no_number(spark, values, mean, scale):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = df.agg(rollups.exact_mean("v", scale)).first()[0]
+    assert got == pytest.approx(mean) if mean is not None else got is None
+    cube = rollups.weighted_cube(df.withColumn("id", F.lit(1)), [], id_col="id", measure="v", scale=scale)
+    got = cube.agg(rollups.mean_col(cube, "v")).first()[0]
+    assert got == pytest.approx(mean) if mean is not None else got is None
+
+
+def test_envelope_gathers_no_keys(spark):
+    cube = spark.createDataFrame([("A", 1, 4)], "a string, Hour int, n long")
+    plan = matrix.envelope(cube, "a", "Hour", "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_set" not in plan and "collect_list" not in plan
