@@ -50,9 +50,12 @@ def build_session(
 
 
 def apply_runtime_conf(spark: SparkSession) -> None:
-    """Set the runtime SQL options the plans assume (idempotent)."""
+    """Set the runtime SQL options the plans assume, where the submitter has not
+    set them (idempotent)."""
+    given = spark.conf.getAll
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
+        if key not in given:
+            spark.conf.set(key, value)
 
 
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:

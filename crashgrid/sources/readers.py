@@ -1,14 +1,15 @@
 """Readers for the collision table (CSV or Parquet, any Hadoop-compatible path).
 
-CSV is read with an explicit schema (no inference pass): the header line is
-read once to learn which columns are present and in what order, then the file
-is scanned with typed columns. Rows whose values do not fit their type are kept
-(PERMISSIVE), their raw text lands in ``_corrupt_record`` and can be counted.
+CSV is read without an inference pass: the header line is read once to learn
+which columns are present and in what order, then every column is read as text
+and turned into its type. A number such as ``3.0`` is a whole number. Rows with
+text that does not fit are kept, with null for the value; ``_corrupt_record``
+says what did not fit, so they can be counted.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,32 +35,42 @@ def read_collisions_csv(
 
     * Missing required columns raise one :class:`SchemaError` naming all of them.
     * ``Victim_Age`` is optional: added as a null double when absent.
-    * Boolean flags are read as text and normalised (True/true/FALSE/empty).
-    * With ``keep_corrupt`` the raw line of rows that fail a type is kept in
-      ``_corrupt_record`` (see :func:`bad_row_count`).
+    * Boolean flags are text (True/true/FALSE/empty); anything else does not fit.
+    * With ``keep_corrupt``, ``_corrupt_record`` holds the values that do not fit
+      their type, or the raw line if it has too many or too few values, and
+      null for a sound row (see :func:`bad_row_count`).
     """
     header = _header(spark, path, sep)
     missing = [c for c in REQUIRED_COLUMNS if c not in header]
     if missing:
         raise SchemaError("missing columns: " + ", ".join(missing))
-    fields = []
-    for name in header:
-        dtype = COLUMN_TYPES.get(name, T.StringType())
-        if name in FLAG_COLUMNS:
-            dtype = T.StringType()
-        fields.append(T.StructField(name, dtype, True))
-    if keep_corrupt:
-        fields.append(T.StructField(CORRUPT_COL, T.StringType(), True))
-    reader = (
-        spark.read.schema(T.StructType(fields))
-        .option("header", True)
-        .option("sep", sep)
-        .option("mode", "PERMISSIVE")
-        .option("dateFormat", "yyyy-MM-dd")
+    fields = [T.StructField(name, T.StringType(), True) for name in [*header, CORRUPT_COL]]
+    text = (
+        spark.read.schema(T.StructType(fields)).option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT_COL).csv(path)
     )
-    if keep_corrupt:
-        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
-    return normalise(reader.csv(path))
+    typed = {c: typed_text(c) for c in header if c in COLUMN_TYPES}
+    misfits = [
+        F.when((F.trim(c) != "") & v.isNull(), F.concat(F.lit(f"{c}="), F.col(c)))
+        for c, v in typed.items()
+        if not isinstance(COLUMN_TYPES[c], T.StringType)
+    ]
+    corrupt = F.coalesce(F.col(CORRUPT_COL), F.nullif(F.concat_ws(", ", *misfits), F.lit("")))
+    kept = [corrupt.alias(CORRUPT_COL)] if keep_corrupt else []
+    return normalise(text.select(*[typed.get(c, F.col(c)).alias(c) for c in header], *kept))
+
+
+def typed_text(name: str) -> Column:
+    """A contract column read from text; null where the text does not fit."""
+    dtype, text = COLUMN_TYPES[name], F.trim(name)
+    if name in FLAG_COLUMNS:
+        return text_flag(name)
+    if isinstance(dtype, T.IntegerType):
+        number = text.try_cast("double")
+        return F.when(number == F.floor(number), number.try_cast("int"))
+    if isinstance(dtype, T.StringType):
+        return F.col(name)
+    return text.try_cast(dtype)
 
 
 def read_collisions_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -85,17 +96,7 @@ def normalise(df: DataFrame) -> DataFrame:
 
 
 def bad_row_count(df: DataFrame) -> int:
-    """Number of rows whose text did not fit the schema (0 without the column).
-
-    The CSV parser only converts the columns a query references, so every
-    column is referenced (a hash over all of them, aggregated beside the count)
-    so that each value meets its type.
-    """
+    """Number of rows with text that does not fit the contract (0 without the column)."""
     if CORRUPT_COL not in df.columns:
         return 0
-    typed = [c for c in df.columns if c != CORRUPT_COL]
-    row = df.agg(
-        F.count_if(F.col(CORRUPT_COL).isNotNull()).alias("bad"),
-        F.max(F.hash(*typed)).alias("_all_columns"),
-    ).first()
-    return int(row["bad"])
+    return int(df.agg(F.count_if(F.col(CORRUPT_COL).isNotNull())).first()[0])

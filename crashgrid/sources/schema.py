@@ -16,7 +16,7 @@ REQUIRED_COLUMNS = [
 OPTIONAL_COLUMNS = ["Victim_Age"]
 
 COLUMN_TYPES: dict[str, T.DataType] = {
-    "DR_Number": T.LongType(),
+    "DR_Number": T.StringType(),  # only counted and listed: any text is an id
     "Date_Occurred": T.DateType(),
     "Hour": T.IntegerType(),
     "Area_Name": T.StringType(),
@@ -45,22 +45,16 @@ class SchemaError(ValueError):
     """Raised once, naming every missing or mistyped column."""
 
 
-def collision_schema(with_optional: bool = True, text_flags: bool = False) -> T.StructType:
-    """Explicit read schema. ``text_flags`` reads the Boolean columns as strings so
-    that they can be normalised (True/true/FALSE/empty) after the read."""
-    names = REQUIRED_COLUMNS + (OPTIONAL_COLUMNS if with_optional else [])
-    fields = []
-    for name in names:
-        dtype = COLUMN_TYPES[name]
-        if text_flags and isinstance(dtype, T.BooleanType):
-            dtype = T.StringType()
-        fields.append(T.StructField(name, dtype, True))
-    return T.StructType(fields)
+def collision_schema() -> T.StructType:
+    """The contract as a read schema, for sources that need one (streams)."""
+    return T.StructType([T.StructField(name, dtype, True) for name, dtype in COLUMN_TYPES.items()])
 
 
 def _compatible(expected: T.DataType, actual: T.DataType) -> bool:
     if type(expected) is type(actual):
         return True
+    if isinstance(expected, T.StringType) and isinstance(actual, _INTEGRAL):
+        return True
     if isinstance(expected, _INTEGRAL) and isinstance(actual, _INTEGRAL):
         return True
     if isinstance(expected, T.DoubleType) and isinstance(actual, _NUMERIC):

@@ -2,28 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Collection, Mapping
 
 from pyspark.sql import DataFrame
 
-# A result is merged into one CSV file only when it is small: bounded by
-# construction (a roll-up over fixed dimensions) or, when the caller cannot
-# say, checked to have at most this many rows. Everything else is multi-file.
-SINGLE_FILE_ROWS = 1_000_000
-
-
-def write_csv(df: DataFrame, path: str, single_file: bool | None = None, max_rows: int = SINGLE_FILE_ROWS) -> str:
-    """Headered CSV, overwrite. One part file (``coalesce(1)`` after the last,
-    already sorted stage keeps a global sort) only for a result known to be
-    small: ``True`` = bounded by construction (a roll-up over fixed dimensions),
-    ``False`` = row-level, always multi-file, ``None`` = check a row bound first
-    (this runs the result's plan once more, so callers that know should say)."""
-    out = df
-    if single_file is None:
-        single_file = df.limit(max_rows + 1).count() <= max_rows
+def write_csv(df: DataFrame, path: str, single_file: bool, is_sorted: bool = True) -> str:
+    """Headered CSV, overwrite. The caller says whether the result is one file,
+    which is for results bounded by construction (roll-ups over fixed
+    dimensions), at whatever size. A sorted one is merged after its sort, which
+    keeps the order; an unsorted one by a shuffle, so that the stage that makes
+    it still runs on all tasks."""
     if single_file:
-        out = df.coalesce(1)
-    out.write.mode("overwrite").option("header", True).csv(path)
+        df = df.coalesce(1) if is_sorted else df.repartition(1)
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 
@@ -39,15 +30,14 @@ def write_catalogue(
     frames: Mapping[str, DataFrame | Callable[[], DataFrame]],
     root: str,
     fmt: str = "csv",
-    row_level: set[str] | None = None,
+    single_file: Collection[str] = (),
+    unsorted: Collection[str] = (),
 ) -> dict[str, str]:
     """Write each named result once under ``root/<name>``; returns name -> path.
-    Names in ``row_level`` list base rows and are never merged into one file;
-    when ``row_level`` is None every CSV result is size-checked instead."""
+    CSV results named in ``single_file`` are one file each, all others many."""
     written = {}
     for name, frame in frames.items():
         df = frame() if callable(frame) else frame
         path = f"{root.rstrip('/')}/{name}"
-        single = None if row_level is None else name not in row_level
-        written[name] = write_csv(df, path, single) if fmt == "csv" else write_parquet(df, path)
+        written[name] = write_csv(df, path, name in single_file, name not in unsorted) if fmt == "csv" else write_parquet(df, path)
     return written

@@ -27,6 +27,7 @@ def rows(spark: SparkSession, specs: list[dict], derive: bool = True) -> DataFra
         r = dict(_BASE)
         r["DR_Number"] = i + 1
         r.update(spec)
+        r["DR_Number"] = None if r["DR_Number"] is None else str(r["DR_Number"])
         data.append(tuple(r[f.name] for f in schema.fields))
     df = spark.createDataFrame(data, schema)
     if derive:

@@ -2,7 +2,7 @@
 
 import pytest
 
-from crashgrid.session import checkpoint_dir
+from crashgrid.session import RUNTIME_CONF, apply_runtime_conf, checkpoint_dir
 
 
 class _Conf:
@@ -52,3 +52,17 @@ def test_cluster_without_folder_is_an_error():
 
 def test_local_mode_gets_a_temp_folder():
     assert checkpoint_dir(_Session("local[2]"))
+
+
+def test_settings_of_the_submitter_are_kept(spark):
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256m")
+    try:
+        apply_runtime_conf(spark)
+        assert spark.conf.get(key) == "256m"
+        spark.conf.unset(key)
+        apply_runtime_conf(spark)
+        assert spark.conf.get(key) in (old, RUNTIME_CONF[key])
+    finally:
+        spark.conf.set(key, old)
