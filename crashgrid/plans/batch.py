@@ -1,15 +1,11 @@
-"""Run the whole catalogue with one aggregation pass per source.
-
-Running the ~45 queries one by one scans and joins the fact table ~45 times.
-Here the fact is aggregated ONCE per source into a weighted cube at the grain
-of every low-cardinality column the queries use (area, hour, date and the
-labels derived from them, severity, road type, congestion, hotspot), with
-additive weights (id count, row count, exact measure sum and count). The cube
-is checkpointed to the shared checkpoint folder -- reliable storage, so the
-lineage back to the fact is cut and a lost executor does not re-trigger the
-scan -- and every aggregate query is answered from it. Its size is bounded
-by the product of the grain's domains (dates x areas x 24 x a few labels),
-not by the number of rows.
+"""Run the whole catalogue from a few small roll-ups per source.
+
+Running the queries one by one scans and joins the fact table as many times.
+Here every query is answered from a cube (``operators.rollups``) that a handful
+of queries share. A cube's grain is what they look at and no more: dates stay in
+a cube of their own, since an area x hour x date cube would be nearly as large
+as the fact. Cubes are checkpointed to the shared checkpoint folder, so a lost
+executor does not lead back to the fact.
 
 Only the queries that need row-level columns (``Address``, the rows
 themselves) read the fact again.
@@ -17,7 +13,7 @@ themselves) read the fact again.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,41 +24,59 @@ from . import catalogue
 
 ROW_LEVEL_COLUMNS = {"Address", "Latitude", "Longitude"}
 WEIGHT_COLUMNS = {"DR_Number", "Victim_Age"}
+UNSORTED = {"area_rows", "area_hour_rows", "scenario_counts"}
 
 
 def needs_rows(q: catalogue.Query) -> bool:
     return q.rows or bool(ROW_LEVEL_COLUMNS & set(q.columns))
 
 
-def cube_grain(queries: Iterable[catalogue.Query]) -> list[str]:
-    cols: set[str] = set()
-    for q in queries:
-        cols |= set(q.columns) - WEIGHT_COLUMNS
-    # keep the adapter's column order for a stable plan
-    return [c for c in adapters.ALL_COLUMNS if c in cols]
+# What is looked at together. A query reads the first grain that has its columns;
+# a grain is pruned to the columns of the queries that read it.
+GRAINS = (
+    ("Area_Name", "Hour", "Time_of_Day"),
+    ("Area_Name", "Collision_Severity"),
+    ("Day_of_Week", "Is_Weekend", "Date_Occurred"),
+    ("Year", "Month", "Season"),
+    ("Hour", "Road_Type", "Collision_Severity", "Is_Hotspot"),
+    ("Area_Name", "Is_Hotspot", "Hour"),
+    ("Area_Name", "Congestion_Index", "Road_Type"),
+)
+
+
+def assign(queries: Iterable[catalogue.Query]) -> dict[tuple, list[catalogue.Query]]:
+    """(source name, grain) -> queries; a query that no grain fits has its own."""
+    return by_grain({q: (q.source.table, set(q.columns) - WEIGHT_COLUMNS) for q in queries})
+
+
+def by_grain(wanted: Mapping) -> dict[tuple, list]:
+    """name -> (source, columns) turned into (source, pruned grain) -> names."""
+    groups: dict[tuple, list] = {}
+    for name, (source, columns) in wanted.items():
+        grain = next((g for g in GRAINS if columns <= set(g)), tuple(sorted(columns)))
+        groups.setdefault((source, grain), []).append(name)
+    return {
+        (source, tuple(c for c in grain if any(c in wanted[n][1] for n in names))): names
+        for (source, grain), names in groups.items()
+    }
 
 
-def build_cube(spark: SparkSession, sf_dir: str, source: str, grain: list[str], scale: int | None = 2) -> DataFrame:
+def build_cube(spark: SparkSession, sf_dir: str, source: adapters.View, grain: Iterable[str], scale: int | None = catalogue.MEASURE_SCALE) -> DataFrame:
     """Aggregate one source to its weighted cube and checkpoint it (eager)."""
-    make = adapters.incidents if source == catalogue.SHORT else adapters.incidents_long
-    base = make(spark, sf_dir, grain + ["DR_Number", "Victim_Age"])
-    cube = rollups.weighted_cube(base, grain, id_col="DR_Number", measure="Victim_Age", scale=scale)
+    grain = list(grain)
+    base = adapters.incident_cube(spark, sf_dir, source, grain + ["DR_Number", "Victim_Age"], scale=scale)
     checkpoint_dir(spark)
-    return cube.checkpoint(eager=True)
+    return rollups.weighted_cube(base, grain).checkpoint(eager=True)
 
 
 def batch_frames(spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """name -> result frame for the chosen queries (all by default)."""
-    chosen = [catalogue.QUERIES[n] for n in (names or catalogue.QUERIES)]
-    from_cube = [q for q in chosen if not needs_rows(q)]
-    cubes = {}
-    for source in {q.source for q in from_cube}:
-        qs = [q for q in from_cube if q.source == source]
-        cubes[source] = build_cube(spark, sf_dir, source, cube_grain(qs))
-    out = {}
-    for q in chosen:
-        out[q.name] = q.build(spark, sf_dir) if needs_rows(q) else q.fn(cubes[q.source])
-    return out
+    chosen = {n: catalogue.QUERIES[n] for n in (names or catalogue.QUERIES)}
+    out = {n: q.build(spark, sf_dir) for n, q in chosen.items() if needs_rows(q)}
+    for (_, grain), qs in assign(q for q in chosen.values() if not needs_rows(q)).items():
+        cube = build_cube(spark, sf_dir, qs[0].source, grain)
+        out |= {q.name: q.fn(cube) for q in qs}
+    return {n: out[n] for n in chosen}
 
 
 def write_batch(
@@ -71,5 +85,5 @@ def write_batch(
     """Write every chosen result once under ``out_root/<name>``."""
     from ..sources.sinks import write_catalogue
 
-    row_level = {n for n, q in catalogue.QUERIES.items() if needs_rows(q)}
-    return write_catalogue(batch_frames(spark, sf_dir, names), out_root, fmt=fmt, row_level=row_level)
+    small = {n for n, q in catalogue.QUERIES.items() if not needs_rows(q)}
+    return write_catalogue(batch_frames(spark, sf_dir, names), out_root, fmt=fmt, single_file=small, unsorted=UNSORTED)

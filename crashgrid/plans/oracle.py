@@ -1,4 +1,5 @@
-"""Independent DuckDB SQL for every registered query (the correctness oracle).
+"""Independent DuckDB SQL for the registered queries (the correctness oracle),
+all but ``row_and_partition_counts``: SQL knows no partitions.
 
 Written directly against the driver's tables (``events``, ``orders``,
 ``customer``, ``nation``), sharing nothing with the Spark code but the rules
@@ -9,7 +10,7 @@ means and percents (half-even rounding = ``round_even``).
 
 from __future__ import annotations
 
-from .catalogue import INJURY_VALUE, ROAD_VALUE, SEVERITIES, SINGLE_AREA, SLICE_YEARS
+from .catalogue import BAR_UNIT, INJURY_VALUE, ROAD_VALUE, SEVERITIES, SINGLE_AREA, SLICE_YEARS
 
 
 def _site_sql(fact: str, site: str) -> str:
@@ -86,7 +87,8 @@ inc AS (
   LEFT JOIN dim d ON o.o_custkey = d.c_custkey
 )"""
 
-_MEAN = "CAST(SUM(CAST(Victim_Age AS DECIMAL(18,2))) AS DOUBLE) / CAST(COUNT(Victim_Age) AS DOUBLE)"
+_VALUE = "CASE WHEN isfinite(Victim_Age) THEN CAST(Victim_Age AS DECIMAL(38,6)) END"
+_MEAN = f"CAST(SUM({_VALUE}) AS DOUBLE) / CAST(COUNT({_VALUE}) AS DOUBLE)"
 _MONTHS = "['Jan','Feb','Mar','Apr','May','Jun','Jul','Aug','Sep','Oct','Nov','Dec']"
 _PCT = "round_even(CAST({p} AS DOUBLE) / CAST({w} AS DOUBLE) * 100.0, 1)"
 
@@ -194,16 +196,25 @@ SELECT Area_Name,
   {_sev_cols},
   COUNT(DR_Number) AS Total_Collisions
 FROM inc WHERE Area_Name IS NOT NULL GROUP BY Area_Name ORDER BY Total_Collisions DESC, Area_Name""",
+    "severity_matrix_top10": f"""{INCIDENTS}
+SELECT * FROM (
+  SELECT Area_Name,
+    {_sev_cols},
+    COUNT(DR_Number) AS Total_Collisions
+  FROM inc WHERE Area_Name IS NOT NULL GROUP BY Area_Name ORDER BY Total_Collisions DESC, Area_Name LIMIT 10)
+ORDER BY Total_Collisions, Area_Name DESC""",
     "peak_hour_per_area": f"""{INCIDENTS},
 hc AS (SELECT Area_Name, Hour, COUNT(DR_Number) AS n FROM inc GROUP BY Area_Name, Hour),
 mx AS (SELECT Area_Name, MAX(n) AS m FROM hc GROUP BY Area_Name)
 SELECT hc.Area_Name, hc.Hour AS Peak_Hour, hc.n AS Peak_Collisions
-FROM hc JOIN mx ON hc.Area_Name IS NOT DISTINCT FROM mx.Area_Name AND hc.n = mx.m
+FROM hc JOIN mx ON hc.Area_Name = mx.Area_Name AND hc.n = mx.m
 ORDER BY Peak_Collisions DESC""",
     "peak_hour_single": f"""{INCIDENTS},
-hc AS (SELECT Area_Name, Hour, COUNT(DR_Number) AS n FROM inc GROUP BY Area_Name, Hour)
-SELECT Area_Name, Hour AS Peak_Hour, n AS Peak_Collisions FROM hc
-QUALIFY row_number() OVER (PARTITION BY Area_Name ORDER BY n DESC, Hour NULLS LAST) = 1
+hc AS (SELECT Area_Name, Hour, COUNT(DR_Number) AS n FROM inc
+       WHERE Area_Name IS NOT NULL AND Hour IS NOT NULL GROUP BY Area_Name, Hour),
+mx AS (SELECT Area_Name, MAX(n) AS m FROM hc GROUP BY Area_Name)
+SELECT hc.Area_Name, MIN(hc.Hour) AS Peak_Hour, MAX(hc.n) AS Peak_Collisions
+FROM hc JOIN mx ON hc.Area_Name = mx.Area_Name AND hc.n = mx.m GROUP BY hc.Area_Name
 ORDER BY Peak_Collisions DESC""",
     "area_peak_percent": f"""{INCIDENTS}, {_AREA_PEAKS_PATTERN},
 tot AS (SELECT Area_Name, COUNT(*) AS Total_Collisions FROM inc WHERE Area_Name IS NOT NULL GROUP BY Area_Name)
@@ -336,6 +347,14 @@ FROM dd LEFT JOIN dp ON dd.Day_of_Week = dp.Day_of_Week ORDER BY dd.ord""",
 SELECT Hour, Time_of_Day, COUNT(DR_Number) AS Total_Collisions FROM inc
 WHERE Hour IS NOT NULL AND Time_of_Day IS NOT NULL
 GROUP BY Hour, Time_of_Day ORDER BY Total_Collisions DESC, Hour LIMIT 1""",
+    "hour_labels": f"""{INCIDENTS},
+hp AS (SELECT Hour, Time_of_Day, COUNT(DR_Number) AS n FROM inc
+       WHERE Hour IS NOT NULL AND Time_of_Day IS NOT NULL GROUP BY Hour, Time_of_Day)
+SELECT printf('%02d:00', Hour) AS Clock, format('{{:,}}', n) AS Count_Text,
+       printf('%.1f%%', {_PCT.format(p='n', w='SUM(n) OVER ()')}) AS Share_Text,
+       repeat('#', CAST(n // {BAR_UNIT} AS BIGINT)) AS Bar, lower(Time_of_Day) AS Band,
+       Time_of_Day IN ('Morning Rush', 'Evening Rush') AS Is_Rush
+FROM hp ORDER BY Clock""",
     "hour_profile": f"""{INCIDENTS}
 SELECT Hour, Time_of_Day, COUNT(DR_Number) AS Total_Collisions FROM inc
 WHERE Hour IS NOT NULL AND Time_of_Day IS NOT NULL

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dims, formatting, predicates
+from ..functions.enrich import text_flag
 from ..operators import combine, matrix, ranking, rollups, trends
 
 ID = "DR_Number"
@@ -86,8 +87,19 @@ def area_hour_cube(df: DataFrame, alias: str = "Hourly_Count", family: str = "re
 
 
 def peak_hour_per_area(df: DataFrame, ties: str = "all") -> DataFrame:
-    """Peak hour per area; ``ties="all"`` returns every tied hour."""
-    cube = area_hour_cube(df)
+    """Peak hour per named area; ``ties="all"`` returns every tied hour. Counts and
+    maxima are joined by area in the report's definition, so a null area has no
+    peak; a null hour is a group like any other."""
+    return _peaks(area_hour_cube(df.where(F.col("Area_Name").isNotNull())), ties)
+
+
+def peak_hour_single(df: DataFrame) -> DataFrame:
+    """One peak per area, the lowest hour on ties; unknown hours are no peak."""
+    known = df.where(F.col("Area_Name").isNotNull() & F.col("Hour").isNotNull())
+    return _peaks(area_hour_cube(known), "first")
+
+
+def _peaks(cube: DataFrame, ties: str) -> DataFrame:
     return (
         ranking.peak(cube, "Area_Name", "Hourly_Count", by="Hour", ties=ties)
         .select("Area_Name", F.col("Hour").alias("Peak_Hour"), F.col("Hourly_Count").alias("Peak_Collisions"))
@@ -95,10 +107,6 @@ def peak_hour_per_area(df: DataFrame, ties: str = "all") -> DataFrame:
     )
 
 
-def peak_hour_single(df: DataFrame) -> DataFrame:
-    return peak_hour_per_area(df, ties="first")
-
-
 def yearly_trend(df: DataFrame) -> DataFrame:
     return rollups.count_by(df, "Year", TOTAL, where=F.col("Year").isNotNull()).orderBy("Year")
 
@@ -125,7 +133,7 @@ def evening_rush_rows(df: DataFrame) -> DataFrame:
     return df.where(predicates.evening_rush()).select(
         F.col(ID).cast("string").alias("DR_Number"),
         F.col("Area_Name").cast("string").alias("Area_Name"),
-        F.coalesce(F.col("Hour").cast("int"), F.lit(0)).alias("Hour"),
+        F.col("Hour").cast("int").alias("Hour"),  # never null: the range test drops unknown hours
         F.col("Address").cast("string").alias("Address"),
         F.col("Collision_Severity").cast("string").alias("Severity"),
     )
@@ -161,11 +169,6 @@ def scenario_counts(df: DataFrame, road_value: str = "Road", injury_value: str =
     )
 
 
-def _area_peaks(df: DataFrame) -> DataFrame:
-    """Pattern-family peak per area: one hour, lowest on ties."""
-    return ranking.peak(area_hour_rows(df), "Area_Name", CCOUNT, by="Hour", ties="first")
-
-
 def area_peak_percent(df: DataFrame) -> DataFrame:
     """Area total, peak hour, peak count and the peak's percent of the total.
 
@@ -262,7 +265,7 @@ def rush_breakdown(df: DataFrame) -> DataFrame:
     )
 
 
-def day_profile_with_measure(df: DataFrame, scale: int | None = 2) -> DataFrame:
+def day_profile_with_measure(df: DataFrame, scale: int | None = None) -> DataFrame:
     return (
         rollups.count_and_mean(
             df.where(F.col("Day_of_Week").isNotNull()), "Day_of_Week", "Victim_Age", "Avg_Victim_Age", scale=scale
@@ -271,7 +274,7 @@ def day_profile_with_measure(df: DataFrame, scale: int | None = 2) -> DataFrame:
     )
 
 
-def calendar_ordered_days(df: DataFrame, scale: int | None = 2) -> DataFrame:
+def calendar_ordered_days(df: DataFrame, scale: int | None = None) -> DataFrame:
     """Monday..Sunday, a missing day as a row of nulls; unknown labels dropped."""
     spark = df.sparkSession
     return combine.reindex(dims.day_dim(spark), day_profile_with_measure(df, scale), "Day_of_Week", "Day_Order")
@@ -308,7 +311,7 @@ def season_share(df: DataFrame) -> DataFrame:
     return trends.share(ordered, TOTAL).orderBy("Season_Order").drop("Season_Order")
 
 
-def area_stats(df: DataFrame, scale: int | None = 2) -> DataFrame:
+def area_stats(df: DataFrame, scale: int | None = None) -> DataFrame:
     return (
         df.where(F.col("Area_Name").isNotNull())
         .groupBy("Area_Name")
@@ -321,7 +324,7 @@ def area_stats(df: DataFrame, scale: int | None = 2) -> DataFrame:
     )
 
 
-def top10_areas_overlay(df: DataFrame, n: int = 10, scale: int | None = 2) -> DataFrame:
+def top10_areas_overlay(df: DataFrame, n: int = 10, scale: int | None = None) -> DataFrame:
     top = ranking.top_n(area_stats(df, scale), n, _desc(TOTAL, "Area_Name"))
     return top.orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
 
@@ -335,10 +338,17 @@ def severity_matrix(df: DataFrame, severities: Sequence[str] = ("Injury Involved
     cube = rollups.count_by(df, ["Area_Name", "Collision_Severity"], "_n", where=F.col("Area_Name").isNotNull())
     out = matrix.pivot_sum(cube, "Area_Name", "Collision_Severity", list(severities), "_n", total=TOTAL)
     order = _desc(TOTAL, "Area_Name")
-    return ranking.top_n(out, top, order) if top else out.orderBy(*order)
+    if top is None:
+        return out.orderBy(*order)
+    # the chart draws its top areas from the smallest up
+    return ranking.top_n(out, top, order).orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
+
 
+def severity_matrix_top10(df: DataFrame, severities: Sequence[str] = ("Injury Involved", "Property Damage Only")) -> DataFrame:
+    return severity_matrix(df, severities, top=10)
 
-def area_stats_with_peak(df: DataFrame, scale: int | None = 2) -> DataFrame:
+
+def area_stats_with_peak(df: DataFrame, scale: int | None = None) -> DataFrame:
     """Area stats with the peak hour (lowest on ties), null peak when an area has
     no known hour. One aggregation to an (area, hour) cube of additive measures
     (counts, exact decimal sums); stats and peak are window sums over its cells."""
@@ -374,7 +384,7 @@ def area_stats_with_peak(df: DataFrame, scale: int | None = 2) -> DataFrame:
     )
 
 
-def top5_area_peaks(df: DataFrame, n: int = 5, scale: int | None = 2) -> DataFrame:
+def top5_area_peaks(df: DataFrame, n: int = 5, scale: int | None = None) -> DataFrame:
     """The first areas of the stats-with-peak table (the annotated points)."""
     return ranking.top_n(area_stats_with_peak(df, scale), n, _desc(TOTAL, "Area_Name"))
 
@@ -408,6 +418,22 @@ def top20_area_hours(df: DataFrame, n: int = 20) -> DataFrame:
     )
 
 
+def hour_labels(df: DataFrame, unit: int = 3000) -> DataFrame:
+    """The hour profile as the console prints it: clock text, count with
+    thousands, share of all as text, a bar, the band in lower case, and whether
+    the band is a rush, read back from text."""
+    shown = trends.share(hour_profile(df), TOTAL)
+    rush = F.initcap(F.col("Time_of_Day").contains("Rush").cast("string"))
+    return shown.select(
+        formatting.hour_text("Hour").alias("Clock"),
+        formatting.thousands(TOTAL).alias("Count_Text"),
+        formatting.percent_text("Share_Pct").alias("Share_Text"),
+        formatting.count_bar(TOTAL, unit).alias("Bar"),
+        F.lower("Time_of_Day").alias("Band"),
+        text_flag(rush).alias("Is_Rush"),
+    ).orderBy("Clock")
+
+
 HOUR_COLUMNS = [f"H{h:02d}" for h in range(24)]
 
 

@@ -2,79 +2,64 @@
 
 This is the library's equivalent of submitting the original report scripts:
 read the collision table (CSV or Parquet), check its contract, then produce
-the published reports, the pattern outputs and the chart tables. The table is
-aggregated once into a weighted cube (see ``operators.rollups``) that is
-checkpointed to the shared checkpoint folder; every aggregate result reads the
-cube, and only the results that list rows or addresses read the table again.
+the published reports, the pattern outputs and the chart tables. Results that
+look at the same columns share a small cube (see ``plans.batch``), checkpointed
+to the shared folder; only the results that list rows or addresses read the
+table again. Rows with values that do not fit are counted and reported.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
-from functools import partial
+import warnings
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import rollups
 from ..session import checkpoint_dir
 from ..sources import readers, sinks
+from . import batch, catalogue
 from . import reports as R
 
 # Parameters of the single-area and year-slice chart tables.
 CHART_AREA = "77th Street"
 CHART_YEARS = (2018, 2019, 2020, 2021, 2022)
 
-# name -> (report function, needs row-level columns)
-RESULTS: dict[str, tuple[Callable[[DataFrame], DataFrame], bool]] = {
-    # published reports
-    "obj1_peak_hours": (R.count_by_hour_band, False),
-    "obj1_time_of_day": (R.count_by_band, False),
-    "obj1_day_of_week": (R.count_by_day, False),
-    "obj1_weekend_vs_weekday": (R.weekend_split, False),
-    "obj1_seasonal": (R.count_by_season, False),
-    "obj2_dangerous_areas": (R.count_by_area, False),
-    "obj2_road_congestion": (R.congestion_by_area, False),
-    "obj2_hotspot_addresses": (R.hotspot_addresses, True),
-    "obj2_severity_by_area": (R.severity_by_area, False),
-    "obj2_peak_hour_per_district": (R.peak_hour_per_area, False),
-    "obj3_yearly_trend": (R.yearly_trend, False),
-    "obj3_monthly_trend": (R.monthly_trend, False),
-    "obj3_hourly_flow": (R.hourly_flow, False),
-    "obj3_road_type": (R.count_by_road_type, False),
-    # pattern outputs
-    "pattern1_filter_evening_rush": (R.evening_rush_rows, True),
-    "pattern2_agg_hourly_count": (R.hourly_rows, False),
-    "pattern2_agg_area_count": (R.area_rows, False),
-    "pattern2_agg_area_hour_count": (R.area_hour_rows, False),
-    "pattern2_agg_yearly_trend": (R.yearly_rows, False),
-    "pattern3_sort_top_peak_hours": (R.top10_hours, False),
-    "pattern3_sort_top_areas": (R.top5_areas, False),
-    "pattern4_join_area_peak_hour": (R.area_peak_percent, False),
-    "pattern4_join_hotspot_area": (R.hotspot_with_peak, True),
-    "pattern_scenario_counts": (R.scenario_counts, False),
-    "pattern_yearly_direction": (R.yearly_direction, False),
-    # chart tables
-    "chart_hour_profile": (R.hour_profile, False),
-    "chart_overall_peak_hour": (R.overall_peak_hour, False),
-    "chart_rush_breakdown": (R.rush_breakdown, False),
-    "chart_days_with_age": (R.calendar_ordered_days, False),
-    "chart_weekend_daily_average": (R.weekend_daily_average, False),
-    "chart_season_share": (R.season_share, False),
-    "chart_top10_areas_overlay": (R.top10_areas_overlay, False),
-    "chart_severity_matrix": (R.severity_matrix, False),
-    "chart_area_stats_with_peak": (R.area_stats_with_peak, False),
-    "chart_area_hour_heatmap": (R.area_hour_heatmap, False),
-    "chart_monthly_profile": (R.monthly_profile, False),
-    "chart_single_area_flow": (partial(R.single_area_flow, area=CHART_AREA), False),
-    "chart_year_month_slice": (partial(R.year_month_slice, years=CHART_YEARS), False),
-    "chart_top20_area_hours": (R.top20_area_hours, False),
-    "chart_hour_envelope": (R.hour_envelope, False),
+# Result names as published; those without a published name are
+# called pattern_ or chart_ after where the scripts show them.
+# name -> (query of the catalogue, parameters for a collision table)
+RESULTS: dict[str, tuple[str, dict]] = {
+    **{name: (query, {}) for name, query in {**catalogue.REPORTS, **catalogue.PATTERNS}.items()},
+    "pattern_scenario_counts": ("scenario_counts", {}),
+    "pattern_yearly_direction": ("yearly_direction", {}),
+    "chart_hour_profile": ("hour_profile", {}),
+    "chart_hour_labels": ("hour_labels", {}),
+    "chart_overall_peak_hour": ("overall_peak_hour", {}),
+    "chart_rush_breakdown": ("rush_breakdown", {}),
+    "chart_days_with_age": ("calendar_ordered_days", {}),
+    "chart_weekend_daily_average": ("weekend_daily_average", {}),
+    "chart_weekend_pair": ("weekend_pair", {}),
+    "chart_season_share": ("season_share", {}),
+    "chart_top10_areas_overlay": ("top10_areas_overlay", {}),
+    "chart_top15_hotspot_addresses": ("top15_hotspot_addresses", {}),
+    "chart_severity_matrix": ("severity_matrix", {}),
+    "chart_severity_matrix_top10": ("severity_matrix_top10", {}),
+    "chart_peak_hour_single": ("peak_hour_single", {}),
+    "chart_area_stats_with_peak": ("area_stats_with_peak", {}),
+    "chart_top5_area_peaks": ("top5_area_peaks", {}),
+    "chart_area_hour_heatmap": ("area_hour_heatmap", {}),
+    "chart_monthly_profile": ("monthly_profile", {}),
+    "chart_single_area_flow": ("single_area_flow", {"area": CHART_AREA}),
+    "chart_year_month_slice": ("year_month_slice", {"years": CHART_YEARS}),
+    "chart_top20_area_hours": ("top20_area_hours", {}),
+    "chart_hour_envelope": ("hour_envelope", {}),
 }
 
-CUBE_GRAIN = [
-    "Area_Name", "Hour", "Time_of_Day", "Date_Occurred", "Day_of_Week", "Is_Weekend",
-    "Year", "Month", "Season", "Collision_Severity", "Road_Type", "Congestion_Index", "Is_Hotspot",
-]
+
+def report(name: str, df: DataFrame) -> DataFrame:
+    """One result over a collision table or a cube of it."""
+    query, parameters = RESULTS[name]
+    return getattr(R, query)(df, **parameters)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -84,22 +69,31 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return readers.read_collisions_csv(spark, path)
 
 
-def results(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = 2) -> dict[str, DataFrame]:
-    """name -> result frame. Aggregate results come from one checkpointed cube."""
+def results(df: DataFrame, names: Iterable[str] | None = None, scale: int | None = None) -> dict[str, DataFrame]:
+    """name -> result frame. Aggregate results come from checkpointed cubes."""
     chosen = list(names or RESULTS)
     unknown = [n for n in chosen if n not in RESULTS]
     if unknown:
         raise KeyError(f"unknown results: {unknown}")
-    cube = None
-    if any(not RESULTS[n][1] for n in chosen):
-        checkpoint_dir(df.sparkSession)
-        cube = rollups.weighted_cube(df, CUBE_GRAIN, measure="Victim_Age", scale=scale).checkpoint(eager=True)
-    return {n: RESULTS[n][0](df if RESULTS[n][1] else cube) for n in chosen}
+    queries = {n: catalogue.QUERIES[RESULTS[n][0]] for n in chosen}
+    out = {n: report(n, df) for n, q in queries.items() if batch.needs_rows(q)}
+    checkpoint_dir(df.sparkSession)
+    small = {n: ("table", set(q.columns) - batch.WEIGHT_COLUMNS) for n, q in queries.items() if n not in out}
+    for (_, grain), group in batch.by_grain(small).items():
+        cube = rollups.weighted_cube(df, list(grain), measure="Victim_Age", scale=scale).checkpoint(eager=True)
+        out |= {n: report(n, cube) for n in group}
+    return {n: out[n] for n in chosen}
 
 
 def run(spark: SparkSession, input_path: str, output: str, names: Iterable[str] | None = None,
         fmt: str = "csv") -> dict[str, str]:
-    """Read, check, compute and write every chosen result once."""
+    """Read, check, compute and write every chosen result once. Rows with values
+    that do not fit the contract are counted first and a warning says how many:
+    their null values drop them from results that need the value."""
     df = read_table(spark, input_path)
-    row_level = {n for n, (_fn, rows) in RESULTS.items() if rows}
-    return sinks.write_catalogue(results(df, names), output, fmt=fmt, row_level=row_level)
+    bad = readers.bad_row_count(df)
+    if bad:
+        warnings.warn(f"{bad} rows of {input_path} have values that do not fit the contract; those values are null", stacklevel=2)
+    small = {n for n, (q, _) in RESULTS.items() if not batch.needs_rows(catalogue.QUERIES[q])}
+    unsorted = {n for n, (q, _) in RESULTS.items() if q in batch.UNSORTED}
+    return sinks.write_catalogue(results(df, names), output, fmt=fmt, single_file=small, unsorted=unsorted)

@@ -41,6 +41,15 @@ def test_cube_is_checkpointed(spark):
     assert "events.parquet" not in plan  # lineage cut: reads the checkpoint
 
 
+def test_cubes_are_small(spark):
+    """All cubes of one source together hold under a tenth of its rows at sf0.1."""
+    if not have_data("/root/testdata/sf0.1"):
+        pytest.skip("driver tables absent")
+    groups = batch.assign(q for q in catalogue.QUERIES.values() if not batch.needs_rows(q) and q.source is catalogue.SHORT)
+    total = sum(batch.build_cube(spark, "/root/testdata/sf0.1", catalogue.SHORT, grain).count() for _, grain in groups)
+    assert total < 0.1 * spark.read.parquet("/root/testdata/sf0.1/events.parquet").count()
+
+
 def test_weighted_helpers_match_base(spark):
     df = rows(spark, [
         {"Area_Name": "A", "Hour": 1, "Victim_Age": 10.25, "Is_Hotspot": True},

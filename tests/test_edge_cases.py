@@ -29,6 +29,17 @@ def test_peak_first_is_subset_of_all(spark):
     assert first == {("A", 1), ("B", 9)}
 
 
+def test_peaks_of_unknown_areas_and_hours(spark):
+    df = rows(spark, [{"Area_Name": None, "Hour": 1}] * 2 + [{"Area_Name": "A", "Hour": 2}] + [{"Area_Name": "A", "Hour": None}] * 2)
+    assert [tuple(r) for r in R.peak_hour_per_area(df).collect()] == [("A", None, 2)]
+    assert [tuple(r) for r in R.peak_hour_single(df).collect()] == [("A", 2, 1)]
+
+
+def test_severity_top_is_ascending(spark):
+    df = rows(spark, [{"Area_Name": a} for a in "AABBBC"])
+    assert [r.Area_Name for r in R.severity_matrix(df, top=2).collect()] == ["A", "B"]
+
+
 def test_null_keys_keep_and_drop(spark):
     df = rows(spark, [
         {"Area_Name": None, "Hour": 1},

@@ -44,7 +44,8 @@ def con():
 
 
 def test_every_query_has_oracle():
-    assert set(CATALOGUE) <= set(E.oracle_sql()) and set(E.oracle_sql()) <= set(E.queries())
+    assert set(CATALOGUE) - set(E.oracle_sql()) == {"row_and_partition_counts"}  # SQL knows no partitions
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
@@ -55,7 +56,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(CATALOGUE))
+@pytest.mark.parametrize("name", sorted(set(CATALOGUE) & set(E.oracle_sql())))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF_ORACLE)
     srows = [tuple(r) for r in df.collect()]
