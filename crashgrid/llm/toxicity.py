@@ -140,25 +140,32 @@ class ToxicityModel:
 
 
 def document_features(t: Tokens, toxic: np.ndarray, n: int) -> np.ndarray:
-    """Of each text: the largest token log-odds, the expected number of toxic tokens (log), 1."""
+    """Of each text: the largest token log-odds, the expected number of toxic tokens
+    among those tagged so (log), 1. Tokens not tagged add nothing, so a score
+    does not rise with length."""
     most = np.full(n, 1e-4)
     np.maximum.at(most, t.owner, toxic)
     most = np.clip(most, 1e-4, 1 - 1e-4)
-    total = np.bincount(t.owner, np.where(toxic > 0.05, toxic, 0), n)
+    total = np.bincount(t.owner, np.where(toxic >= 0.5, toxic, 0), n)
     return np.stack([np.log(most / (1 - most)), np.log1p(total), np.ones(n)], 1)
 
 
 def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float = 0.8) -> np.ndarray:
-    """Toxic tokens of the labelled texts: words of toxic texts that occur in
-    ``least`` of them, and in clean ones so seldom that, classes weighed alike,
-    ``purity`` of the texts with the word are toxic."""
+    """Toxic tokens of the labelled texts: words of toxic texts that follow at
+    least ``least`` different words there (those of copied passages always
+    follow the same one), and occur in clean texts so seldom that, classes
+    weighed alike, ``purity`` of the texts with the word are toxic."""
     words, at = np.unique(t.words, return_inverse=True)
     seen = np.unique(at.astype(np.int64) * len(labels) + t.owner)
     bad = labels[seen % len(labels)] == 1
     word = seen // len(labels)
     toxic, clean = np.bincount(word[bad], minlength=len(words)), np.bincount(word[~bad], minlength=len(words))
+    inner = ~t.opens & (labels[t.owner] == 1)
+    before = np.r_[0, at[:-1]].astype(np.int64)
+    pairs = np.unique(at[inner].astype(np.int64) * len(words) + before[inner])
+    contexts = np.bincount(pairs // max(1, len(words)), minlength=len(words))
     rate_t, rate_c = toxic / max(1, (labels == 1).sum()), (clean + 0.5) / max(1, (labels == 0).sum())
-    marked = (toxic >= least) & (rate_t / (rate_t + rate_c) >= purity)
+    marked = (contexts >= least) & (toxic >= least) & (rate_t / (rate_t + rate_c) >= purity)
     return marked[at] & (labels[t.owner] == 1)
 
 
