@@ -136,7 +136,7 @@ class Vectors:
 class NoiseContrast:
     """Stochastic steps with one set of noise classes per minibatch."""
 
-    def __init__(self, v: Vectors, mass: np.ndarray, noise: int = 48, rate: float = 0.15, seed: int = 0):
+    def __init__(self, v: Vectors, mass: np.ndarray, noise: int = 32, rate: float = 0.15, seed: int = 0):
         self.v, self.noise, self.rate = v, noise, rate
         self.p = mass / mass.sum()
         self.log_noise = np.log(noise * self.p).astype(np.float32)
@@ -197,7 +197,7 @@ def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return c1, c2
 
 
-def train_vectors(docs: DataFrame, text_col: str, lex: Lexicon, width: int = 16, batch: int = 8192) -> Vectors:
+def train_vectors(docs: DataFrame, text_col: str, lex: Lexicon, width: int = 24, batch: int = 512) -> Vectors:
     """One pass over all rows: every task starts from the same vectors and learns
     on its own rows; the results are averaged by the tokens learnt from."""
     mass = lex.class_mass()
@@ -289,7 +289,7 @@ def scan(docs: DataFrame, lex: Lexicon, tables: Tables) -> DataFrame:
 
 
 def score_texts(
-    docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = 200_000, classes: int = 1022, width: int = 16
+    docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = 200_000, classes: int = 1022, width: int = 24
 ) -> DataFrame:
     """One row (id, n_tokens, n_known, train_tokens, base_score, score) per row
     of ``docs``; base_score is the add-half unigram log10 probability, score the
