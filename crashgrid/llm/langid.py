@@ -94,7 +94,7 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         def folded(lang: str) -> pa.RecordBatch:
             keys, n = (np.concatenate(x) for x in zip(*seen.pop(lang)))
             keys, at = np.unique(keys, return_inverse=True)
-            return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.astype(np.int64)), pa.array(np.bincount(at, n).astype(np.int64))], names=["lang", "key", "n"])
+            return pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(keys.astype(np.int64)), pa.array(np.bincount(at, n).astype(np.int64))], names=["lang", "key", "n"])
 
         for part in byte_chunks(batches, 1):
             langs = part.column(0).to_pylist()

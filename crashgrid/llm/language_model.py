@@ -80,7 +80,7 @@ class Lexicon:
     def class_mass(self) -> np.ndarray:
         """Add-half mass of each class; RARE holds all else, unseen words included."""
         of = self.class_of()[:-1]
-        out = np.bincount(of, self.counts + 0.5, self.classes + 2)
+        out = np.bincount(of, self.counts + 0.5, self.classes + 2).astype(float)
         if END not in self.index:
             out[END_CLASS] = 0.5
         out[RARE] = max(self.mass - out[1:].sum(), 0.5)
@@ -103,7 +103,7 @@ def lexicon(counts: DataFrame, known: int = 200_000, classes: int = 1022, longes
     rows = some.where(step >= (least if least is not None else 1 << 30)).collect() if kept else []
     rows = sorted(rows, key=lambda r: (-r["n"], bytes(r["word"])))
     index = {bytes(r["word"]): i for i, r in enumerate(rows)}
-    return Lexicon(index, np.array([r["n"] for r in rows], np.int64), min(classes, len(rows)), total[0] or 0, total[1])
+    return Lexicon(index, np.array([r["n"] for r in rows], np.int64), min(classes, len(index.keys() - {END})), total[0] or 0, total[1])
 
 
 @dataclass

@@ -34,6 +34,11 @@ class Scratch:
         writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
+    def free_shuffles(self) -> None:
+        """Let Spark delete the shuffle files of finished writes now. It does so
+        once the driver has collected its garbage, which may be long after."""
+        self.spark._jvm.System.gc()
+
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -169,7 +169,7 @@ def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float =
     return marked[at] & (labels[t.owner] == 1)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 30, rate: float = 0.5, decay: float = 1e-6) -> ToxicityModel:
+def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 50, rate: float = 1.0, decay: float = 1e-6) -> ToxicityModel:
     """Maximum likelihood of the token labels by AdaGrad, then a logistic fit of
     the document labels. One class alone: a constant score on its side."""
     t = tokens_of(texts, RangeHash())
@@ -209,7 +209,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
 
 def train(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
-    per_class: int = 1500, most_bytes: int = 20_000,
+    per_class: int = 1000, most_bytes: int = 20_000,
 ) -> ToxicityModel:
     """Fit on a bounded sample: at most ``per_class`` labelled rows of each
     class, first by a hash of the id, with texts of at most ``most_bytes``."""

@@ -1,0 +1,65 @@
+"""The pipeline over sf0.001, stage by stage, against brute force where that is plain."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as P
+from crashgrid.llm import simhash
+
+from .conftest import SF
+
+
+@pytest.fixture(scope="module")
+def stages(spark, tmp_path_factory):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    out = {"documents": docs}
+    for name, stage in P.STAGES:
+        path = str(tmp_path_factory.mktemp("stages") / name)
+        stage(spark, docs, SF).write.parquet(path)
+        docs = out[name] = spark.read.parquet(path)
+    return out
+
+
+def test_stages_keep_the_columns(stages):
+    first = stages["documents"]
+    for name, _ in P.STAGES[:-1]:
+        assert stages[name].columns == first.columns, name
+        assert stages[name].dtypes == first.dtypes, name
+
+
+def test_one_document_of_each_group_stays(stages):
+    before = stages["toxicity"]
+    groups = simhash.simhash_groups(before).select("doc_id", "component_id").collect()
+    assert {r.doc_id for r in stages["simhash"].collect()} == {r.component_id for r in groups}
+
+
+def test_contaminated_documents_go(stages, spark):
+    import re
+
+    word = re.compile("[0-9a-z\x80-\U0010ffff]+")
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    wins = {tuple(w[i : i + 10]) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect() for w in [word.findall(lower(r.text))] for i in range(len(w) - 9)}
+    clean = set()
+    for r in stages["simhash"].collect():
+        w = word.findall(lower(r.text))
+        if not any(tuple(w[i : i + 10]) in wins for i in range(len(w) - 9)):
+            clean.add(r.doc_id)
+    assert {r.doc_id for r in stages["decontamination"].collect()} == clean
+    assert len(clean) < stages["simhash"].count()
+
+
+def test_secrets_are_redacted_and_documents_stay(stages):
+    before = {r.doc_id: r for r in stages["decontamination"].collect()}
+    after = {r.doc_id: r for r in stages["secrets"].collect()}
+    assert before.keys() == after.keys()
+    changed = [i for i in before if before[i].text != after[i].text]
+    assert all("[SECRET]" in after[i].text and len(after[i].text) == after[i].n_chars for i in changed)
+    assert not any("AKIA" in r.text or "password=" in r.text for r in after.values())
+
+
+def test_run_returns_the_last_stage(spark, stages):
+    got = P.run(spark, SF)
+    assert got.columns == stages["sentencepiece"].columns
+    key = lambda df: sorted((r.doc_id, r.ids_sha256, r.n_tokens) for r in df.collect())
+    assert key(got) == key(stages["sentencepiece"])
+    assert got.where(F.size("ids") != F.col("n_tokens")).count() == 0
