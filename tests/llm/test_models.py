@@ -65,12 +65,12 @@ def test_toxicity_cases(spark):
     bad = [f"w{i} you a{i} idiot x{i} moron y{i}" for i in range(40)]
     good = [f"w{i} you a{i} friend x{i} hello y{i}" for i in range(40)]
     model = toxicity.fit([t.encode() for t in bad + good], np.array([1] * 40 + [0] * 40))
-    rows = [(1, "é you idiot"), (1, "é you idiot"), (2, None), (None, ""), (3, "nice friend " * 20_000), (4, "!!!")]
+    rows = [(1, "é so idiot b"), (1, "é so idiot b"), (2, None), (None, ""), (3, "nice friend " * 20_000), (4, "!!!")]
     docs = spark.createDataFrame([(*r, 0.5) for r in rows], "doc_id long, text string, score double")
     got = toxicity.score(docs, model).collect()
     assert len(got) == 6 and toxicity.score(docs.limit(0), model).count() == 0
     assert all((r.score >= 0.5) == (r.doc_id == 1) for r in got)
-    assert [[tuple(s) for s in r.spans] for r in got if r.doc_id == 1] == [[(6, 11)]] * 2
+    assert [[tuple(s) for s in r.spans] for r in got if r.doc_id == 1] == [[(5, 10)]] * 2
     clean = toxicity.keep_clean(docs, model)
     assert clean.columns == docs.columns and clean.count() == 4
     one_class = toxicity.fit([b"a b", b"c d"], np.array([0, 0]))
