@@ -28,8 +28,11 @@ WITH d AS (
   SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS l
   FROM documents),
-pos AS (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d),
-win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, array_to_string(w[i:i+4], ' ')) AS c FROM pos),
+pos AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+five AS (
+  SELECT doc_id, i, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS s
+  FROM pos WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+win AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS c FROM five WHERE s IS NOT NULL),
 rep AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM win WHERE c > 1) GROUP BY doc_id),
 m AS (
