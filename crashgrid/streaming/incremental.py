@@ -63,10 +63,21 @@ def start(
     if query_name:
         writer = writer.queryName(query_name)
     if sink == "parquet":
-        # file sinks only take appends: rewrite the full result per micro-batch
-        def _overwrite(batch: DataFrame, _epoch: int) -> None:
-            batch.write.mode("overwrite").parquet(path)
+        # the full result of a micro-batch goes to a folder of its own, so readers
+        # never meet a half-written one; a repeated batch rewrites only its own
+        def _write(batch: DataFrame, epoch: int) -> None:
+            batch.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
-        return writer.foreachBatch(_overwrite).start()
+        return writer.foreachBatch(_write).start()
     writer = writer.format(sink)
     return writer.start(path) if path else writer.start()
+
+
+def current(spark: SparkSession, path: str) -> DataFrame:
+    """The counts of the last micro-batch that :func:`start` has finished writing."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/epoch=*/_SUCCESS")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern)
+    folders = [f.getPath().getParent() for f in found or []]
+    if not folders:
+        raise FileNotFoundError(f"no finished batch under {path}")
+    return spark.read.parquet(max(folders, key=lambda p: int(p.getName().split("=")[1])).toString())

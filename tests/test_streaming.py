@@ -29,7 +29,7 @@ def test_running_counts_match_batch(spark):
         q.processAllAvailable()
     finally:
         q.stop()
-    got = {(r.Area_Name, r.Hour): r.Collision_Count for r in spark.read.parquet(out).collect()}
+    got = {(r.Area_Name, r.Hour): r.Collision_Count for r in incremental.current(spark, out).collect()}
     both = first.unionByName(second)
     want = {(r.Area_Name, r.Hour): r.Collision_Count for r in R.hourly_flow(both).collect()}
     assert got == want == {("A", 7): 3, ("A", 18): 3, ("B", 7): 1}
