@@ -17,7 +17,7 @@ def _rule_sql() -> str:
     tests = []
     for r in quality.RULES:
         bounds = ([f"{r.metric} < {r.low}"] if r.low is not None else []) + ([f"{r.metric} > {r.high}"] if r.high is not None else [])
-        tests.append(f"CASE WHEN {' OR '.join(bounds)} THEN '{r.metric}' END")
+        tests.append(f"CASE WHEN ({' OR '.join(bounds)}) AND n_words >= {r.least_words} THEN '{r.metric}' END")
     return f"concat_ws(',', {', '.join(tests)})"
 
 

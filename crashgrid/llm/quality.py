@@ -22,19 +22,21 @@ SYMBOLS = "#*$%&|<>"
 
 @dataclass(frozen=True)
 class Rule:
-    """``metric`` must lie in [low, high]; a bound of None is open."""
+    """``metric``, a column of ``quality_rules``, must lie in [low, high]; a bound of
+    None is open. Texts of under ``least_words`` words are not judged by it: a
+    ratio over few words says little."""
 
     metric: str
     low: float | None = None
     high: float | None = None
+    least_words: int = 0
 
 
-# Metrics are defined in ``measures``. A rule reads one of them.
 RULES = (
     Rule("n_words", low=10),
     Rule("mean_word_chars", low=2, high=20),
     Rule("symbols_per_word", high=0.7),
-    Rule("stop_word_ratio", low=0.01),
+    Rule("stop_word_ratio", low=0.01, least_words=30),
     Rule("dup_line_ratio", high=0.5),
 )
 
@@ -131,4 +133,4 @@ def _breaks(rule: Rule) -> Column:
         out = out | (F.col(rule.metric) < F.lit(rule.low))
     if rule.high is not None:
         out = out | (F.col(rule.metric) > F.lit(rule.high))
-    return out
+    return out & (F.col("n_words") >= rule.least_words) if rule.least_words else out
