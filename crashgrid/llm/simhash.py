@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import Scratch, byte_chunks, texts_of
+from .shared import Scratch, byte_chunks, free_name, row_key, texts_of
 
 BITS = 64
 SEED = 42
@@ -54,15 +54,16 @@ def fingerprint_of(text: bytes, shingle_words: int = 4) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4) -> DataFrame:
-    """(id, fp): the fingerprint of each row as a signed long; null text as empty."""
+    """(id, key, fp): each row's id, the digest of its id and text, and its
+    fingerprint as a signed long; null text as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in byte_chunks(batches, 1):
-            fps = np.fromiter((fingerprint_of(t, shingle_words) for t in texts_of(part.column(1))), np.uint64, part.num_rows)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], names=["id", "fp"])
+        for part in byte_chunks(batches, 2):
+            fps = np.fromiter((fingerprint_of(t, shingle_words) for t in texts_of(part.column(2))), np.uint64, part.num_rows)
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(fps.view(np.int64))], names=["id", "key", "fp"])
 
-    ids = dict(docs.dtypes)[id_col]
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {ids}, fp long")
+    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("key"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {dict(docs.dtypes)[id_col]}, key string, fp long")
 
 
 def segment_masks(bits: int) -> list[int]:
@@ -88,13 +89,11 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
         raise ValueError("bits must be even: the meeting points lie bits / 2 from either fingerprint")
     masks = F.array(*[F.lit(m).cast("long") for m in segment_masks(bits)])
     index = fps.select("fp", F.posexplode(masks).alias("j", "mask")).select("fp", "j", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
-    sizes = index.groupBy("j", "key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = scratch.write(index.join(sizes, ["j", "key"]).select("j", "key", "fp", "n"), "shared")
-    near = (
-        shared.where(F.col("n") <= max_bucket).groupBy("j", "key").agg(F.collect_list("fp").alias("fps"))
-        .select(F.explode("fps").alias("a"), "fps")
-        .select("a", F.explode(F.filter("fps", lambda b: (b > F.col("a")) & (F.bit_count(b.bitwiseXOR(F.col("a"))) <= bits))).alias("b"))
-    )
+    crowded = scratch.write(index.groupBy("j", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_bucket).select("j", "key"), "crowded")
+    met = index.join(crowded, ["j", "key"], "left_anti").groupBy("j", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    apart = lambda a, b: (b > a) & (F.bit_count(b.bitwiseXOR(a)) <= bits)
+    pairs = F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: apart(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
+    near = met.select(F.inline(F.flatten(pairs)))
     points = ball(bits // 2)
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +105,7 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
                     [pa.array(at_points.view(np.int64)), pa.array(np.repeat(fp, len(points)).view(np.int64))], names=["point", "fp"]
                 )
 
-    hot = shared.where(F.col("n") > max_bucket).select("fp").distinct()
+    hot = index.join(crowded, ["j", "key"], "left_semi").select("fp").distinct()
     met = hot.mapInArrow(expand, "point long, fp long").groupBy("point").agg(F.collect_set("fp").alias("fps"))
     dense = (
         met.where(F.size("fps") > 1).select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b")
@@ -114,6 +113,17 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
     return near.unionByName(dense).distinct()
 
 
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, bits: int, max_bucket: int) -> DataFrame:
+    """(id, key, fp, root): the fingerprint that stands for each row's component."""
+    scratch = Scratch(docs.sparkSession, "simhash")
+    rows = scratch.write(fingerprints(docs, id_col, text_col, shingle_words), "rows")
+    # as many partitions as any shuffle: few bytes here become 64 rows each
+    wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    linked = links(rows.select("fp").repartition(wide, "fp").distinct(), scratch, bits, max_bucket)
+    roots = scratch.write(connected_components(linked, scratch).select(F.col("node").alias("fp"), "root"), "roots")
+    return rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+
+
 def simhash_groups(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, bits: int = 4, max_bucket: int = 64
 ) -> DataFrame:
@@ -125,14 +135,20 @@ def simhash_groups(
     null id is never a component id unless its whole component has null ids.
     An empty table gives an empty result. Other columns are ignored.
     """
-    scratch = Scratch(docs.sparkSession, "simhash")
-    rows = scratch.write(fingerprints(docs, id_col, text_col, shingle_words), "rows")
-    fps = rows.groupBy("fp").agg(F.min("id").alias("first_id"))
-    linked = links(fps.select("fp"), scratch, bits, max_bucket)
-    roots = connected_components(linked, scratch).select(F.col("node").alias("fp"), "root")
-    placed = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    best = placed.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    by_fp = scratch.write(placed.join(best, "root").select("fp", "component_id"), "classes")
-    return rows.join(by_fp, "fp").select(
+    rows = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
+    best = rows.groupBy("root").agg(F.min("id").alias("component_id"))
+    return rows.join(best, "root").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, bits: int = 4, max_bucket: int = 64
+) -> DataFrame:
+    """The rows of ``docs``, all columns, but one per component: that with the
+    smallest id (a null id only if there is no other). Cases as in
+    ``simhash_groups``; of rows alike in id and text one stays."""
+    rows = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
+    key = free_name(docs, "row_key")
+    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best")).select(F.col("best.key").alias(key))
+    return docs.withColumn(key, row_key(id_col, text_col)).join(best, key, "left_semi").dropDuplicates([key]).drop(key)
