@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -90,7 +91,9 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
     masks = F.array(*[F.lit(m).cast("long") for m in segment_masks(bits)])
     index = fps.select("fp", F.posexplode(masks).alias("j", "mask")).select("fp", "j", F.col("fp").bitwiseAND(F.col("mask")).alias("key"))
     crowded = scratch.write(index.groupBy("j", "key").agg(F.count("*").alias("n")).where(F.col("n") > max_bucket).select("j", "key"), "crowded")
-    met = index.join(crowded, ["j", "key"], "left_anti").groupBy("j", "key").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1)
+    # most keys have one fingerprint: counted over sorted rows, they never reach a list
+    rest = index.join(crowded, ["j", "key"], "left_anti").withColumn("n", F.count("*").over(W.partitionBy("j", "key")))
+    met = rest.where("n > 1").groupBy("j", "key").agg(F.collect_list("fp").alias("fps"))
     apart = lambda a, b: (b > a) & (F.bit_count(b.bitwiseXOR(a)) <= bits)
     pairs = F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: apart(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b"))))
     near = met.select(F.inline(F.flatten(pairs)))
@@ -106,10 +109,10 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
                 )
 
     hot = index.join(crowded, ["j", "key"], "left_semi").select("fp").distinct()
-    met = hot.mapInArrow(expand, "point long, fp long").groupBy("point").agg(F.collect_set("fp").alias("fps"))
-    dense = (
-        met.where(F.size("fps") > 1).select(F.array_min("fps").alias("a"), F.explode("fps").alias("b")).where("a != b")
-    )
+    # a window, not a set per point: rows stay in Spark's own sorted, spilling form
+    lowest = F.min("fp").over(W.partitionBy("point"))
+    met = hot.mapInArrow(expand, "point long, fp long").withColumn("a", lowest)
+    dense = met.where("a != fp").select("a", F.col("fp").alias("b"))
     return near.unionByName(dense).distinct()
 
 
