@@ -56,7 +56,7 @@ def tokens_of(texts: list[bytes], hasher: RangeHash) -> Tokens:
     before, after = np.zeros_like(words), np.zeros_like(words)
     before[1:] = np.where(opens[1:], 0, words[:-1])
     after[:-1] = np.where(opens[1:], 0, words[1:])
-    parts = [words, before, after, hasher.ranges(prefix, starts, np.minimum(starts + 4, ends)), hasher.ranges(prefix, np.maximum(ends - 4, starts), ends)]
+    parts = [words, before, after, hasher.ranges(prefix, starts, np.minimum(starts + 4, ends)), hasher.ranges(prefix, starts, np.minimum(starts + 6, ends))]
     features = np.stack([(p % np.uint64(TABLE)).astype(np.int32) + k * TABLE for k, p in enumerate(parts)]) if len(starts) else np.zeros((TEMPLATES, 0), np.int32)
     return Tokens(features, words, starts, ends, owner, opens)
 
@@ -153,8 +153,8 @@ def document_features(t: Tokens, toxic: np.ndarray, n: int) -> np.ndarray:
 def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float = 0.8) -> np.ndarray:
     """Toxic tokens of the labelled texts: words of toxic texts that follow at
     least ``least`` different words there (those of copied passages always
-    follow the same one), and occur in clean texts so seldom that, classes
-    weighed alike, ``purity`` of the texts with the word are toxic."""
+    follow the same one), of whose texts ``purity`` are toxic, classes weighed
+    alike, and more than the luckiest of as many indifferent words would have."""
     words, at = np.unique(t.words, return_inverse=True)
     seen = np.unique(at.astype(np.int64) * len(labels) + t.owner)
     bad = labels[seen % len(labels)] == 1
@@ -165,13 +165,17 @@ def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float =
     pairs = np.unique(at[inner].astype(np.int64) * len(words) + before[inner])
     contexts = np.bincount(pairs // max(1, len(words)), minlength=len(words))
     rate_t, rate_c = toxic / max(1, (labels == 1).sum()), (clean + 0.5) / max(1, (labels == 0).sum())
-    marked = (contexts >= least) & (toxic >= least) & (rate_t / (rate_t + rate_c) >= purity)
+    some, share = toxic + clean, (labels == 1).mean()
+    excess = (toxic - share * some) / np.sqrt(np.maximum(some * share * (1 - share), 1e-9))
+    luck = np.sqrt(2 * np.log(max(2, (some >= least).sum())))
+    marked = (contexts >= least) & (toxic >= least) & (rate_t / (rate_t + rate_c) >= purity) & (excess >= luck)
     return marked[at] & (labels[t.owner] == 1)
 
 
-def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 50, rate: float = 1.0, decay: float = 1e-6) -> ToxicityModel:
+def fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float] = (1.0, 1.0), rounds: int = 50, rate: float = 1.0, decay: float = 1e-6) -> ToxicityModel:
     """Maximum likelihood of the token labels by AdaGrad, then a logistic fit of
-    the document labels. One class alone: a constant score on its side."""
+    the document labels, where a text counts as its class's member of ``weights``.
+    One class alone: a constant score on its side."""
     t = tokens_of(texts, RangeHash())
     gold = token_labels(t, labels)
     # A prior in favour of clean tokens: features never seen stay clean.
@@ -192,18 +196,18 @@ def fit(texts: list[bytes], labels: np.ndarray, rounds: int = 50, rate: float =
         chain.moves += 0.1 * move / np.sqrt(move_sums)
     chain.weights = chain.weights.astype(np.float32)
     x = document_features(t, chain.marginals(t)[0], len(texts))
-    return ToxicityModel(chain, _logistic(x, labels))
+    return ToxicityModel(chain, _logistic(x, labels, np.asarray(weights)[labels]))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton steps; rows weighed so that both classes count alike, but for the
-    ridge, which keeps a separable fit finite."""
+def _logistic(x: np.ndarray, y: np.ndarray, weights: np.ndarray, ridge: float = 1.0) -> np.ndarray:
+    """Newton steps on weighted rows; the ridge keeps a separable fit finite."""
     w = np.zeros(x.shape[1])
+    weights = weights / weights.mean()
     penalty = ridge * np.diag([1.0] * (x.shape[1] - 1) + [1e-3])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        hess = (x * (p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w))
-        w = w + np.linalg.solve(hess, x.T @ (y - p) - penalty @ w)
+        hess = (x * (weights * p * (1 - p))[:, None]).T @ x + penalty + 1e-9 * np.eye(len(w))
+        w = w + np.linalg.solve(hess, x.T @ (weights * (y - p)) - penalty @ w)
     return w
 
 
@@ -212,7 +216,8 @@ def train(
     per_class: int = 1000, most_bytes: int = 20_000,
 ) -> ToxicityModel:
     """Fit on a bounded sample: at most ``per_class`` labelled rows of each
-    class, first by a hash of the id, with texts of at most ``most_bytes``."""
+    class, first by a hash of the id, with texts of at most ``most_bytes``. The
+    document scores are fitted to the classes' shares among all labels."""
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     order = F.xxhash64("id")
     ids = None
@@ -225,7 +230,10 @@ def train(
         .join(F.broadcast(ids), "id")  # at most 2 * per_class ids
         .select("text", "label", F.xxhash64("id", "text").alias("at")).toPandas().sort_values("at")
     )
-    return fit([t.encode() for t in rows["text"]], rows["label"].to_numpy(np.int64))
+    found = rows["label"].to_numpy(np.int64)
+    shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
+    weights = tuple(shares.get(c, 0) / max(1, (found == c).sum()) or 1.0 for c in (0, 1))
+    return fit([t.encode() for t in rows["text"]], found, weights)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
