@@ -24,7 +24,7 @@ from .shared import byte_chunks, texts_of
 
 SPACE = "▁"
 NO_PAIR = np.iinfo(np.int32).max
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 300_000
 
 
 @dataclass(frozen=True)
@@ -91,7 +91,8 @@ class Codec:
             if len(p) == 1:
                 self.char_ids[ord(p)] = i
 
-        self.id_text = [str(i) for i in range(self.size)]
+        self.numbers = list(range(self.size))
+        self.id_text = [str(i) for i in self.numbers]
         self.is_byte = np.array([k == "byte" for k in v.kinds])
         self.kinds, self.controls = v.kinds, {i for i, k in enumerate(v.kinds) if k == "control"}
         self.surface = [
@@ -186,7 +187,8 @@ class Codec:
         owners = np.concatenate([o for o, _ in done])
         ids = np.concatenate([s for _, s in done])
         order = np.argsort(owners, kind="stable")
-        ids, ends = ids[order].tolist(), np.cumsum(np.bincount(owners, minlength=len(segments))).tolist()
+        # the same number objects for all segments: they outnumber everything else kept
+        ids, ends = [*map(self.numbers.__getitem__, ids[order].tolist())], np.cumsum(np.bincount(owners, minlength=len(segments))).tolist()
         return [tuple(ids[a:b]) for a, b in zip([0, *ends[:-1]], ends)]
 
     def _careful(self, to: np.ndarray, chosen: np.ndarray, first: np.ndarray) -> np.ndarray:
