@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -36,8 +37,11 @@ class Scratch:
 
     def free_shuffles(self) -> None:
         """Let Spark delete the shuffle files of finished writes now. It does so
-        once the driver has collected its garbage, which may be long after."""
-        self.spark._jvm.System.gc()
+        once the driver has collected its garbage, which may be long after; what
+        refers to a finished plan goes first, so it takes more than one pass."""
+        for _ in range(3):
+            self.spark._jvm.System.gc()
+            time.sleep(0.7)
 
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
