@@ -35,7 +35,7 @@ class Rule:
 RULES = (
     Rule("n_words", low=10),
     Rule("mean_word_chars", low=2, high=20),
-    Rule("symbols_per_word", high=0.7),
+    Rule("symbols_per_word", high=0.1),
     Rule("stop_word_ratio", low=0.01, least_words=30),
     Rule("dup_line_ratio", high=0.5),
 )

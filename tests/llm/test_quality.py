@@ -35,6 +35,13 @@ def test_verdicts(spark):
     assert Q.quality_rules(docs.limit(0)).count() == 0
 
 
+def test_pipe_lists_fail_and_prose_stays(spark):
+    good = "The cat sat on the mat and looked at the moon that was bright in the sky."
+    rows = [(1, " | ".join(good.split())), (2, good + "\n" + " | ".join(["the", "moon", "and", "sky"] * 2 + ["is"])), (3, good), (4, good + " It cost $5 & more.")]
+    got = {r.doc_id: (r.failed_rules, r.kept) for r in Q.quality_rules(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("symbols_per_word", False), 2: ("symbols_per_word", False), 3: ("", True), 4: ("", True)}
+
+
 def test_one_native_projection(spark):
     docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     plan = Q.quality_rules(docs)._jdf.queryExecution().optimizedPlan().toString()
