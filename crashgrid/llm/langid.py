@@ -112,27 +112,34 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return rows.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share: float = 0.2, cells: int = 1 << 18, hashes: int = 3, per_language: int = 20_000) -> LanguageFilters:
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share: float = 0.2, cells: int = 1 << 18, hashes: int = 3) -> LanguageFilters:
     """Filters from all labelled rows. An n-gram belongs to every language whose
-    rate of it is at least ``share`` of the highest; of these a filter keeps the
-    ``per_language`` most frequent, which bounds what the driver gathers."""
-    from pyspark.sql import Window as W
-
-    counts = Scratch(docs.sparkSession, "langid").write(count_grams(docs, text_col, lang_col), "grams")
+    rate of it is at least ``share`` of the highest. There are ``cells`` cells, or
+    the next power of two over 8 for each n-gram of the largest filter; their bits
+    are set by a distributed bit_or, so the driver gathers cells, not n-grams."""
+    scratch = Scratch(docs.sparkSession, "langid")
+    counts = scratch.write(count_grams(docs, text_col, lang_col), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
     rates = counts.join(F.broadcast(totals), "lang").withColumn("rate", F.col("n") / F.col("total"))  # a row per language
     top = rates.groupBy("key").agg(F.max("rate").alias("top"))
-    held = rates.join(top, "key").where(F.col("rate") >= share * F.col("top"))
-    first = held.withColumn("rank", F.row_number().over(W.partitionBy("lang").orderBy(F.desc("n"), "key"))).where(F.col("rank") <= per_language)
-    got = first.select("lang", "key").toPandas()
-    languages = tuple(sorted(got["lang"].unique())) or ("und",)
+    held = scratch.write(rates.join(top, "key").where(F.col("rate") >= share * F.col("top")).select("lang", "key"), "held")
+    sizes = {r["lang"]: r["count"] for r in held.groupBy("lang").count().collect()}
+    languages = tuple(sorted(sizes)) or ("und",)
     if len(languages) > 64:
         raise ValueError("a mask holds 64 languages")
+    cells = max(cells, 1 << (8 * max(sizes.values(), default=1) - 1).bit_length())
+    bits = {lang: int(np.uint64(1 << k).astype(np.int64)) for k, lang in enumerate(languages)}
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(1).to_numpy().astype(np.uint32)
+            bit = np.array([bits[x] for x in batch.column(0).to_pylist()], np.int64)
+            at = np.concatenate([_cell(keys, h, cells) for h in range(hashes)])
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.tile(bit, hashes))], names=["cell", "bit"])
+
+    got = held.mapInArrow(place, "cell long, bit long").groupBy("cell").agg(F.expr("bit_or(bit)").alias("mask")).toPandas()
     table = np.zeros(cells, np.uint64)
-    for k, lang in enumerate(languages):
-        keys = got.loc[got["lang"] == lang, "key"].to_numpy(np.int64).astype(np.uint32)
-        for h in range(hashes):
-            np.bitwise_or.at(table, _cell(keys, h, cells), np.uint64(1 << k))
+    table[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).view(np.uint64)
     fill = np.array([((table >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
     return LanguageFilters(languages, table, hashes, fill**hashes)
 

@@ -102,6 +102,17 @@ def test_filters_hold_what_they_were_given():
     assert (f.masks(others) > 0).mean() < 0.02
 
 
+def test_filters_hold_every_counted_gram(spark):
+    rng = np.random.default_rng(3)
+    word = lambda n, low, high: "".join(chr(c) for c in rng.integers(low, high, n))
+    texts = {"ja": " ".join(word(12, 0x4E00, 0x9F00) for _ in range(1500)), "ru": " ".join(word(6, 0x430, 0x450) for _ in range(50))}
+    filters = langid.train(spark.createDataFrame(list(texts.items()), "lang string, text string"))
+    for k, lang in enumerate(filters.languages):
+        keys = np.unique(langid.gram_keys([texts[lang]])[0])
+        assert lang != "ja" or len(keys) > 20_000
+        assert ((filters.masks(keys) >> np.uint64(k)) & np.uint64(1)).all()
+
+
 def test_language_cases(spark):
     train = [("en", "the cat and the dog"), ("de", "der Hund und die Katze"), ("en", None), (None, "le chat"), ("de", "")] * 3
     filters = langid.train(spark.createDataFrame(train, "lang string, text string"))
