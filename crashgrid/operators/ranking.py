@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
 TIES = ("all", "first")
 
 
@@ -52,6 +55,49 @@ def with_rank_number(df: DataFrame, order: Sequence[str | Column], alias: str =
     return df.withColumn(alias, F.row_number().over(Window.orderBy(*_order(order))))
 
 
+def with_global_rank(
+    df: DataFrame, order: Sequence[str | Column], alias: str = "Rank", within: Sequence[str] = (), total: str | None = None
+) -> DataFrame:
+    """1..N position under ``order``, for results of any size: the numbers that
+    ``row_number`` would give, without one task that sees every row.
+
+    Rows are dealt to partitions by range, sorted there and written to the
+    checkpoint folder with their place, so ranges sampled once stay as they are.
+    A row's number is its place in its partition plus the rows of the partitions
+    before, of which there is one count each. With ``within``, positions start
+    again in each group (null is a group); a group may span any number of
+    partitions. ``total`` adds the group's size, or that of all rows. Equal rows
+    are numbered in any order.
+    """
+    spark = df.sparkSession
+    checkpoint_dir(spark)
+    keys = [F.col(g).asc_nulls_first() for g in within] + _order(order)
+    tied = df.withColumn("_tie", F.monotonically_increasing_id())
+    placed = (
+        tied.repartitionByRange(*keys, "_tie").sortWithinPartitions(*keys, "_tie").drop("_tie")
+        .withColumn("_place", F.monotonically_increasing_id()).checkpoint()
+    )
+    part, index = F.shiftright("_place", 33), F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    placed = placed.withColumns({"_part": part, "_index": index}).drop("_place")
+    runs = placed.groupBy("_part", *within).agg(F.count(F.lit(1)).alias("_n"), F.min("_index").alias("_first"))
+    if within:
+        group = Window.partitionBy(*within)
+        before = F.sum("_n").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+        runs = runs.select("_part", *within, "_first", before.alias("_before"), F.sum("_n").over(group).alias("_total"))
+    else:  # one row per partition
+        counted = sorted((r["_part"], r["_n"]) for r in runs.collect())
+        ends = list(accumulate(n for _, n in counted))
+        rows = [(p, 0, end - n, ends[-1]) for (p, n), end in zip(counted, ends)]
+        runs = F.broadcast(spark.createDataFrame(rows, "_part int, _first long, _before long, _total long"))
+    runs = runs.select("_first", "_before", "_total", F.col("_part").alias("_run"), *[F.col(g).alias(f"_run_{g}") for g in within])
+    same = F.col("_part").cast("int") == F.col("_run").cast("int")
+    for g in within:
+        same &= F.col(g).eqNullSafe(F.col(f"_run_{g}"))
+    number = (F.col("_before") + F.col("_index") - F.col("_first") + 1).alias(alias)
+    sized = [F.col("_total").alias(total)] if total else []
+    return placed.join(runs, same).select(*df.columns, number, *sized)
+
+
 def overall_peak(df: DataFrame, value: str, by: str) -> DataFrame:
     """Single row with the highest ``value``, lowest ``by`` on ties."""
     return top_n(df, 1, [F.col(value).desc(), F.col(by).asc_nulls_last()])

@@ -5,10 +5,11 @@ import os
 import tempfile
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from crashgrid.functions import enrich, formatting
-from crashgrid.operators import matrix, rollups
+from crashgrid.operators import matrix, ranking, rollups
 from crashgrid.plans import batch
 from crashgrid.sources import readers
 
@@ -84,3 +85,24 @@ def test_envelope_gathers_no_keys(spark):
     cube = spark.createDataFrame([("A", 1, 4)], "a string, Hour int, n long")
     plan = matrix.envelope(cube, "a", "Hour", "n")._jdf.queryExecution().optimizedPlan().toString()
     assert "collect_set" not in plan and "collect_list" not in plan
+
+
+def test_global_rank_equals_row_number(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").select("event_id", "user_id", "event_type")
+    order = [F.col("user_id").desc_nulls_last(), F.col("event_id").asc_nulls_last()]
+    ranked = ranking.with_global_rank(events, order)
+    assert "SinglePartition" not in ranked._jdf.queryExecution().toString()
+    want = events.withColumn("Want", F.row_number().over(Window.orderBy(*order)))
+    both = ranked.join(want.select("event_id", "Want"), "event_id")
+    assert both.where("Rank = Want").count() == events.count() == ranked.count()
+
+
+def test_global_rank_within_groups_and_over_equal_rows(spark):
+    df = spark.createDataFrame(
+        [(None, 1), (None, 1), ("a", 2), ("a", None), ("a", 1), ("b", 5)] + [("a", 7)] * 50, "g string, v int")
+    got = ranking.with_global_rank(df, ["v"], alias="n", within=["g"], total="size").collect()
+    for g in (None, "a", "b"):
+        group = sorted((r.n, r.v if r.v is not None else 99, r.size) for r in got if r.g == g)
+        assert [n for n, _, _ in group] == list(range(1, len(group) + 1))
+        assert [v for _, v, _ in group] == sorted(v for _, v, _ in group) and {s for *_, s in group} == {len(group)}
+    assert ranking.with_global_rank(df.limit(0), ["v"]).collect() == []
