@@ -147,10 +147,68 @@ SELECT d.doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n
 FROM d LEFT JOIN told USING (doc_id)
 """
 
+OP11 = """
+WITH RECURSIVE
+crc AS (
+  SELECT list(c ORDER BY i) AS t FROM (
+    SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) r(i))),
+d AS (
+  SELECT doc_id, lang, n_chars, row_number() OVER () AS rid,
+    CASE WHEN doc_id IS NULL THEN '-' ELSE concat(strlen(doc_id::VARCHAR), ':', doc_id) END
+    || CASE WHEN source IS NULL THEN '-' ELSE concat(strlen(source), ':', source) END
+    || CASE WHEN lang IS NULL THEN '-' ELSE concat(strlen(lang), ':', lang) END AS head,
+    CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END AS tail
+  FROM documents),
+e AS (
+  SELECT rid, doc_id, lang,
+    sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen(n_chars::VARCHAR), ':', n_chars) END || tail) AS leaf,
+    sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE concat(strlen((n_chars + 1)::VARCHAR), ':', n_chars + 1) END || tail) AS bumped,
+    xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0 AS struck
+  FROM d, crc),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY lang) AS n
+  FROM e),
+nodes AS (
+  SELECT lang, 0 AS lvl, idx, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx))
+  FROM nodes WHERE n > 1 GROUP BY lang, lvl, idx // 2, n),
+subroots AS (
+  SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS lvl, idx, n, digest FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY idx)) FROM tops WHERE n > 1 GROUP BY lvl, idx // 2, n),
+ways AS (
+  SELECT l.rid, a.lvl AS step,
+    CASE WHEN a.idx % 2 = 1 THEN s.digest || '|' ELSE '|' || coalesce(s.digest, '') END AS sibling
+  FROM leaves l
+  JOIN nodes a ON a.lang IS NOT DISTINCT FROM l.lang AND a.n > 1 AND a.idx = l.idx >> a.lvl
+  LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM a.lang AND s.lvl = a.lvl AND s.idx = xor(a.idx, 1)
+  UNION ALL
+  SELECT l.rid, 1000 + a.lvl,
+    CASE WHEN a.idx % 2 = 1 THEN s.digest || '|' ELSE '|' || coalesce(s.digest, '') END
+  FROM leaves l
+  JOIN subroots g ON g.lang IS NOT DISTINCT FROM l.lang
+  JOIN tops a ON a.n > 1 AND a.idx = g.idx >> a.lvl
+  LEFT JOIN tops s ON s.lvl = a.lvl AND s.idx = xor(a.idx, 1)),
+proofs AS (SELECT rid, list(sibling ORDER BY step) AS way FROM ways GROUP BY rid),
+folded AS (
+  SELECT l.*, g.digest AS subroot, (SELECT digest FROM tops WHERE n = 1) AS root, coalesce(p.way, []) AS way,
+    list_reduce(list_prepend(CASE WHEN struck THEN bumped ELSE leaf END, coalesce(p.way, [])),
+      lambda c, x: sha256(split_part(x, '|', 1) || c || split_part(x, '|', 2))) AS folded_root
+  FROM leaves l JOIN subroots g ON g.lang IS NOT DISTINCT FROM l.lang LEFT JOIN proofs p USING (rid))
+SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(way, ''), '|', '')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM folded
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_decontamination": OP3,
     "op7_warc": OP7,
     "op8_suffix_dedup": OP8,
     "op10_secret_scan": OP10,
+    "op11_merkle_manifest": OP11,
 }

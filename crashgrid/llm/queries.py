@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, language_model, quality, secret_scan, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
+from . import decontaminate, langid, language_model, merkle, quality, secret_scan, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,6 +78,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan_report(secret_scan.secret_spans(table(spark, sf_dir, "documents")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = merkle.leaf_digest("doc_id", "source", "lang", F.col("n_chars") + F.when(struck, 1).otherwise(0), "text")
+    found = merkle.manifest(docs, fanout=2, carry={"tampered": tampered})
+    folded = merkle.fold(F.col("tampered"), F.col("proof"))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof_text(F.col("proof")), 256).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
+    )
+
+
 def public_model(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -86,5 +98,5 @@ def public_model(name: str = "piece_bpe_32k.model") -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_lm_scoring, op10_secret_scan]
+    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_lm_scoring, op10_secret_scan, op11_merkle_manifest]
 }
