@@ -1,7 +1,7 @@
 """DuckDB SQL for the queries that SQL can express, written from their contracts.
 
 Not here, since SQL cannot express them: op2 (XXH64), op4, op5 and op9 (trained
-models), op6 (a tokenizer) and the pipeline, which holds op4 and op6. Tests hold
+models), op6 and op13 (tokenizers) and the pipeline, which holds op4 and op6. Tests hold
 those against brute force or held-out rows.
 """
 
@@ -204,6 +204,24 @@ SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(way, ''), '|'
 FROM folded
 """
 
+OP12 = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e AS (
+  SELECT *,
+    replace(replace(replace(text, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>') AS escaped,
+    replace(replace(replace(replace(role, '\', '\\'), '### ', '\### '), '</turn>', '\</turn>'), ':', '\:') AS escaped_role
+  FROM t)
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length('### ' || escaped_role || ':' || chr(10) || escaped || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_quality_rules": OP1,
     "op3_decontamination": OP3,
@@ -211,4 +229,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_suffix_dedup": OP8,
     "op10_secret_scan": OP10,
     "op11_merkle_manifest": OP11,
+    "op12_chat_format": OP12,
 }

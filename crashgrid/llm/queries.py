@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, language_model, merkle, quality, secret_scan, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
+from . import alignment, chat, decontaminate, langid, language_model, merkle, quality, secret_scan, sentencepiece_bpe, simhash, suffix_dedup, toxicity, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -90,6 +90,23 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    tricky = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], turns.schema)
+    formatted = chat.format_conversations(turns.unionByName(tricky))
+    found = chat.read_back(formatted, in_order=True)
+    return found.select("conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(table(spark, sf_dir, "documents"), public_model("byte_bpe_50k.json"), public_model())
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    found = alignment.with_pair_counts(aligned.withColumn("groups_sha256", digest).drop("groups"))
+    counts = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+    return found.select(F.col("id").alias("doc_id"), *counts, "groups_sha256")
+
+
 def public_model(name: str = "piece_bpe_32k.model") -> str:
     import public_tokenizers
 
@@ -98,5 +115,5 @@ def public_model(name: str = "piece_bpe_32k.model") -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_lm_scoring, op10_secret_scan, op11_merkle_manifest]
+    for f in [op1_quality_rules, op2_simhash, op3_decontamination, op4_toxicity, op5_language_id, op6_sentencepiece, op7_warc, op8_suffix_dedup, op9_lm_scoring, op10_secret_scan, op11_merkle_manifest, op12_chat_format, op13_token_alignment]
 }

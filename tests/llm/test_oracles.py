@@ -12,7 +12,7 @@ from .conftest import SF
 @pytest.fixture(scope="module")
 def con():
     c = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
         c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     return c
 
@@ -26,7 +26,7 @@ def test_query_equals_sql(spark, con, same_rows, name):
     assert same_rows(df.columns, df.collect()) == same_rows(cols, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"op12_chat_format"}))
 def test_one_row_per_input_row(spark, name):
     table = "pages" if name == "op7_warc" else "documents"
     assert QUERIES[name](spark, SF).count() == spark.read.parquet(f"{SF}/{table}.parquet").count()
