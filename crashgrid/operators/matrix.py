@@ -7,6 +7,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
+
+
+#: Columns that a pivot over found values may make.
+MOST_VALUES = 200
+
+
+def found_values(cube: DataFrame, pivot_col: str, most: int = MOST_VALUES) -> tuple[DataFrame, list]:
+    """(the cube, the distinct non-null values of ``pivot_col`` in order). The
+    cube is checkpointed, so it is computed once for its values and its pivot;
+    what comes to the driver is at most ``most`` values and one, and more than
+    ``most`` is an error: such a column is no label."""
+    checkpoint_dir(cube.sparkSession)
+    cube = cube.checkpoint()
+    values = [r[0] for r in cube.select(pivot_col).where(F.col(pivot_col).isNotNull()).distinct().limit(most + 1).collect()]
+    if len(values) > most:
+        raise ValueError(f"{pivot_col} has more than {most} values")
+    return cube, sorted(values)
+
 
 def pivot_sum(
     cube: DataFrame,
@@ -22,6 +41,8 @@ def pivot_sum(
     cells. The cube has one row per (row_key, pivot value), so this second
     aggregation is small whatever the size of the base table."""
     labels = list(names) if names else [str(v) for v in values]
+    taken = [row_key, total or row_key]
+    labels = [f"{x} ({pivot_col})" if x in taken else x for x in labels]
     aggs = [
         F.sum(F.when(F.col(pivot_col) == F.lit(v), F.col(value)).otherwise(F.lit(0))).alias(label)
         for v, label in zip(values, labels)

@@ -42,6 +42,36 @@ def peak(
     return df.withColumn("_peak_rank", rnk).where(F.col("_peak_rank") == 1).drop("_peak_rank")
 
 
+def packed(value: str | Column, by: str | Column) -> Column:
+    """``value`` (a count) and ``by`` (a whole number of 32 bits) as one number that
+    is larger for a higher value, then for a lower ``by``; null if either is. Its
+    maximum is an arg-max that adds up like any maximum: a hash aggregate on every
+    partial result, with no sort and no window. See :func:`peak_value`."""
+    value, by = (F.col(c) if isinstance(c, str) else c for c in (value, by))
+    return value.cast("decimal(19,0)") * F.lit(1 << 32).cast("decimal(10,0)") + (F.lit((1 << 31) - 1) - by.cast("long")).cast("decimal(10,0)")
+
+
+def peak_value(best: str | Column) -> Column:
+    """The value in a maximum of :func:`packed`."""
+    best, one = F.col(best) if isinstance(best, str) else best, F.lit(1 << 32).cast("decimal(10,0)")
+    return ((best - F.pmod(best, one)) / one).cast("long")
+
+
+def peak_by(best: str | Column) -> Column:
+    """The ``by`` in a maximum of :func:`packed`: the lowest with the highest value."""
+    best = F.col(best) if isinstance(best, str) else best
+    return (F.lit((1 << 31) - 1) - F.pmod(best, F.lit(1 << 32).cast("decimal(10,0)")).cast("long")).cast("int")
+
+
+def peak_single(df: DataFrame, group: str | Sequence[str], value: str, by: str) -> DataFrame:
+    """``group, by, value`` of the highest ``value`` in each group, the lowest
+    ``by`` on ties, by the mergeable maximum of :func:`packed`. Rows with a null
+    value or ``by`` are no peak; a group with no other rows has none."""
+    groups = [group] if isinstance(group, str) else list(group)
+    best = df.groupBy(*groups).agg(F.max(packed(value, by)).alias("_best")).where(F.col("_best").isNotNull())
+    return best.select(*groups, peak_by("_best").alias(by), peak_value("_best").alias(value))
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[str | Column]) -> DataFrame:
     """First ``n`` rows under a total order (caller passes the tiebreak keys).
     Planned as ``TakeOrderedAndProject``: each task keeps its own top n."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.predicates import not_null
+from ..session import checkpoint_dir
 
 NULL_KEYS = ("keep", "drop")
 
@@ -25,6 +26,11 @@ W_ROWS = "_w_rows"    # count of rows
 W_SUM = "_w_sum"      # exact (decimal) sum of the measure
 W_CNT = "_w_cnt"      # count of non-null measure values
 WEIGHTS = (W_ID, W_ROWS, W_SUM, W_CNT)
+# Distinct days of a cell, as exact bitmaps that add up by OR: a row of a cube
+# with days stands for the days of one block of 32,768 (some 90 years), so its
+# grain has the block as one more column.
+W_DAYS = "_w_days"
+W_BLOCK = "_w_day_block"
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:
@@ -95,7 +101,10 @@ def weighted_cube(
     subset of the grain can then be computed from it.
     """
     if is_weighted(df):  # re-aggregating a cube to a coarser grain
-        return df.groupBy(*grain).agg(*[F.sum(w).alias(w) for w in WEIGHTS if w in df.columns])
+        sums = [F.sum(w).alias(w) for w in WEIGHTS if w in df.columns]
+        if W_DAYS not in df.columns:
+            return df.groupBy(*grain).agg(*sums)
+        return df.groupBy(*grain, W_BLOCK).agg(*sums, F.bitmap_or_agg(W_DAYS).alias(W_DAYS))
     aggs = [count_measure(id_col).alias(W_ID), F.count(F.lit(1)).alias(W_ROWS)]
     if measure is not None:
         total, cnt = sum_parts(df, measure, scale)
@@ -103,6 +112,69 @@ def weighted_cube(
     return df.groupBy(*grain).agg(*aggs)
 
 
+def fold_days(cube: DataFrame, date_col: str = "Date_Occurred") -> DataFrame:
+    """A cube whose grain has ``date_col`` without it: the days become bitmaps, so
+    that distinct days add up like the other weights. A null date is no day. The
+    cube is small already (dates x labels), which the sorted aggregation that
+    bitmaps take needs."""
+    grain = [c for c in cube.columns if c != date_col and c not in WEIGHTS]
+    day = F.unix_date(date_col)
+    return cube.groupBy(*grain, F.bitmap_bucket_number(day).alias(W_BLOCK)).agg(
+        *[F.sum(w).alias(w) for w in WEIGHTS if w in cube.columns],
+        F.bitmap_construct_agg(F.bitmap_bit_position(day)).alias(W_DAYS),
+    )
+
+
+def count_and_days(
+    df: DataFrame,
+    keys: str | Sequence[str],
+    alias: str = "Total_Collisions",
+    days_alias: str = "Distinct_Days",
+    date_col: str = "Date_Occurred",
+    id_col: str | None = "DR_Number",
+) -> DataFrame:
+    """``keys -> count, exact distinct days``, from base rows, a cube with dates
+    or a cube with days folded in: the same at every grain."""
+    ks = _keys(keys)
+    if W_DAYS not in df.columns:
+        df = fold_days(weighted_cube(df, [*ks, date_col], id_col=id_col or date_col, measure=None), date_col)
+    weight = F.sum(W_ID if id_col else W_ROWS)
+    per_block = df.groupBy(*ks, W_BLOCK).agg(weight.alias("_n"), F.bitmap_or_agg(W_DAYS).alias(W_DAYS))
+    return per_block.groupBy(*ks).agg(
+        F.sum("_n").alias(alias), F.sum(F.bitmap_count(W_DAYS)).alias(days_alias)
+    )
+
+
+def cubes(df: DataFrame, grains: Sequence[Sequence[str]], id_col: str = "DR_Number", measure: str | None = "Victim_Age",
+          scale: int | None = None) -> dict[tuple[str, ...], DataFrame]:
+    """The cube of every grain from one pass over ``df``, a base or weighted frame.
+
+    One ``groupingSets`` aggregation: each row meets all grains inside its task,
+    is counted there, and only the tasks' partial cells are shuffled. The result,
+    one table of all cells, is checkpointed, so that ``df`` is read once however
+    many results read its cubes. A grain is any distinct set of columns.
+    """
+    chosen = list(dict.fromkeys(tuple(g) for g in grains))
+    if len({frozenset(g) for g in chosen}) < len(chosen):
+        raise ValueError("grains must differ in more than the order of their columns")
+    columns = list(dict.fromkeys(c for g in chosen for c in g))
+    if is_weighted(df):
+        aggs = [F.sum(w).alias(w) for w in WEIGHTS if w in df.columns]
+    else:
+        total, cnt = sum_parts(df, measure, scale) if measure else (None, None)
+        aggs = [count_measure(id_col).alias(W_ID), F.count(F.lit(1)).alias(W_ROWS)]
+        aggs += [total.alias(W_SUM), cnt.alias(W_CNT)] if measure else []
+    checkpoint_dir(df.sparkSession)
+    cells = df.groupingSets([[F.col(c) for c in g] for g in chosen], *[F.col(c) for c in columns]).agg(
+        F.grouping_id().alias("_w_grain"), *aggs
+    ).checkpoint()
+    out = {}
+    for g in chosen:
+        absent = sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in g)
+        out[g] = cells.where(F.col("_w_grain") == absent).select(*g, *[w for w in WEIGHTS if w in cells.columns])
+    return out
+
+
 def count_by(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -159,7 +231,12 @@ def scenario_counts(df: DataFrame, scenarios: Mapping[str, Column]) -> DataFrame
     return df.agg(*[count_if_col(df, cond).alias(name) for name, cond in scenarios.items()])
 
 
+def row_count(df: DataFrame) -> DataFrame:
+    """One row: number of rows."""
+    return df.agg(F.count(F.lit(1)).alias("Rows"))
+
+
 def row_and_partition_counts(df: DataFrame) -> DataFrame:
     """One row: number of rows and of input partitions, empty ones included."""
     parts = df.rdd.getNumPartitions()  # known from the plan, no job
-    return df.agg(F.count(F.lit(1)).alias("Rows"), F.lit(parts).cast("long").alias("Partitions"))
+    return row_count(df).withColumn("Partitions", F.lit(parts).cast("long"))

@@ -1,8 +1,9 @@
 """Period-on-period direction, shares, percent of group, rescaling.
 
-The global (un-partitioned) windows here are meant for roll-up results whose
-size is bounded by a dimension (years, seasons, hours); they are never applied
-to the base table.
+``direction`` uses a window without partitions and is meant for roll-ups whose
+size is bounded by a dimension (years, seasons, hours). Shares and rescaling read
+a total or maximum as a one-row subquery, so their rows stay where they are and
+may be any number.
 """
 
 from __future__ import annotations
@@ -46,15 +47,11 @@ def direction(df: DataFrame, order: str, value: str, prefix: str = "") -> DataFr
 
 def share(df: DataFrame, value: str, alias: str = "Share_Pct", digits: int = 1) -> DataFrame:
     """Each row's percent of the column total."""
-    total = F.sum(F.col(value)).over(Window.partitionBy())
+    total = df.select(F.sum(value)).scalar()
     return df.withColumn(alias, pct(F.col(value), total, digits))
 
 
 def rescale_to_max(df: DataFrame, value: str, target: str, alias: str) -> DataFrame:
     """``value / max(value) * max(target)`` over all rows."""
-    everything = Window.partitionBy()
-    return df.withColumn(
-        alias,
-        F.try_divide(F.col(value).cast("double"), F.max(value).over(everything).cast("double"))
-        * F.max(target).over(everything),
-    )
+    most = df.select(F.struct(F.max(value).cast("double").alias("v"), F.max(target).alias("t"))).scalar()
+    return df.withColumn(alias, F.try_divide(F.col(value).cast("double"), most.getField("v")) * most.getField("t"))

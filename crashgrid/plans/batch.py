@@ -2,10 +2,11 @@
 
 Running the queries one by one scans and joins the fact table as many times.
 Here every query is answered from a cube (``operators.rollups``) that a handful
-of queries share. A cube's grain is what they look at and no more: dates stay in
-a cube of their own, since an area x hour x date cube would be nearly as large
-as the fact. Cubes are checkpointed to the shared checkpoint folder, so a lost
-executor does not lead back to the fact.
+of queries share. A cube's grain is what they look at and no more, and all cubes
+of a source are filled by one scan of its table. Dates are in no cube: a cube
+that is asked for distinct days has them as bitmaps, which add up. Cubes are
+checkpointed to the shared checkpoint folder, so a lost executor does not lead
+back to the fact.
 
 Only the queries that need row-level columns (``Address``, the rows
 themselves) read the fact again.
@@ -61,21 +62,26 @@ def by_grain(wanted: Mapping) -> dict[tuple, list]:
     }
 
 
-def build_cube(spark: SparkSession, sf_dir: str, source: adapters.View, grain: Iterable[str], scale: int | None = catalogue.MEASURE_SCALE) -> DataFrame:
-    """Aggregate one source to its weighted cube and checkpoint it (eager)."""
-    grain = list(grain)
-    base = adapters.incident_cube(spark, sf_dir, source, grain + ["DR_Number", "Victim_Age"], scale=scale)
-    checkpoint_dir(spark)
-    return rollups.weighted_cube(base, grain).checkpoint(eager=True)
+def build_cubes(
+    spark: SparkSession, sf_dir: str, source: adapters.View, grains: Iterable[Iterable[str]], scale: int | None = catalogue.MEASURE_SCALE
+) -> dict[tuple[str, ...], DataFrame]:
+    """The weighted cubes of one source, all grains from one scan of it (eager,
+    checkpointed). Dates of a grain become days that add up (``rollups.fold_days``)."""
+    found = adapters.incident_cubes(spark, sf_dir, source, [tuple(g) for g in grains], scale)
+    return {g: rollups.fold_days(c).checkpoint() if "Date_Occurred" in g else c for g, c in found.items()}
 
 
 def batch_frames(spark: SparkSession, sf_dir: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
     """name -> result frame for the chosen queries (all by default)."""
     chosen = {n: catalogue.QUERIES[n] for n in (names or catalogue.QUERIES)}
     out = {n: q.build(spark, sf_dir) for n, q in chosen.items() if needs_rows(q)}
-    for (_, grain), qs in assign(q for q in chosen.values() if not needs_rows(q)).items():
-        cube = build_cube(spark, sf_dir, qs[0].source, grain)
-        out |= {q.name: q.fn(cube) for q in qs}
+    by_source: dict[str, dict[tuple, list[catalogue.Query]]] = {}
+    for (source, grain), qs in assign(q for q in chosen.values() if not needs_rows(q)).items():
+        by_source.setdefault(source, {})[grain] = qs
+    for groups in by_source.values():
+        view = next(iter(groups.values()))[0].source
+        for grain, cube in build_cubes(spark, sf_dir, view, groups).items():
+            out |= {q.name: q.fn(cube) for q in groups[grain]}
     return {n: out[n] for n in chosen}
 
 

@@ -24,7 +24,6 @@ LONG = adapters.ORDERS    # years, months, seasons
 # defaults in ``reports``: 'Road', 'Injury Involved', ...).
 ROAD_VALUE = "view"
 INJURY_VALUE = "major"
-SEVERITIES = ("major", "minor")
 SINGLE_AREA = "NATION_10"
 SLICE_YEARS = (1996, 1997, 1998, 1999, 2000)
 # Measures of the driver tables are summed as decimals of this many digits, so
@@ -76,10 +75,11 @@ QUERIES: dict[str, Query] = {
            _ID, "Area_Name", "Congestion_Index", "Road_Type"),
         _q("hotspot_addresses", R.hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
         _q("top15_hotspot_addresses", R.top15_hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
+        _q("hotspot_address_ranks", R.hotspot_address_ranks, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
         _q("severity_by_area", R.severity_by_area, SHORT, _ID, "Area_Name", "Collision_Severity"),
-        _q("severity_matrix", partial(R.severity_matrix, severities=SEVERITIES), SHORT,
+        _q("severity_matrix", R.severity_matrix, SHORT,
            _ID, "Area_Name", "Collision_Severity"),
-        _q("severity_matrix_top10", partial(R.severity_matrix_top10, severities=SEVERITIES), SHORT,
+        _q("severity_matrix_top10", R.severity_matrix_top10, SHORT,
            _ID, "Area_Name", "Collision_Severity"),
         _q("peak_hour_per_area", R.peak_hour_per_area, SHORT, _ID, "Area_Name", "Hour"),
         _q("peak_hour_single", R.peak_hour_single, SHORT, _ID, "Area_Name", "Hour"),
@@ -116,6 +116,7 @@ QUERIES: dict[str, Query] = {
         _q("overall_peak_hour", R.overall_peak_hour, SHORT, _ID, "Hour", "Time_of_Day"),
         _q("hour_labels", partial(R.hour_labels, unit=BAR_UNIT), SHORT, _ID, "Hour", "Time_of_Day"),
         _q("row_and_partition_counts", rollups.row_and_partition_counts, SHORT, _ID, rows=True),
+        _q("row_count", rollups.row_count, SHORT, _ID, rows=True),
         _q("hour_profile", R.hour_profile, SHORT, _ID, "Hour", "Time_of_Day"),
     ]
 }

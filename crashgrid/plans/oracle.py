@@ -1,5 +1,6 @@
 """Independent DuckDB SQL for the registered queries (the correctness oracle),
-all but ``row_and_partition_counts``: SQL knows no partitions.
+all but ``row_and_partition_counts``: SQL knows no partitions (its rows are
+``row_count``).
 
 Written directly against the driver's tables (``events``, ``orders``,
 ``customer``, ``nation``), sharing nothing with the Spark code but the rules
@@ -10,7 +11,7 @@ means and percents (half-even rounding = ``round_even``).
 
 from __future__ import annotations
 
-from .catalogue import BAR_UNIT, INJURY_VALUE, ROAD_VALUE, SEVERITIES, SINGLE_AREA, SLICE_YEARS
+from .catalogue import BAR_UNIT, INJURY_VALUE, ROAD_VALUE, SINGLE_AREA, SLICE_YEARS
 
 
 def _site_sql(fact: str, site: str) -> str:
@@ -136,7 +137,7 @@ _HOUR_COLS = ",\n  ".join(
 )
 
 _sev_cols = ",\n  ".join(
-    f"COUNT(DR_Number) FILTER (WHERE Collision_Severity = '{s}') AS \"{s}\"" for s in SEVERITIES
+    f"COUNT(DR_Number) FILTER (WHERE Collision_Severity = '{s}') AS \"{s}\"" for s in ("major", "minor")
 )
 _years = ", ".join(str(y) for y in SLICE_YEARS)
 
@@ -184,6 +185,11 @@ GROUP BY Area_Name, Congestion_Index ORDER BY Collision_Count DESC""",
     "hotspot_addresses": f"""{INCIDENTS}
 SELECT Address, Area_Name, COUNT(DR_Number) AS Collision_Count FROM inc
 WHERE Is_Hotspot GROUP BY Address, Area_Name ORDER BY Collision_Count DESC""",
+    "hotspot_address_ranks": f"""{INCIDENTS}
+SELECT row_number() OVER (ORDER BY Collision_Count DESC, Address NULLS FIRST, Area_Name NULLS FIRST)::BIGINT AS Rank, Address, Area_Name, Collision_Count,
+  round_even(Collision_Count / CAST(SUM(Collision_Count) OVER () AS DOUBLE) * 100, 4) AS Share_Pct
+FROM (SELECT Address, Area_Name, COUNT(DR_Number) AS Collision_Count FROM inc WHERE Is_Hotspot GROUP BY Address, Area_Name)""",
+    "row_count": "SELECT COUNT(*) AS \"Rows\" FROM events",
     "top15_hotspot_addresses": f"""{INCIDENTS}
 SELECT Address, Area_Name, COUNT(DR_Number) AS Collision_Count FROM inc
 WHERE Is_Hotspot GROUP BY Address, Area_Name

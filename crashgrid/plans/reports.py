@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dims, formatting, predicates
@@ -100,9 +100,12 @@ def peak_hour_single(df: DataFrame) -> DataFrame:
 
 
 def _peaks(cube: DataFrame, ties: str) -> DataFrame:
+    if ties == "first":
+        peaks = ranking.peak_single(cube, "Area_Name", "Hourly_Count", by="Hour")
+    else:
+        peaks = ranking.peak(cube, "Area_Name", "Hourly_Count", by="Hour", ties=ties)
     return (
-        ranking.peak(cube, "Area_Name", "Hourly_Count", by="Hour", ties=ties)
-        .select("Area_Name", F.col("Hour").alias("Peak_Hour"), F.col("Hourly_Count").alias("Peak_Collisions"))
+        peaks.select("Area_Name", F.col("Hour").alias("Peak_Hour"), F.col("Hourly_Count").alias("Peak_Collisions"))
         .orderBy(*_desc("Peak_Collisions", "Area_Name", "Peak_Hour"))
     )
 
@@ -173,37 +176,41 @@ def area_peak_percent(df: DataFrame) -> DataFrame:
     """Area total, peak hour, peak count and the peak's percent of the total.
 
     One aggregation to the (area, hour) cube -- null hours kept as a cell so the
-    total counts them -- then one window pass per area (at most 25 cells each):
-    the total is the sum of the area's cells, the peak the first non-null hour
-    by count desc, hour asc. Areas without a known hour drop out, as an inner
-    join of totals and peaks would do.
+    total counts them -- then one hash aggregation per area: the total is the sum
+    of its cells, the peak the mergeable arg-max of those with a known hour (the
+    lowest on ties). Areas without a known hour drop out, as an inner join of
+    totals and peaks would do.
     """
     cube = rollups.count_by(df, ["Area_Name", "Hour"], CCOUNT, id_col=None, null_keys="keep",
                             where=F.col("Area_Name").isNotNull())
-    per_area = Window.partitionBy("Area_Name")
-    first = per_area.orderBy(F.col("Hour").isNull(), F.col(CCOUNT).desc(), F.col("Hour").asc())
     return (
-        cube.withColumn(TOTAL, F.sum(CCOUNT).over(per_area))
-        .withColumn("_rn", F.row_number().over(first))
-        .where((F.col("_rn") == 1) & F.col("Hour").isNotNull())
+        cube.groupBy("Area_Name")
+        .agg(F.sum(CCOUNT).alias(TOTAL), F.max(ranking.packed(CCOUNT, "Hour")).alias("_best"))
+        .where(F.col("_best").isNotNull())
         .select(
-            "Area_Name", TOTAL, F.col("Hour").alias("Peak_Hour"),
-            F.col(CCOUNT).alias("Peak_Hour_Collisions"),
-            trends.pct(CCOUNT, TOTAL).alias("Peak_Pct"),
+            "Area_Name", TOTAL, ranking.peak_by("_best").alias("Peak_Hour"),
+            ranking.peak_value("_best").alias("Peak_Hour_Collisions"),
+            trends.pct(ranking.peak_value("_best"), F.col(TOTAL)).alias("Peak_Pct"),
         )
         .orderBy(*_desc(TOTAL, "Area_Name"))
     )
 
 
+# An area's addresses meet its peak on this many join keys.
+PEAK_KEYS = 32
+
+
 def hotspot_with_peak(df: DataFrame) -> DataFrame:
     """Hotspot (area, address) counts with the area's peak hour attached.
 
     One aggregation of the fact to (area, hour, hotspot address) -- the address
     is kept only on hotspot rows, so the cells are at most areas x 24 plus
     hotspot addresses x 24 -- and both parts are roll-ups of it: the (area,
-    hour) counts give the peak, the (area, address) counts the hotspot rows.
-    Both roll-ups read only the cell count and filter only their own outputs,
-    so the shared aggregate stays one sub-plan and is computed once.
+    hour) counts give the peak by arg-max, the (area, address) counts the
+    hotspot rows. Both roll-ups read only the cell count and filter only their
+    own outputs, so the shared aggregate stays one sub-plan and is computed
+    once. A peak is repeated on ``PEAK_KEYS`` keys over which its area's
+    addresses are spread, so an area with most addresses is no single task.
     """
     named = df.where(F.col("Area_Name").isNotNull())
     hot_address = F.when(predicates.is_true("Is_Hotspot"), F.col("Address"))
@@ -211,25 +218,32 @@ def hotspot_with_peak(df: DataFrame) -> DataFrame:
         rollups.count_col(named, None).alias("_rows")
     )
     per_hour = cells.groupBy("Area_Name", "Hour").agg(F.sum("_rows").alias("_n"))
-    first = Window.partitionBy("Area_Name").orderBy(F.col("Hour").isNull(), F.col("_n").desc(), F.col("Hour"))
-    peaks = (
-        per_hour.withColumn("_rn", F.row_number().over(first))
-        .where((F.col("_rn") == 1) & F.col("Hour").isNotNull())
-        .select("Area_Name", F.col("Hour").alias("Area_Peak_Hour"))
+    peaks = ranking.peak_single(per_hour, "Area_Name", "_n", by="Hour").select(
+        "Area_Name", F.col("Hour").alias("Area_Peak_Hour"), F.explode(F.sequence(F.lit(0), F.lit(PEAK_KEYS - 1))).alias("_key")
     )
     hot = (
         cells.groupBy("Area_Name", "_addr")
         .agg(F.sum(F.when(F.col("_addr").isNotNull(), F.col("_rows")).otherwise(F.lit(0))).alias(CCOUNT))
         .where(F.col(CCOUNT) > 0)
-        .select("Area_Name", F.col("_addr").alias("Address"), CCOUNT)
+        .select("Area_Name", F.col("_addr").alias("Address"), CCOUNT,
+                F.pmod(F.xxhash64("_addr"), F.lit(PEAK_KEYS)).cast("int").alias("_key"))
     )
     return (
-        hot.join(peaks, "Area_Name", "inner")
+        hot.join(peaks, ["Area_Name", "_key"], "inner")
         .select("Area_Name", "Address", CCOUNT, "Area_Peak_Hour")
         .orderBy(*_desc(CCOUNT, "Area_Name", "Address"))
     )
 
 
+def hotspot_address_ranks(df: DataFrame) -> DataFrame:
+    """Every hotspot (area, address) with its count, its rank number (count desc,
+    then address and area) and its share of all hotspot rows. Addresses are not
+    bounded: ranks come from ranges of the order, shares from a one-row total."""
+    counts = rollups.count_by(df, ["Address", "Area_Name"], CCOUNT, where=predicates.is_true("Is_Hotspot"))
+    ranked = ranking.with_global_rank(counts, _desc(CCOUNT, "Address", "Area_Name"))
+    return trends.share(ranked, CCOUNT, digits=4).select("Rank", "Address", "Area_Name", CCOUNT, "Share_Pct")
+
+
 def top10_hours(df: DataFrame, n: int = 10) -> DataFrame:
     top = ranking.top_n(hourly_rows(df), n, _desc(CCOUNT, "Hour"))
     return ranking.with_rank_number(top, _desc(CCOUNT, "Hour")).select("Rank", "Hour", CCOUNT)
@@ -281,11 +295,10 @@ def calendar_ordered_days(df: DataFrame, scale: int | None = None) -> DataFrame:
 
 
 def weekend_daily_average(df: DataFrame) -> DataFrame:
-    """Per weekend flag: count, exact distinct days, average per day (1 digit)."""
+    """Per weekend flag: count, exact distinct days, average per day (1 digit).
+    Days are counted from bitmaps, which add up from any finer grain."""
     return (
-        df.where(F.col("Is_Weekend").isNotNull())
-        .groupBy("Is_Weekend")
-        .agg(rollups.count_col(df, ID).alias(TOTAL), F.count_distinct("Date_Occurred").alias("Distinct_Days"))
+        rollups.count_and_days(df.where(F.col("Is_Weekend").isNotNull()), "Is_Weekend", TOTAL, "Distinct_Days", id_col=ID)
         .withColumn("Avg_Daily", trends.ratio(TOTAL, "Distinct_Days"))
         .orderBy("Is_Weekend")
     )
@@ -329,13 +342,17 @@ def top10_areas_overlay(df: DataFrame, n: int = 10, scale: int | None = None) ->
     return top.orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
 
 
-def severity_matrix(df: DataFrame, severities: Sequence[str] = ("Injury Involved", "Property Damage Only"), top: int | None = None) -> DataFrame:
+def severity_matrix(df: DataFrame, severities: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
     """Area x severity counts (missing -> 0) with the area total, by total.
 
     One aggregation to the (area, severity) cube; the matrix and the total are
-    both sums over the cube's cells.
+    both sums over the cube's cells. Without ``severities`` there is a column for
+    each severity found in the data, in the order of their names; a null one is
+    only in the total.
     """
     cube = rollups.count_by(df, ["Area_Name", "Collision_Severity"], "_n", where=F.col("Area_Name").isNotNull())
+    if severities is None:
+        cube, severities = matrix.found_values(cube, "Collision_Severity")
     out = matrix.pivot_sum(cube, "Area_Name", "Collision_Severity", list(severities), "_n", total=TOTAL)
     order = _desc(TOTAL, "Area_Name")
     if top is None:
@@ -344,14 +361,15 @@ def severity_matrix(df: DataFrame, severities: Sequence[str] = ("Injury Involved
     return ranking.top_n(out, top, order).orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
 
 
-def severity_matrix_top10(df: DataFrame, severities: Sequence[str] = ("Injury Involved", "Property Damage Only")) -> DataFrame:
+def severity_matrix_top10(df: DataFrame, severities: Sequence[str] | None = None) -> DataFrame:
     return severity_matrix(df, severities, top=10)
 
 
 def area_stats_with_peak(df: DataFrame, scale: int | None = None) -> DataFrame:
     """Area stats with the peak hour (lowest on ties), null peak when an area has
     no known hour. One aggregation to an (area, hour) cube of additive measures
-    (counts, exact decimal sums); stats and peak are window sums over its cells."""
+    (counts, exact decimal sums), one more of its cells per area: sums and the
+    mergeable arg-max."""
     total, cnt = rollups.sum_parts(df, "Victim_Age", scale)
     cube = (
         df.where(F.col("Area_Name").isNotNull())
@@ -363,22 +381,16 @@ def area_stats_with_peak(df: DataFrame, scale: int | None = None) -> DataFrame:
             cnt.alias("_cnt"),
         )
     )
-    per_area = Window.partitionBy("Area_Name")
-    first = per_area.orderBy(F.col("Hour").isNull(), F.col("_n").desc(), F.col("Hour").asc())
-    peak_known = F.col("Hour").isNotNull()
     return (
-        cube.withColumns({
-            TOTAL: F.sum("_n").over(per_area),
-            "Hotspot_Count": F.sum("_hot").over(per_area),
-            "Avg_Victim_Age": F.try_divide(
-                F.sum("_sum").over(per_area).cast("double"), F.sum("_cnt").over(per_area).cast("double")),
-            "_rn": F.row_number().over(first),
-        })
-        .where(F.col("_rn") == 1)
+        cube.groupBy("Area_Name")
+        .agg(
+            F.sum("_n").alias(TOTAL), F.sum("_hot").alias("Hotspot_Count"),
+            F.try_divide(F.sum("_sum").cast("double"), F.sum("_cnt").cast("double")).alias("Avg_Victim_Age"),
+            F.max(ranking.packed("_n", "Hour")).alias("_best"),
+        )
         .select(
             "Area_Name", TOTAL, "Hotspot_Count", "Avg_Victim_Age",
-            F.when(peak_known, F.col("Hour")).alias("Peak_Hour"),
-            F.when(peak_known, F.col("_n")).alias("Peak_Collisions"),
+            ranking.peak_by("_best").alias("Peak_Hour"), ranking.peak_value("_best").alias("Peak_Collisions"),
         )
         .orderBy(*_desc(TOTAL, "Area_Name"))
     )

@@ -79,9 +79,11 @@ def results(df: DataFrame, names: Iterable[str] | None = None, scale: int | None
     out = {n: report(n, df) for n, q in queries.items() if batch.needs_rows(q)}
     checkpoint_dir(df.sparkSession)
     small = {n: ("table", set(q.columns) - batch.WEIGHT_COLUMNS) for n, q in queries.items() if n not in out}
-    for (_, grain), group in batch.by_grain(small).items():
-        cube = rollups.weighted_cube(df, list(grain), measure="Victim_Age", scale=scale).checkpoint(eager=True)
-        out |= {n: report(n, cube) for n in group}
+    groups = {grain: group for (_, grain), group in batch.by_grain(small).items()}
+    if groups:  # one scan of the table fills every cube
+        for grain, cube in rollups.cubes(df, list(groups), measure="Victim_Age", scale=scale).items():
+            cube = rollups.fold_days(cube).checkpoint() if "Date_Occurred" in grain else cube
+            out |= {n: report(n, cube) for n in groups[grain]}
     return {n: out[n] for n in chosen}
 
 

@@ -66,8 +66,10 @@ _SITE_COLS = {"Is_Hotspot", "Congestion_Index"}
 JOINED = _AREA_COLS | _SITE_COLS
 # Row columns only ever counted or averaged: a cube carries them as weights.
 _WEIGHT_SOURCES = ("DR_Number", "Victim_Age")
-# Rows without a site meet no customer; they are spread over this many join keys.
-NO_SITE_KEYS = 1024
+# Rows without a site, and those of each heavy one, are spread over this many join keys.
+SITE_KEYS = 256
+# A site is heavy from one row in this many; the sketch that finds them keeps so many items.
+HEAVY_SHARE, HEAVY_SITES, SKETCH_ITEMS = 500, 500, 10_000
 
 _SCHEMAS: dict[str, T.StructType] = {}
 
@@ -100,14 +102,14 @@ def area_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def site_classes(fact: DataFrame, site: str) -> DataFrame:
     """Per site: Is_Hotspot and Congestion_Index from the site share rule.
 
-    One aggregation of the fact on the site key (partial counts map-side, so a
-    site holding a third of all rows is one row per map task) and two global
-    scalars over it.
+    One aggregation of the fact, or of a cube of it, on the site key (partial
+    counts map-side, so a site holding a third of all rows is one row per map
+    task) and two global scalars over it.
     """
     counts = (
         fact.where(F.col(site).isNotNull())
         .groupBy(site)
-        .agg(F.count(F.lit(1)).alias("_cnt"))
+        .agg((F.sum(rollups.W_ROWS) if rollups.is_weighted(fact) else F.count(F.lit(1))).alias("_cnt"))
     )
     # Global totals as ONE scalar subquery (a 1-row struct, values inlined):
     # no join of the site rows with anything.
@@ -184,10 +186,7 @@ class View:
         if not dims & set(wanted):
             return fact.select(*[self.exprs[c]().alias(c) for c in wanted])
         dim = site_dimension(spark, sf_dir, whole, self.site, bool(_SITE_COLS & set(wanted)))
-        # rows without a site get join keys of their own that no customer has
-        spread = F.when(F.col(self.site).isNull(), F.pmod(F.xxhash64(self.row_id), F.lit(NO_SITE_KEYS))).otherwise(F.lit(-1))
-        left, right = fact.withColumn("_spread", spread), dim.withColumn("_whole", F.lit(-1).cast("long"))
-        joined = left.join(right, (F.col(self.site) == F.col("c_custkey")) & (F.col("_spread") == F.col("_whole")), "left")
+        joined = join_sites(fact, dim, self.site, self.row_id)
         return joined.select(*[(F.col(c) if c in dims else self.exprs[c]()).alias(c) for c in wanted])
 
     def cube(
@@ -207,6 +206,34 @@ class View:
         return joined.select(*[F.col(c) for c in wanted if c not in _WEIGHT_SOURCES], *rollups.WEIGHTS)
 
 
+def heavy_sites(fact: DataFrame, site: str) -> Column:
+    """The sites with a large share of the rows, as one array value: a frequency
+    sketch of ``SKETCH_ITEMS`` items, made in each task and merged, tells the
+    largest ``HEAVY_SITES``; those with at least one row in ``HEAVY_SHARE`` are
+    heavy. The sketch may miss or add none that matters: a site is spread or not,
+    and rows meet the same customer either way."""
+    top = F.expr(f"approx_top_k({site}, {HEAVY_SITES}, {SKETCH_ITEMS})")
+    found = fact.where(F.col(site).isNotNull()).agg(top.alias("top"), F.count(F.lit(1)).alias("n"))
+    heavy = F.filter("top", lambda x: x["count"] * HEAVY_SHARE >= F.col("n"))
+    return found.select(F.transform(heavy, lambda x: x["item"])).scalar()
+
+
+def join_sites(fact: DataFrame, dim: DataFrame, site: str, row_id: str) -> DataFrame:
+    """Rows of ``fact`` with their customer's columns, null where there is none.
+
+    Rows without a site meet no customer and are spread over ``SITE_KEYS`` join
+    keys. So are the rows of a heavy site, whose one customer row is repeated on
+    each of these keys, so that no task gets all rows of one site.
+    """
+    heavy = heavy_sites(fact, site)
+    is_heavy = lambda col: F.coalesce(F.array_contains(heavy, F.col(col)), F.lit(False))
+    key = F.pmod(F.xxhash64(row_id), F.lit(SITE_KEYS))
+    left = fact.withColumn("_key", F.when(F.col(site).isNull() | is_heavy(site), key).otherwise(F.lit(-1)))
+    keys = F.when(is_heavy("c_custkey"), F.sequence(F.lit(0), F.lit(SITE_KEYS - 1))).otherwise(F.array(F.lit(-1)))
+    right = dim.withColumn("_site_keys", F.explode(keys))
+    return left.join(right, (F.col(site) == F.col("c_custkey")) & (F.col("_key") == F.col("_site_keys").cast("long")), "left")
+
+
 def _time_exprs(ts: Callable[[], Column]) -> dict[str, Callable[[], Column]]:
     """Column builders (built only for the columns a query asks for)."""
     return {
@@ -267,6 +294,37 @@ def incidents_long(
     return ORDERS.rows(spark, sf_dir, columns, years)
 
 
+def incident_cubes(
+    spark: SparkSession, sf_dir: str, view: View, grains: Iterable[tuple[str, ...]], scale: int | None = None
+) -> dict[tuple[str, ...], DataFrame]:
+    """The cubes of several grains of a view from one scan of its table.
+
+    The scan fills the cells of every grain without areas and site classes, and
+    those of (site, labels) that the others need, in one pass. Site classes are
+    counted from the site cells; these meet their customers and fill the other
+    grains in a second pass. Grains are sets of columns, none with weights.
+    """
+    grains = [tuple(g) for g in grains]
+    sited = [g for g in grains if JOINED & set(g)]
+    direct = [g for g in grains if g not in sited]
+    labels = [c for c in dict.fromkeys(c for g in sited for c in g) if c not in JOINED]
+    by_site = ("_site_key", *labels)
+    columns = list(dict.fromkeys(c for g in grains for c in g if c not in JOINED))
+    _, fact = view.fact(spark, sf_dir, columns, None)
+    site = [F.col(view.site).alias("_site_key")] if sited else []
+    base = fact.select(*site, *[view.exprs[c]().alias(c) for c in [*columns, *_WEIGHT_SOURCES]])
+    found = rollups.cubes(base, [*direct, by_site] if sited else direct, measure="Victim_Age", scale=scale)
+    if not sited:
+        return found
+    cells = found.pop(by_site)
+    classes = any(_SITE_COLS & set(g) for g in sited)
+    dim = area_lookup(spark, sf_dir)
+    if classes:
+        dim = dim.join(site_classes(cells, "_site_key"), F.col("c_custkey") == F.col("_site"), "left").drop("_site")
+    joined = cells.join(dim, F.col("_site_key") == F.col("c_custkey"), "left")
+    return found | rollups.cubes(joined, sited)
+
+
 def incident_cube(
     spark: SparkSession, sf_dir: str, view: View, columns: Iterable[str], years: Iterable[int] | None = None, scale: int | None = None
 ) -> DataFrame:

@@ -36,9 +36,10 @@ def test_batch_equals_direct(spark):
 def test_cube_is_checkpointed(spark):
     if not have_data(SF_SMALL):
         pytest.skip("driver tables absent")
-    cube = batch.build_cube(spark, SF_SMALL, catalogue.SHORT, ["Area_Name", "Hour"])
-    plan = cube._jdf.queryExecution().analyzed().toString()
-    assert "events.parquet" not in plan  # lineage cut: reads the checkpoint
+    for cube in batch.build_cubes(spark, SF_SMALL, catalogue.SHORT, [("Area_Name", "Hour"), ("Is_Weekend", "Date_Occurred")]).values():
+        plan = cube._jdf.queryExecution().analyzed().toString()
+        assert "events.parquet" not in plan  # lineage cut: reads the checkpoint
+        assert "Date_Occurred" not in cube.columns
 
 
 def test_cubes_are_small(spark):
@@ -46,7 +47,8 @@ def test_cubes_are_small(spark):
     if not have_data("/root/testdata/sf0.1"):
         pytest.skip("driver tables absent")
     groups = batch.assign(q for q in catalogue.QUERIES.values() if not batch.needs_rows(q) and q.source is catalogue.SHORT)
-    total = sum(batch.build_cube(spark, "/root/testdata/sf0.1", catalogue.SHORT, grain).count() for _, grain in groups)
+    cubes = batch.build_cubes(spark, "/root/testdata/sf0.1", catalogue.SHORT, [grain for _, grain in groups])
+    total = sum(cube.count() for cube in cubes.values())
     assert total < 0.1 * spark.read.parquet("/root/testdata/sf0.1/events.parquet").count()
 
 

@@ -1,6 +1,7 @@
 """Derived dimensions, text flags, schema contract, CSV ingest."""
 
 import datetime as dt
+import gzip
 import os
 import tempfile
 
@@ -121,6 +122,50 @@ def test_csv_missing_column_one_error(spark):
         readers.read_collisions_csv(spark, p)
 
 
+def _files(**lines):
+    d = tempfile.mkdtemp(prefix="crashgrid-csv-")
+    for name, text in lines.items():
+        with open(os.path.join(d, f"{name}.csv"), "w") as fh:
+            fh.write("\n".join(text) + "\n" if text else "")
+    return d
+
+
+def _swapped(line, order):
+    values = dict(zip(schema.REQUIRED_COLUMNS, line.split(",")))
+    return ",".join(values[c] for c in order)
+
+
+def test_each_csv_file_is_read_by_its_own_header(spark):
+    order = [c for c in schema.REQUIRED_COLUMNS if c not in ("Area_Name", "Address")] + ["Address", "Area_Name"]
+    line = _line(1, 3, "True", "X")
+    d = _files(a=[HEADER, line], b=[",".join(order), _swapped(line, order)], c=[HEADER + ",Note,Victim_Age", line + ",7,30.5"], d=[])
+    with gzip.open(f"{d}/e.csv.gz", "wt") as fh:
+        fh.write("\n".join([",".join(order), _swapped(line, order)]) + "\n")
+    got = readers.read_collisions_csv(spark, d).select("Area_Name", "Address", "Hour", "Victim_Age", "Note", "_corrupt_record").collect()
+    assert sorted(map(tuple, got), key=repr) == [("X", "1 Main", 3, 30.5, 7, None)] + [("X", "1 Main", 3, None, None, None)] * 3
+
+
+def test_a_missing_column_names_its_file(spark):
+    short = [c for c in schema.REQUIRED_COLUMNS if c not in ("Hour", "Year")]
+    d = _files(good=[HEADER, _line(1, 3, "True")], short=[",".join(short), _swapped(_line(1, 3, "True"), short)], twice=[HEADER + ",Hour", _line(1, 3, "True") + ",4"])
+    with pytest.raises(schema.SchemaError) as e:
+        readers.read_collisions_csv(spark, d)
+    text = str(e.value)
+    assert "missing columns: Hour, Year in" in text and "short.csv" in text and "repeated columns: Hour" in text and "twice.csv" in text and "good.csv" not in text
+
+
+def test_types_of_extra_columns_are_found(spark):
+    extra = {"n": ["1", "", "-3"], "big": ["9999999999", "1", ""], "x": ["1.5", "2", ""], "flag": ["true", "False", ""], "day": ["2024-01-05", "", ""],
+             "at": ["2024-01-05 10:00:00", "2024-01-06", ""], "word": ["a", "1", ""], "none": ["", "", ""]}
+    d = _files(a=[HEADER + "," + ",".join(extra)] + [_line(i, 3, "True") + "," + ",".join(v[i] for v in extra.values()) for i in range(3)])
+    got = readers.read_collisions_csv(spark, d)
+    kinds = dict(got.dtypes)
+    assert {c: kinds[c] for c in extra} == {"n": "int", "big": "bigint", "x": "double", "flag": "boolean", "day": "date", "at": "timestamp", "word": "string", "none": "string"}
+    assert [r.n for r in got.orderBy("DR_Number").collect()] == [1, None, -3]
+    plain = dict(readers.read_collisions_csv(spark, d, infer_extra=False).dtypes)
+    assert all(plain[c] == "string" for c in extra)
+
+
 def test_single_file_csv_keeps_sort(spark):
     df = spark.range(0, 500).select((F.col("id") % 37).alias("k"), F.col("id")).orderBy(F.col("k").desc(), "id")
     out = tempfile.mkdtemp(prefix="crashgrid-out-") + "/r"
