@@ -3,7 +3,8 @@
 Tokens are tagged toxic or not. Forward-backward marginals give each token's
 probability; their maximum and sum give a document's score, and the tokens
 above one half its offending offsets. Trained in numpy on a bounded sample of
-labelled rows; token labels come from the sample itself.
+labelled rows; token labels come from the sample itself. One task trains, block
+by block of text; the driver only gets the weights.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from .flat import RangeHash, joined, word_ranges
 from .shared import byte_chunks, texts_of
 
+#: Bytes of text whose tokens are in hand at once, in training and in scoring.
+TEXT_BLOCK = 1 << 20
 TABLE = 1 << 16
 TEMPLATES = 5
 BLOCK = 128
@@ -150,17 +153,19 @@ def document_features(t: Tokens, toxic: np.ndarray, n: int) -> np.ndarray:
     return np.stack([np.log(most / (1 - most)), np.log1p(total), np.ones(n)], 1)
 
 
-def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float = 0.8) -> np.ndarray:
+def token_labels(
+    words: np.ndarray, owner: np.ndarray, opens: np.ndarray, labels: np.ndarray, least: int = 4, purity: float = 0.8
+) -> np.ndarray:
     """Toxic tokens of the labelled texts: words of toxic texts that follow at
     least ``least`` different words there (those of copied passages always
     follow the same one), of whose texts ``purity`` are toxic, classes weighed
     alike, and more than the luckiest of as many indifferent words would have."""
-    words, at = np.unique(t.words, return_inverse=True)
-    seen = np.unique(at.astype(np.int64) * len(labels) + t.owner)
+    words, at = np.unique(words, return_inverse=True)
+    seen = np.unique(at.astype(np.int64) * len(labels) + owner)
     bad = labels[seen % len(labels)] == 1
     word = seen // len(labels)
     toxic, clean = np.bincount(word[bad], minlength=len(words)), np.bincount(word[~bad], minlength=len(words))
-    inner = ~t.opens & (labels[t.owner] == 1)
+    inner = ~opens & (labels[owner] == 1)
     before = np.r_[0, at[:-1]].astype(np.int64)
     pairs = np.unique(at[inner].astype(np.int64) * len(words) + before[inner])
     contexts = np.bincount(pairs // max(1, len(words)), minlength=len(words))
@@ -169,33 +174,61 @@ def token_labels(t: Tokens, labels: np.ndarray, least: int = 4, purity: float =
     excess = (toxic - share * some) / np.sqrt(np.maximum(some * share * (1 - share), 1e-9))
     luck = np.sqrt(2 * np.log(max(2, (some >= least).sum())))
     marked = (contexts >= least) & (toxic >= least) & (rate_t / (rate_t + rate_c) >= purity) & (excess >= luck)
-    return marked[at] & (labels[t.owner] == 1)
+    return marked[at] & (labels[owner] == 1)
+
+
+def _blocks(texts: list[bytes]) -> list[list[bytes]]:
+    """The texts in runs of about ``TEXT_BLOCK`` bytes; a longer one is its own."""
+    out, size = [], TEXT_BLOCK
+    for t in texts:
+        if size + len(t) > TEXT_BLOCK:
+            out.append([])
+            size = 0
+        out[-1].append(t)
+        size += len(t)
+    return out
 
 
 def fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float] = (1.0, 1.0), rounds: int = 50, rate: float = 1.0, decay: float = 1e-6) -> ToxicityModel:
     """Maximum likelihood of the token labels by AdaGrad, then a logistic fit of
     the document labels, where a text counts as its class's member of ``weights``.
-    One class alone: a constant score on its side."""
-    t = tokens_of(texts, RangeHash())
-    gold = token_labels(t, labels)
+    One class alone: a constant score on its side. Gradients are added up over
+    blocks of text: what is held of all texts is their features."""
+    hasher, chunks = RangeHash(), _blocks(texts)
+    blocks = [tokens_of(c, hasher) for c in chunks]
+    firsts = np.cumsum([0, *map(len, chunks)])
+    n_tokens = [len(t.words) for t in blocks]
+    joint = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+    gold = token_labels(
+        joint((t.words for t in blocks), np.uint64), joint((t.owner + f for t, f in zip(blocks, firsts)), np.int64),
+        joint((t.opens for t in blocks), bool), labels,
+    )
+    golds = np.split(gold, np.cumsum(n_tokens)[:-1]) if blocks else []
+    for t in blocks:
+        t.words = t.starts = t.ends = np.zeros(0)
     # A prior in favour of clean tokens: features never seen stay clean.
     chain = Chain(np.zeros(TEMPLATES * TABLE), np.log([[0.995, 0.005], [0.5, 0.5]]), np.log([0.995, 0.005]))
     sums, move_sums = np.full(len(chain.weights), 1e-6), np.full((2, 2), 1e-6)
-    flat, inner = t.features.reshape(-1), ~t.opens
     pairs = np.zeros((2, 2))
-    if inner.any():
-        g = gold.astype(int)
-        np.add.at(pairs, (g[:-1][inner[1:]], g[1:][inner[1:]]), 1)
+    for t, g in zip(blocks, golds):
+        inner, g = np.flatnonzero(~t.opens), g.astype(int)
+        np.add.at(pairs, (g[inner - 1], g[inner]), 1)
     for _ in range(rounds if gold.any() else 0):
-        toxic, pair = chain.marginals(t)
-        gradient = np.bincount(flat, np.tile(gold - toxic, TEMPLATES), len(chain.weights)) - decay * len(gold) * chain.weights
+        gradient = -decay * len(gold) * chain.weights
+        move = pairs.copy()
+        for t, g in zip(blocks, golds):
+            toxic, pair = chain.marginals(t)
+            wrong = g - toxic
+            for features in t.features:
+                gradient += np.bincount(features, wrong, len(chain.weights))
+            move -= pair[:, :, ~t.opens].sum(2)
         sums += gradient**2
         chain.weights += rate * gradient / np.sqrt(sums)
-        move = pairs - pair[:, :, inner].sum(2)
         move_sums += move**2
         chain.moves += 0.1 * move / np.sqrt(move_sums)
     chain.weights = chain.weights.astype(np.float32)
-    x = document_features(t, chain.marginals(t)[0], len(texts))
+    seen = [document_features(t, chain.marginals(t)[0], len(c)) for t, c in zip(blocks, chunks)]
+    x = np.concatenate([np.zeros((0, 3)), *seen])
     return ToxicityModel(chain, _logistic(x, labels, np.asarray(weights)[labels]))
 
 
@@ -217,23 +250,47 @@ def train(
 ) -> ToxicityModel:
     """Fit on a bounded sample: at most ``per_class`` labelled rows of each
     class, first by a hash of the id, with texts of at most ``most_bytes``. The
-    document scores are fitted to the classes' shares among all labels."""
+    document scores are fitted to the classes' shares among all labels. The
+    sample goes to one task (at most 2 * ``per_class`` * ``most_bytes`` bytes),
+    whose weights, some 1.3 MB, are all that comes to the driver."""
     marked = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).where("id is not null and label in (0, 1)")
     order = F.xxhash64("id")
     ids = None
     for label in (0, 1):
         some = marked.where(F.col("label") == label).dropDuplicates(["id"]).orderBy(order, "id").limit(per_class)
         ids = some if ids is None else ids.unionByName(some)
+    classes = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     rows = (
         docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
         .where(F.octet_length("text") <= most_bytes)
         .join(F.broadcast(ids), "id")  # at most 2 * per_class ids
-        .select("text", "label", F.xxhash64("id", "text").alias("at")).toPandas().sort_values("at")
+        .select("text", "label", F.xxhash64("id", "text").alias("at"))
+        .repartition(1).sortWithinPartitions("at", "text", "label")
     )
-    found = rows["label"].to_numpy(np.int64)
-    shares = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
-    weights = tuple(shares.get(c, 0) / max(1, (found == c).sum()) or 1.0 for c in (0, 1))
-    return fit([t.encode() for t in rows["text"]], found, weights)
+    fitted = rows.mapInArrow(_fit_rows(classes), "weights binary, moves binary, start binary, scale binary").collect()
+    if not fitted:  # no partition at all
+        return fit([], np.zeros(0, np.int64))
+    read = lambda name, kind: np.frombuffer(fitted[0][name], kind)
+    chain = Chain(read("weights", np.float32), read("moves", np.float64).reshape(2, 2), read("start", np.float64))
+    return ToxicityModel(chain, read("scale", np.float64))
+
+
+def _fit_rows(classes: dict[int, int]):
+    """Fits a model on the rows of a task (text, label, ...); ``classes`` holds
+    the rows of each label among all."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, found = [], []
+        for batch in batches:
+            texts += texts_of(batch.column(0))
+            found += batch.column(1).to_pylist()
+        labels = np.array(found, np.int64)
+        shares = tuple(classes.get(c, 0) / max(1, (labels == c).sum()) or 1.0 for c in (0, 1))
+        model = fit(texts, labels, shares)
+        arrays = [model.chain.weights, model.chain.moves, model.chain.start, model.scale]
+        yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays], names=["weights", "moves", "start", "scale"])
+
+    return run
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -246,7 +303,7 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = RangeHash()
-        for part in byte_chunks(batches, 1, 2 << 20):
+        for part in byte_chunks(batches, 1, TEXT_BLOCK):
             texts = texts_of(part.column(1))
             scores, t, toxic = model.read(texts, hasher)
             spans: list[list[dict]] = [[] for _ in texts]
@@ -274,7 +331,7 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, text_col: str = "text", th
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = RangeHash()
-        for part in byte_chunks(batches, at, 2 << 20):
+        for part in byte_chunks(batches, at, TEXT_BLOCK):
             scores, _, _ = model.read(texts_of(part.column(at)), hasher)
             yield part.filter(pa.array(scores < threshold))
 
