@@ -20,7 +20,7 @@ from itertools import accumulate, combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -116,15 +116,23 @@ def links(fps: DataFrame, scratch: Scratch, bits: int = 4, max_bucket: int = 64)
     return near.unionByName(dense).distinct()
 
 
-def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, bits: int, max_bucket: int) -> DataFrame:
-    """(id, key, fp, root): the fingerprint that stands for each row's component."""
+def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, bits: int, max_bucket: int) -> tuple[DataFrame, DataFrame, Scratch]:
+    """(id, key, fp) per row, and (fp, root) per fingerprint: the one that stands for its component."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.write(fingerprints(docs, id_col, text_col, shingle_words), "rows")
     # as many partitions as any shuffle: few bytes here become 64 rows each
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     linked = links(rows.select("fp").repartition(wide, "fp").distinct(), scratch, bits, max_bucket)
     roots = scratch.write(connected_components(linked, scratch).select(F.col("node").alias("fp"), "root"), "roots")
-    return rows.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    return rows, roots, scratch
+
+
+def _of_components(rows: DataFrame, roots: DataFrame, value: Column) -> DataFrame:
+    """(fp, root, best): the smallest ``value`` of the rows of each fingerprint's
+    component. Rows are added up per fingerprint before they meet the others."""
+    per_fp = rows.groupBy("fp").agg(F.min(value).alias("v")).join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    best = per_fp.groupBy("root").agg(F.min("v").alias("best"))
+    return per_fp.select("fp", "root").join(best, "root")
 
 
 def simhash_groups(
@@ -138,10 +146,11 @@ def simhash_groups(
     null id is never a component id unless its whole component has null ids.
     An empty table gives an empty result. Other columns are ignored.
     """
-    rows = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
-    best = rows.groupBy("root").agg(F.min("id").alias("component_id"))
-    return rows.join(best, "root").select(
-        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    rows, roots, scratch = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
+    # written: a join whose other side is no aggregate can be split at a hot fingerprint
+    components = scratch.write(_of_components(rows, roots, F.col("id")), "components")
+    return rows.join(components, "fp").select(
+        F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), F.col("best").alias("component_id")
     )
 
 
@@ -150,8 +159,14 @@ def keep_one(
 ) -> DataFrame:
     """The rows of ``docs``, all columns, but one per component: that with the
     smallest id (a null id only if there is no other). Cases as in
-    ``simhash_groups``; of rows alike in id and text one stays."""
-    rows = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
-    key = free_name(docs, "row_key")
-    best = rows.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("best")).select(F.col("best.key").alias(key))
-    return docs.withColumn(key, row_key(id_col, text_col)).join(best, key, "left_semi").dropDuplicates([key]).drop(key)
+    ``simhash_groups``; of rows alike in id and text that stays whose other
+    columns, as JSON, come first, and of rows alike in all columns one."""
+    rows, roots, scratch = _classes(docs, id_col, text_col, shingle_words, bits, max_bucket)
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    best = _of_components(rows, roots, first).select("root", "best").distinct()
+    key, row = free_name(docs, "row_key"), free_name(docs, "whole_row")
+    kept = scratch.write(best.select(F.col("best.key").alias(key)), "kept")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    found = docs.withColumn(key, row_key(id_col, text_col)).join(kept, key, "left_semi")
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return found.groupBy(key).agg(F.min_by(whole, F.to_json(F.struct(*others))).alias(row)).select(f"{row}.*")
