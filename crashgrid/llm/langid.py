@@ -1,8 +1,8 @@
 """Language identification by language-bitmask n-gram filters.
 
-A bit-sliced Bloom filter keeps one bit per language in every cell: the cells
-of an n-gram, taken together, name all languages whose filter holds it. A
-text's n-grams are counted per language, the counts corrected for what the
+A bit-sliced Bloom filter keeps one bit per language in every cell, in as many
+64-bit words as the languages need: the cells of an n-gram, taken together, name
+all languages whose filter holds it. A text's n-grams are counted per language, the counts corrected for what the
 fill of each filter lets through by chance, and the largest decides.
 """
 
@@ -49,8 +49,8 @@ def gram_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass(frozen=True)
 class LanguageFilters:
-    """``cells``: a language bitmask per cell; ``chance``: per language, how often
-    an n-gram it does not hold seems held."""
+    """``cells``: a language bitmask per cell, cells x words; ``chance``: per
+    language, how often an n-gram it does not hold seems held."""
 
     languages: tuple[str, ...]
     cells: np.ndarray
@@ -58,13 +58,17 @@ class LanguageFilters:
     chance: np.ndarray
 
     def masks(self, keys: np.ndarray) -> np.ndarray:
-        """The languages of each n-gram as a bitmask."""
+        """The languages of each n-gram as a bitmask, n-grams x words."""
         out = None
         for h in range(self.hashes):
             got = self.cells[_cell(keys, h, len(self.cells))]
             out = got if out is None else out & got
         return out
 
+    def held(self, masks: np.ndarray, k: int) -> np.ndarray:
+        """Whether language ``k`` is in each mask, as 0 or 1."""
+        return (masks[:, k // 64] >> np.uint64(k % 64)) & np.uint64(1)
+
     def decide(self, texts: list[str]) -> tuple[list[str], list[float]]:
         """The likeliest language of each text and its share of all corrected
         counts; ``und`` and 0 where a text has no letter. Equal counts go to the
@@ -72,7 +76,7 @@ class LanguageFilters:
         keys, owner = gram_keys(texts)
         masks = self.masks(keys)
         total = np.bincount(owner, minlength=len(texts)).astype(float)
-        counts = np.stack([np.bincount(owner, (masks >> np.uint64(k)) & np.uint64(1), len(texts)) for k in range(len(self.languages))], 1)
+        counts = np.stack([np.bincount(owner, self.held(masks, k), len(texts)) for k in range(len(self.languages))], 1)
         fair = np.maximum(0, (counts - total[:, None] * self.chance) / (1 - self.chance))
         best = fair.argmax(1)
         share = (fair[np.arange(len(texts)), best] + 0.5) / (fair.sum(1) + 0.5 * len(self.languages))
@@ -112,11 +116,20 @@ def count_grams(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return rows.mapInArrow(run, "lang string, key long, n long").groupBy("lang", "key").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share: float = 0.2, cells: int = 1 << 18, hashes: int = 3) -> LanguageFilters:
+def train(
+    docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share: float = 0.2, cells: int = 1 << 18, hashes: int = 3, most_bytes: int = 1 << 26
+) -> LanguageFilters:
     """Filters from all labelled rows. An n-gram belongs to every language whose
     rate of it is at least ``share`` of the highest. There are ``cells`` cells, or
     the next power of two over 8 for each n-gram of the largest filter; their bits
-    are set by a distributed bit_or, so the driver gathers cells, not n-grams."""
+    are set by a distributed bit_or, so the driver gathers cells, not n-grams.
+
+    The table goes to every task, so it has at most ``most_bytes`` (64 MB: one
+    million n-grams in the largest of up to 64 languages). Beyond that cells are
+    shared by more n-grams: all n-grams stay in, more are held by chance, and the
+    correction, which is made from the cells' fill, takes that off again. Rates
+    near 1 would leave nothing to correct and are an error.
+    """
     scratch = Scratch(docs.sparkSession, "langid")
     counts = scratch.write(count_grams(docs, text_col, lang_col), "grams")
     totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
@@ -125,23 +138,27 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", share
     held = scratch.write(rates.join(top, "key").where(F.col("rate") >= share * F.col("top")).select("lang", "key"), "held")
     sizes = {r["lang"]: r["count"] for r in held.groupBy("lang").count().collect()}
     languages = tuple(sorted(sizes)) or ("und",)
-    if len(languages) > 64:
-        raise ValueError("a mask holds 64 languages")
+    words = -(-len(languages) // 64)
     cells = max(cells, 1 << (8 * max(sizes.values(), default=1) - 1).bit_length())
-    bits = {lang: int(np.uint64(1 << k).astype(np.int64)) for k, lang in enumerate(languages)}
+    while cells > 1 << 10 and cells * words * 8 > most_bytes:
+        cells //= 2
+    places = {lang: (k // 64, int(np.uint64(1 << k % 64).astype(np.int64))) for k, lang in enumerate(languages)}
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(1).to_numpy().astype(np.uint32)
-            bit = np.array([bits[x] for x in batch.column(0).to_pylist()], np.int64)
-            at = np.concatenate([_cell(keys, h, cells) for h in range(hashes)])
-            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(np.tile(bit, hashes))], names=["cell", "bit"])
+            word, bit = (np.array(x, np.int64) for x in zip(*(places[x] for x in batch.column(0).to_pylist()))) if len(keys) else (np.zeros(0, np.int64),) * 2
+            at = np.concatenate([_cell(keys, h, cells) * words for h in range(hashes)])
+            yield pa.RecordBatch.from_arrays([pa.array(at + np.tile(word, hashes)), pa.array(np.tile(bit, hashes))], names=["cell", "bit"])
 
     got = held.mapInArrow(place, "cell long, bit long").groupBy("cell").agg(F.expr("bit_or(bit)").alias("mask")).toPandas()
-    table = np.zeros(cells, np.uint64)
+    table = np.zeros(cells * words, np.uint64)
     table[got["cell"].to_numpy(np.int64)] = got["mask"].to_numpy(np.int64).view(np.uint64)
-    fill = np.array([((table >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
-    return LanguageFilters(languages, table, hashes, fill**hashes)
+    filters = LanguageFilters(languages, table.reshape(cells, words), hashes, np.zeros(len(languages)))
+    chance = np.array([filters.held(filters.cells, k).mean() for k in range(len(languages))]) ** hashes
+    if chance.max() > 0.9:
+        raise ValueError(f"the filters are full: give them more than {most_bytes} bytes")
+    return LanguageFilters(languages, filters.cells, hashes, chance)
 
 
 def identify(docs: DataFrame, filters: LanguageFilters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
