@@ -56,13 +56,27 @@ def id_of(record: str) -> int | None:
     return value - (1 << 64) if value >> 63 else value
 
 
+def revisits(pages: DataFrame, id_col: str, body_col: str, min_bytes: int) -> DataFrame:
+    """(id, same, last): the pages that repeat a payload of ``min_bytes`` or more,
+    its SHA-256, and the largest id that holds it, the one they refer to. Found
+    from ids and digests alone; a payload that fills the table is one row per
+    task before the shuffle."""
+    body = F.coalesce(F.col(body_col), F.lit(""))
+    light = pages.where(F.col(id_col).isNotNull() & (F.octet_length(body) >= min_bytes)).select(F.col(id_col).cast("long").alias("id"), F.sha2(body, 256).alias("same"))
+    scratch = Scratch(pages.sparkSession, "warc-revisits")
+    # written: a join whose other side is no aggregate can be split at a hot payload
+    last = scratch.write(light.groupBy("same").agg(F.max("id").alias("last"), F.min("id").alias("first")).where("first < last").drop("first"), "last")
+    return scratch.write(light.join(last, "same").where("id < last").select("id", "same", "last").distinct(), "revisits")
+
+
 def records(pages: DataFrame, id_col: str, url_col: str, body_col: str, captured: Column | None, min_bytes: int) -> DataFrame:
     """One row (value) per page: its record without the two line ends that close it.
 
     Of equal payloads of ``min_bytes`` or more, the page with the largest id is
-    the response and the others revisit it. Payloads are compared by SHA-256;
-    the largest id of each is found by a partial aggregate, so a payload that
-    fills the table is one row per task before the shuffle.
+    the response and the others revisit it (:func:`revisits`). A body meets what
+    is known of its page by id and digest, never by digest alone, so pages that
+    share a body do not gather in one task; pages without an id, which are
+    responses all, meet nothing.
     """
     body = F.coalesce(F.col(body_col), F.lit(""))
     when = captured if captured is not None else F.timestamp_seconds(F.lit(1_704_067_200) + F.coalesce(F.col(id_col), F.lit(0)) % 1_000_000_000)
@@ -72,9 +86,9 @@ def records(pages: DataFrame, id_col: str, url_col: str, body_col: str, captured
         body.alias("body"), F.octet_length(body).alias("size"), F.sha2(body, 256).alias("same"),
         F.date_format(when, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("captured"),
     )
-    last = own.where(F.col("size") >= min_bytes).groupBy("same").agg(F.max("id").alias("last"))
-    placed = own.join(last, "same", "left")
-    again = F.coalesce((F.col("id") != F.col("last")) & (F.col("size") >= min_bytes), F.lit(False))
+    known = own.where("id IS NOT NULL").join(revisits(pages, id_col, body_col, min_bytes), ["id", "same"], "left")
+    placed = known.unionByName(own.where("id IS NULL").withColumn("last", F.lit(None).cast("long")))
+    again = F.col("last").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size"), F.lit(END))
     block = F.concat(http, F.when(again, "").otherwise(F.col("body")))
 
