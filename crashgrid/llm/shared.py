@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import time
 import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,18 +35,15 @@ class Scratch:
         writer.parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 
-    def free_shuffles(self) -> None:
-        """Let Spark delete the shuffle files of finished writes now. It does so
-        once the driver has collected its garbage, which may be long after; what
-        refers to a finished plan goes first, so it takes more than one pass."""
-        for _ in range(3):
-            self.spark._jvm.System.gc()
-            time.sleep(0.7)
-
     def drop(self, name: str) -> None:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def drop_all(self) -> None:
+        """Remove all tables of the call, once what was made from them is written."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
 
 def byte_chunks(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of the batches whose ``column`` holds about ``limit`` bytes at
