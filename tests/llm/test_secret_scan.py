@@ -1,5 +1,7 @@
 import re
 
+from pyspark.sql import functions as F
+
 from crashgrid.llm import secret_scan as S
 
 HEX = "0123456789abcdef01234567"
@@ -61,3 +63,43 @@ def test_cases_and_redaction(spark):
     new = "é [SECRET] and [SECRET]\nend"
     want = [(1, new, len(new))] * 2 + [(None, "[SECRET]", 8), (3, None, None), (4, "clean", 5), (5, "w " * 100_000 + "[SECRET]", 200_008)]
     assert got == sorted(want, key=str)
+
+
+def slow_redact(text, spans):
+    out, at = "", 0
+    for start, end in sorted(spans):
+        if start >= at:
+            out += text[at:start] + "[SECRET]"
+        at = max(at, end)
+    return out + text[at:]
+
+
+def test_redaction_equals_brute_force(spark):
+    import random
+
+    rng, rows = random.Random(4), []
+    for i in range(120):
+        n = rng.choice([1, 5, 255, 256, 257, 600, 5000, 16_384, 16_385, 40_000])
+        text = "".join(rng.choice("abé漢😀 ") for _ in range(n))
+        spans = sorted({(a, rng.randint(0, 5), min(n, a + rng.choice([1, 2, 30, 300, 700]))) for a in (rng.randrange(n) for _ in range(rng.choice([0, 1, 2, 9, 80])))})
+        rows.append((i, text, [{"start": a, "rank": r, "end": b} for a, r, b in spans]))
+    rows.append((-1, "", []))
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans array<struct<start:int,rank:int,end:int>>")
+    got = {r.doc_id: r.out for r in df.select("doc_id", S.redact(F.col("text"), F.col("spans")).alias("out")).collect()}
+    for i, text, spans in rows:
+        assert got[i] == slow_redact(text, [(s["start"], s["end"]) for s in spans]), i
+
+
+def test_redaction_grows_with_the_spans(spark):
+    import time
+
+    took = {}
+    for n in (2000, 8000, 16_000, 8000, 16_000):
+        text = f"x password=abcdefgh {HEX} y\n" * (n // 2)
+        spans = [(2 + 48 * k + a, 0, 2 + 48 * k + b) for k in range(n // 2) for a, b in ((0, 17), (18, 42))]
+        df = spark.createDataFrame([(1, text, [{"start": a, "rank": r, "end": b} for a, r, b in spans])], "doc_id long, text string, spans array<struct<start:int,rank:int,end:int>>").cache()
+        df.count()
+        at = time.time()
+        df.select(S.redact(F.col("text"), F.col("spans")).alias("out")).write.format("noop").mode("overwrite").save()
+        took[n] = time.time() - at
+    assert took[16_000] < max(3.5 * took[8000], 4), took
