@@ -1,19 +1,26 @@
 """Log-bilinear language model trained with noise-contrastive estimation.
 
-A token's class (itself if frequent, the end of a text, or "rare") is predicted
-from the two classes before it: the score is bilinear in context and target
-vectors. Tables of both context positions against all targets are products of
-two matrices, and so are all normalisers, so a token's exact log-probability is
-three look-ups. A rare token's probability within its class is its corpus-wide
-add-half share, so the whole distribution sums to 1.
-
-Word counts cover all training rows and are a table; the vectors are trained on
-all training rows too, every task on its own part, and averaged.
+Every word has a class: a frequent word one of its own, any other that of its
+ending, the end of a text and the word never seen one each. A token's class is
+predicted from the classes of the two tokens before it: the score is bilinear in
+context and target vectors. Tables of both context positions against all targets
+are products of two matrices, and so are all normalisers, so a class's exact
+log-probability is three look-ups. A word's probability within its class is its
+corpus-wide add-half share of it, so the whole distribution sums to 1.
+
+Word counts cover all training rows and are a table; the numbers of classes grow
+with the square root of the counted words, up to what the tables may hold. The
+vectors are trained on all training rows too. Rows are dealt into shards by a
+hash of their text, as many as the counted tokens ask for, and put in an order;
+each shard learns its rows of a round, the shards' vectors are averaged by their
+tokens, and the next round goes on from there. Neither shards nor order depend
+on files, partitions or the number of machines, so neither does the model.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -27,7 +34,12 @@ from pyspark.sql import functions as F
 from .shared import Scratch, byte_chunks, texts_of
 
 END = b"\n"  # no word: words hold no white space
-RARE, END_CLASS = 0, 1
+UNSEEN, END_CLASS = 0, 1
+ENDING = 3  # bytes of a word's ending
+# Classes at most: the tables hold 4 * 3 * (their sum) ** 2 bytes, 28 MB.
+MOST_OWN, MOST_ENDINGS = 1022, 512
+TOKENS_PER_SHARD = 2_000_000
+ROUNDS = 4
 
 
 def count_words(docs: DataFrame, text_col: str, flush: int = 400_000) -> DataFrame:
@@ -53,14 +65,23 @@ def count_words(docs: DataFrame, text_col: str, flush: int = 400_000) -> DataFra
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def ending_key(word: bytes, endings: int) -> int:
+    """Which of ``endings`` numbers a word's last bytes lead to."""
+    return zlib.crc32(word[-ENDING:]) % endings
+
+
 @dataclass
 class Lexicon:
     """Frequent words and their counts, most frequent first (the end is among
-    them); ``classes`` of them have a class of their own, after RARE and END."""
+    them); the first ``own`` of them have classes of their own, after UNSEEN and
+    END; then come the classes of the endings that occur. ``ending_class`` holds
+    the class of each ending number, UNSEEN where no counted word has it."""
 
     index: dict[bytes, int]
     counts: np.ndarray
-    classes: int
+    own: int
+    ending_class: np.ndarray
+    ending_mass: np.ndarray  # add-half mass of the ending classes, in the order of their classes
     tokens: int  # N
     words: int  # V
 
@@ -68,31 +89,33 @@ class Lexicon:
     def mass(self) -> float:
         return self.tokens + 0.5 * (self.words + 1)
 
+    def ending(self, word: bytes) -> int:
+        return int(self.ending_class[ending_key(word, len(self.ending_class))])
+
     def class_of(self) -> np.ndarray:
-        """The class of each known word; the last entry is for words not known."""
-        out = np.full(len(self.counts) + 1, RARE, np.int64)
-        own = [i for w, i in self.index.items() if w != END][: self.classes]
+        """The class of each word of the index."""
+        out = np.array([END_CLASS if w == END else self.ending(w) for w in self.index], np.int64)
+        own = [i for w, i in self.index.items() if w != END][: self.own]
         out[own] = np.arange(len(own)) + 2
-        if END in self.index:
-            out[self.index[END]] = END_CLASS
         return out
 
     def class_mass(self) -> np.ndarray:
-        """Add-half mass of each class; RARE holds all else, unseen words included."""
-        of = self.class_of()[:-1]
-        out = np.bincount(of, self.counts + 0.5, self.classes + 2).astype(float)
-        if END not in self.index:
-            out[END_CLASS] = 0.5
-        out[RARE] = max(self.mass - out[1:].sum(), 0.5)
-        return out
+        """Add-half mass of each class; a word never seen has one half."""
+        own = [i for w, i in self.index.items() if w != END][: self.own]
+        end = self.counts[self.index[END]] if END in self.index else 0
+        return np.concatenate([[0.5, end + 0.5], self.counts[own] + 0.5, self.ending_mass]).astype(float)
 
 
-def lexicon(counts: DataFrame, known: int = 200_000, classes: int = 1022, longest: int = 64) -> Lexicon:
+def lexicon(counts: DataFrame, known: int = 200_000, most_own: int = MOST_OWN, most_endings: int = MOST_ENDINGS, longest: int = 64) -> Lexicon:
     """What is broadcast: about ``known`` words at most, none over ``longest``
-    bytes. The count that splits them off comes from a histogram over eighths
-    of powers of two, so nothing is sorted as a whole."""
+    bytes, and the classes. The count that splits the words off comes from a
+    histogram over eighths of powers of two, so nothing is sorted as a whole.
+    Twice the square root of the counted words, at most ``most_own``, is the
+    number of words with classes of their own, and once that, at most
+    ``most_endings``, the number of endings' classes."""
     step = F.floor(F.log2("n") * 8).cast("int")
     total = counts.agg(F.sum("n"), F.count("*")).first()
+    tokens, words = total[0] or 0, total[1]
     some = counts.where((F.octet_length("word") <= longest))
     steps = sorted(((r[0], r[1]) for r in some.groupBy(step).count().collect()), reverse=True)
     least, kept = None, 0
@@ -100,10 +123,24 @@ def lexicon(counts: DataFrame, known: int = 200_000, classes: int = 1022, longes
         if kept + n > known:
             break
         least, kept = s, kept + n
-    rows = some.where(step >= (least if least is not None else 1 << 30)).collect() if kept else []
+    rows = some.where((step >= (least if least is not None else 1 << 30)) | (F.col("word") == F.lit(END))).collect()
     rows = sorted(rows, key=lambda r: (-r["n"], bytes(r["word"])))
     index = {bytes(r["word"]): i for i, r in enumerate(rows)}
-    return Lexicon(index, np.array([r["n"] for r in rows], np.int64), min(classes, len(index.keys() - {END})), total[0] or 0, total[1])
+    listed = np.array([r["n"] for r in rows], np.int64)
+    own = min(most_own, 2 * math.isqrt(words), len(index.keys() - {END}))
+    endings = max(1, min(most_endings, math.isqrt(words)))
+
+    size = F.octet_length("word")
+    ending = F.crc32(F.when(size <= ENDING, F.col("word")).otherwise(F.substring("word", size - (ENDING - 1), F.lit(ENDING)))) % endings
+    mass = np.zeros(endings)
+    for r in counts.where(F.col("word") != F.lit(END)).groupBy(ending.alias("e")).agg(F.sum(F.col("n") + 0.5).alias("m")).collect():
+        mass[r["e"]] = r["m"]
+    for w in [w for w in index if w != END][:own]:
+        mass[ending_key(w, endings)] -= listed[index[w]] + 0.5
+    used = np.flatnonzero(mass > 0.25)  # every word adds 1.5 or more
+    classes = np.full(endings, UNSEEN, np.int64)
+    classes[used] = np.arange(len(used)) + 2 + own
+    return Lexicon(index, listed, own, classes, mass[used], tokens, words)
 
 
 @dataclass
@@ -173,17 +210,37 @@ def _summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
-def _token_stream(texts: list[bytes], index: dict[bytes, int]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    """Tokens of all texts, each text's end included; the known word of each (or
-    -1); the position of each text's first token."""
-    tokens: list[bytes] = []
-    first = np.empty(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        first[i] = len(tokens)
-        tokens += text.lower().split()
-        tokens.append(END)
-    get = index.get
-    return tokens, np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens)), first
+class Reader:
+    """Texts as known words and classes; endings are looked up once per ending."""
+
+    def __init__(self, lex: Lexicon):
+        self.index, self.class_of = lex.index, np.append(lex.class_of(), 0)
+        self.lex, self.endings = lex, {}
+
+    def ending(self, word: bytes) -> int:
+        end = word[-ENDING:]
+        found = self.endings.get(end)
+        if found is None:
+            if len(self.endings) > 200_000:
+                self.endings.clear()
+            found = self.endings[end] = self.lex.ending(end)
+        return found
+
+    def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens of all texts, each text's end included; the known word of each
+        (or -1); its class; the position of each text's first token."""
+        tokens: list[bytes] = []
+        first = np.empty(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            first[i] = len(tokens)
+            tokens += text.lower().split()
+            tokens.append(END)
+        get = self.index.get
+        known = np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
+        classes = self.class_of[known]
+        rest = np.flatnonzero(known < 0)
+        classes[rest] = [UNSEEN if tokens[k] == END else self.ending(tokens[k]) for k in rest.tolist()]
+        return tokens, known, classes, first
 
 
 def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,38 +254,99 @@ def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return c1, c2
 
 
-def train_vectors(docs: DataFrame, text_col: str, lex: Lexicon, width: int = 24, batch: int = 512) -> Vectors:
-    """One pass over all rows: every task starts from the same vectors and learns
-    on its own rows; the results are averaged by the tokens learnt from."""
-    mass = lex.class_mass()
-    start = Vectors.start(mass, width)
-    index, class_of = lex.index, lex.class_of()
+def class_rows(docs: DataFrame, text_col: str, lex: Lexicon, shards: int, rounds: int) -> DataFrame:
+    """(shard, round, place, classes): each text as its classes, 16 bits each.
+    Shard, round and place come from a hash of the text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v = start.of_flat(start.flat())
-        learner, n = NoiseContrast(v, mass, seed=TaskContext.get().partitionId()), 0
+        reader = Reader(lex)
         for part in byte_chunks(batches, 0):
-            _, known, first = _token_stream(texts_of(part.column(0)), index)
-            classes = class_of[known]
-            c1, c2 = _contexts(classes, first)
+            _, _, classes, first = reader.read(texts_of(part.column(0)))
+            ends = np.append(first[1:], len(classes)).tolist()
+            told = classes.astype("<u2")
+            yield pa.RecordBatch.from_arrays(
+                [part.column(1), pa.array([told[a:b].tobytes() for a, b in zip(first.tolist(), ends)], pa.binary())], names=["place", "classes"]
+            )
+
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    told = docs.select(text.alias("text"), F.xxhash64(text).alias("place")).mapInArrow(run, "place long, classes binary")
+    return told.select(F.pmod("place", F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("place"), F.lit(rounds)).cast("int").alias("round"), "place", "classes")
+
+
+def train_vectors(docs: DataFrame, text_col: str, lex: Lexicon, scratch: Scratch, width: int = 24, batch: int = 512, rounds: int = ROUNDS, chunk: int = 1 << 18) -> Vectors:
+    """One pass over all rows in ``rounds`` rounds of averaged shards."""
+    mass = lex.class_mass()
+    shards = max(1, -(-lex.tokens // TOKENS_PER_SHARD))
+    rows = scratch.write(class_rows(docs, text_col, lex, shards, rounds), "classes", partition_by="round")
+    now, sums = Vectors.start(mass, width), None
+    for r in range(rounds):
+        if not lex.tokens:
+            break
+        dealt = rows.where(F.col("round") == r).repartition(shards, "shard").sortWithinPartitions("shard", "place", "classes")
+        learnt = dealt.select("shard", "classes").mapInArrow(_learn(now, sums, mass, r, batch, chunk), "part int, n long, vectors binary")
+        # tasks' sums are added up in a few more, so that the driver gets eight at most
+        added = learnt.groupBy("part").applyInArrow(_add, "part int, n long, vectors binary").collect()
+        n = sum(x["n"] for x in added)
+        if n:
+            flat = np.sum([np.frombuffer(x["vectors"], np.float64) for x in sorted(added, key=lambda x: x["part"])], axis=0) / n
+            half = len(flat) // 2
+            now, sums = now.of_flat(flat[:half]), now.of_flat(flat[half:])
+    scratch.drop("classes")
+    return now
+
+
+def _add(table: pa.Table) -> pa.Table:
+    total = np.sum([np.frombuffer(x, np.float64) for x in table["vectors"].to_pylist()], axis=0)
+    return pa.table({"part": table["part"][:1], "n": pa.array([pa.compute.sum(table["n"]).as_py()]), "vectors": pa.array([total.tobytes()], pa.binary())})
+
+
+def _learn(now: Vectors, sums: Vectors | None, mass: np.ndarray, round_: int, batch: int, chunk: int):
+    """Every shard of a task learns from ``now``; what it has learnt, and the sums
+    of squares that set its steps, are added up by its tokens."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n_total, shard, learner, n, held, size = None, 0, None, None, 0, [], 0
+
+        def learn() -> None:
+            nonlocal held, size
+            texts = [np.frombuffer(x, "<u2").astype(np.int64) for x in held]
+            classes = np.concatenate(texts)
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            c1, c2 = _contexts(classes, np.cumsum(lengths) - lengths)
             order = learner.rng.permutation(len(classes))
             for at in range(0, len(order), batch):
                 some = order[at : at + batch]
                 learner.step(c1[some], c2[some], classes[some])
-            n += len(classes)
-        if n:
-            out = learner.v.flat()
+            held, size = [], 0
+
+        def done() -> None:
+            nonlocal total, n_total
+            if held:
+                learn()
+            flat = np.concatenate([learner.v.flat(), Vectors(*learner.sums).flat()]).astype(np.float64) * n
+            total, n_total = flat if total is None else total + flat, n_total + n
+
+        for part in batches:
+            for of, classes in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
+                if of != shard:
+                    if shard is not None:
+                        done()
+                    shard, n = of, 0
+                    learner = NoiseContrast(now.of_flat(now.flat()), mass, seed=of * 1009 + round_)
+                    if sums is not None:
+                        flat = sums.of_flat(sums.flat())
+                        learner.sums = [flat.last, flat.earlier, flat.target, flat.bias]
+                held.append(classes)
+                size, n = size + len(classes) // 2, n + len(classes) // 2
+                if size >= chunk:
+                    learn()
+        if shard is not None:
+            done()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(len(out), dtype=np.int32)), pa.array(out.astype(np.float64) * n), pa.array(np.full(len(out), n, np.int64))], names=["i", "x", "n"]
+                [pa.array([shard % 8], pa.int32()), pa.array([n_total], pa.int64()), pa.array([total.tobytes()], pa.binary())], names=["part", "n", "vectors"]
             )
 
-    got = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "i int, x double, n long").groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x"))
-    rows = got.toPandas()
-    if not len(rows):
-        return start
-    flat = np.empty(len(rows), np.float64)
-    flat[rows["i"].to_numpy()] = rows["x"].to_numpy()
-    return start.of_flat(flat)
+    return run
 
 
 @dataclass
@@ -252,44 +370,55 @@ class Tables:
 
 def scan(docs: DataFrame, lex: Lexicon, tables: Tables) -> DataFrame:
     """Of each row (id, text): its token count, what known words add to both
-    scores, and the words whose counts are yet to be joined."""
-    index, class_of, counts, mass, rare_mass = lex.index, lex.class_of(), lex.counts, lex.mass, lex.class_mass()[RARE]
+    scores, and the words whose counts are yet to be joined: how often each
+    occurs, and what its places add to the score if it was seen (its count's
+    logarithm aside) and if it was not."""
+    counts, mass, class_mass = lex.counts, lex.mass, lex.class_mass()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(lex)
+        of = reader.class_of[:-1]
         base = np.append(np.log10((counts + 0.5) / mass), 0.0)
-        within = np.append(np.where(class_of[:-1] == RARE, np.log10((counts + 0.5) / rare_mass), 0.0), 0.0)
+        within = np.append(np.log10((counts + 0.5) / class_mass[of]), 0.0)
         row = TaskContext.get().partitionId() << 40
         for part in byte_chunks(batches, 1):
-            tokens, known, first = _token_stream(texts_of(part.column(1)), index)
-            classes = class_of[known]
-            log_p = tables.log_p(*_contexts(classes, first), classes) / math.log(10) + within[known]
+            tokens, known, classes, first = reader.read(texts_of(part.column(1)))
+            c1, c2 = _contexts(classes, first)
+            log_p = tables.log_p(c1, c2, classes) / math.log(10) + within[known]
             ends = np.append(first[1:], len(tokens))
-            rest: list[list[tuple[bytes, int]]] = [[] for _ in first]
             unknown = np.flatnonzero(known < 0)
+            if_seen = (log_p[unknown] - np.log10(class_mass[classes[unknown]])).tolist()
+            if_not = (tables.log_p(c1[unknown], c2[unknown], np.full(len(unknown), UNSEEN)) / math.log(10)).tolist()
+            log_p[unknown] = 0.0
             cuts = np.searchsorted(unknown, first).tolist() + [len(unknown)]
             at = unknown.tolist()
+            rest: list[list[dict]] = [[] for _ in first]
             for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b > a:
-                    rest[i] = list(Counter(tokens[k] for k in at[a:b]).items())
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
+                found: dict[bytes, list] = {}
+                for k in range(a, b):
+                    x = found.setdefault(tokens[at[k]], [0, 0.0, 0.0])
+                    x[0], x[1], x[2] = x[0] + 1, x[1] + if_seen[k], x[2] + if_not[k]
+                rest[i] = [{"word": w, "times": n, "seen": s, "unseen": u} for w, (n, s, u) in found.items()]
+            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64()), ("seen", pa.float64()), ("unseen", pa.float64())]))
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array(np.arange(row, row + len(first))), pa.array(ends - first),
                     pa.array(np.add.reduceat(known >= 0, first).astype(np.int64)),
                     pa.array(np.add.reduceat(base[known], first)), pa.array(np.add.reduceat(log_p, first)),
-                    pa.array([[{"word": w, "times": n} for w, n in r] for r in rest], kind),
+                    pa.array(rest, kind),
                 ],
                 names=["id", "row", "n_tokens", "n_known", "base_score", "score", "rest"],
             )
             row += len(first)
 
     return docs.mapInArrow(
-        run, f"id {dict(docs.dtypes)['id']}, row long, n_tokens long, n_known long, base_score double, score double, rest array<struct<word:binary,times:long>>"
+        run, f"id {dict(docs.dtypes)['id']}, row long, n_tokens long, n_known long, base_score double, score double, "
+        "rest array<struct<word:binary,times:long,seen:double,unseen:double>>"
     )
 
 
 def score_texts(
-    docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = 200_000, classes: int = 1022, width: int = 24
+    docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: int = 200_000, width: int = 24
 ) -> DataFrame:
     """One row (id, n_tokens, n_known, train_tokens, base_score, score) per row
     of ``docs``; base_score is the add-half unigram log10 probability, score the
@@ -299,23 +428,22 @@ def score_texts(
     so the lexicon's size changes the cost, not the result. Null and empty
     texts are the end alone. Repeated rows come back as often, null ids too;
     other columns are ignored; an empty ``docs`` gives an empty result; with
-    no training rows every token is unseen.
+    no training rows every token is unseen. A text of any length is read whole.
     """
     scratch = Scratch(docs.sparkSession, "lm")
     counts = scratch.write(count_words(training, text_col), "counts")
-    lex = lexicon(counts, known, classes)
-    tables = Tables.of(train_vectors(training, text_col, lex, width))
+    lex = lexicon(counts, known)
+    tables = Tables.of(train_vectors(training, text_col, lex, scratch, width))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # written, so that a row's number is the same in every later step
     scanned = scratch.write(scan(rows, lex, tables), "scanned")
-    n = F.coalesce("n", F.lit(0)) + 0.5
-    rare = float(lex.class_mass()[RARE])
+    n, seen = F.coalesce("n", F.lit(0)) + 0.5, F.col("n").isNotNull()
     added = (
         scanned.where(F.size("rest") > 0).select("row", F.inline("rest")).join(counts, "word", "left").groupBy("row")
         .agg(
-            F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("more_known"),
+            F.sum(F.when(seen, F.col("times")).otherwise(0)).alias("more_known"),
             F.sum(F.col("times") * F.log10(n / lex.mass)).alias("more_base"),
-            F.sum(F.col("times") * F.log10(n / rare)).alias("more"),
+            F.sum(F.when(seen, F.col("seen") + F.col("times") * F.log10(n)).otherwise(F.col("unseen"))).alias("more"),
         )
     )
     zero = lambda c: F.coalesce(c, F.lit(0))

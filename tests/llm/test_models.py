@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 
 from crashgrid.llm import langid, language_model, toxicity
+from crashgrid.llm.shared import Scratch
 from crashgrid.llm.flat import RangeHash
 from crashgrid.llm.queries import QUERIES
 
@@ -90,14 +91,14 @@ def test_languages_on_held_out_rows(spark):
 
 def test_filters_hold_what_they_were_given():
     rng = np.random.default_rng(2)
-    cells = np.zeros(1 << 14, np.uint64)
+    cells = np.zeros((1 << 14, 1), np.uint64)
     keys = {k: np.unique(rng.integers(0, 1 << 32, 500).astype(np.uint32)) for k in range(3)}
     for k, own in keys.items():
         for h in range(3):
-            np.bitwise_or.at(cells, langid._cell(own, h, len(cells)), np.uint64(1 << k))
+            np.bitwise_or.at(cells[:, 0], langid._cell(own, h, len(cells)), np.uint64(1 << k))
     f = langid.LanguageFilters(("a", "b", "c"), cells, 3, np.full(3, 0.001))
     for k, own in keys.items():
-        assert ((f.masks(own) >> np.uint64(k)) & np.uint64(1)).all()
+        assert f.held(f.masks(own), k).all()
     others = rng.integers(0, 1 << 32, 20_000).astype(np.uint32)
     assert (f.masks(others) > 0).mean() < 0.02
 
@@ -110,7 +111,58 @@ def test_filters_hold_every_counted_gram(spark):
     for k, lang in enumerate(filters.languages):
         keys = np.unique(langid.gram_keys([texts[lang]])[0])
         assert lang != "ja" or len(keys) > 20_000
-        assert ((filters.masks(keys) >> np.uint64(k)) & np.uint64(1)).all()
+        assert filters.held(filters.masks(keys), k).all()
+
+
+def _grams(text):
+    """The 4-byte n-grams of a text's words, one space around each, plainly."""
+    raw = bytes(b if b >= 0x80 or chr(b).isalpha() else 32 for b in text.lower().encode())
+    joined = b" " + b" ".join(raw.split()) + b" "
+    return [joined[i : i + 4] for i in range(len(joined) - 3) if b" " not in joined[i + 1 : i + 3]]
+
+
+@pytest.mark.parametrize("n_languages", [3, 70, 130])
+def test_decisions_equal_plain_sets(spark, n_languages):
+    """Sets in place of filters: the same n-grams held, the same languages chosen
+    but where chance decides a near tie."""
+    rng = np.random.default_rng(n_languages)
+    syllables = ["".join(chr(c) for c in rng.integers(0x61, 0x7B, 3)) for _ in range(400)]
+    own = {f"l{k:03d}": rng.choice(syllables, 25, replace=False) for k in range(n_languages)}
+    text = lambda lang, n: " ".join("".join(rng.choice(own[lang], 2)) for _ in range(n))
+    train = [(lang, text(lang, 120)) for lang in own for _ in range(2)]
+    filters = langid.train(spark.createDataFrame(train, "lang string, text string"))
+    assert filters.languages == tuple(sorted(own)) and filters.cells.shape[1] == -(-n_languages // 64)
+    counts = {lang: Counter(g for x, t in train if x == lang for g in _grams(t)) for lang in own}
+    rates = {lang: {g: n / sum(c.values()) for g, n in c.items()} for lang, c in counts.items()}
+    top = Counter()
+    for r in rates.values():
+        for g, x in r.items():
+            top[g] = max(top[g], x)
+    held = {lang: {g for g, x in r.items() if x >= 0.2 * top[g]} for lang, r in rates.items()}
+    for k, lang in enumerate(filters.languages):
+        keys = np.array([int.from_bytes(g, "little") for g in held[lang]], np.uint32)
+        assert filters.held(filters.masks(keys), k).all()
+    rows = [(i, text(lang, 30), lang) for i, lang in enumerate(list(own) * 2)]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), filters).collect()}
+    same = 0
+    for i, t, _ in rows:
+        grams = _grams(t)
+        exact = {lang: sum(g in held[lang] for g in grams) for lang in filters.languages}
+        best = max(filters.languages, key=lambda x: (exact[x], [-ord(c) for c in x]))
+        same += best == got[i].lang_pred
+        want = (exact[best] + 0.5) / (sum(exact.values()) + 0.5 * n_languages)
+        assert abs(got[i].score - want) < 0.05
+    assert same >= 0.99 * len(rows)
+
+
+def test_a_small_table_still_decides_and_a_full_one_is_an_error(spark):
+    train = spark.createDataFrame([("en", "the cat and the dog ran home again"), ("de", "der Hund und die Katze gehen nach Hause")] * 5, "lang string, text string")
+    small = langid.train(train, most_bytes=1 << 13)
+    assert small.cells.nbytes <= 1 << 13
+    assert small.decide(["the dog ran", "die Katze gehen"])[0] == ["en", "de"]
+    words = " ".join("".join(chr(c) for c in np.random.default_rng(i).integers(0x61, 0x7B, 12)) for i in range(9000))
+    with pytest.raises(ValueError, match="full"):
+        langid.train(spark.createDataFrame([("a", words), ("b", words[::-1])], "lang string, text string"), most_bytes=1 << 13)
 
 
 def test_language_cases(spark):
@@ -153,18 +205,79 @@ def test_counts_and_base_scores_equal_brute_force(spark):
             assert r.base_score == pytest.approx(base, rel=1e-9)
 
 
-def test_the_model_is_normalised_and_beats_the_base(spark):
+def test_beats_the_base_on_held_out_rows(spark):
     got = QUERIES["op9_lm_scoring"](spark, SF).where("held_out").collect()
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
-    counts = np.array([50, 30, 20, 5, 1])
-    lex = language_model.Lexicon({w: i for i, w in enumerate([b"a", language_model.END, b"b", b"c", b"d"])}, counts, 2, 110, 8)
-    mass = lex.class_mass()
-    assert mass.sum() == pytest.approx(lex.mass)
-    v = language_model.Vectors.start(mass, 8, seed=1)
+
+
+def _plain_scores(docs, counts, v, own, endings):
+    """Scores by sums over all classes, one token at a time; the share of a word in its class by adding up."""
+    L = language_model
+    ranked = [w for w, _ in sorted(((w, n) for w, n in counts.items() if w != L.END), key=lambda x: (-x[1], x[0]))]
+    names = {w: i + 2 for i, w in enumerate(ranked[:own])}
+    members = {}
+    for w in ranked[own:]:
+        members.setdefault(L.ending_key(w, endings), []).append(w)
+    order = {e: 2 + own + i for i, e in enumerate(sorted(members))}
+
+    def of(w):
+        return L.END_CLASS if w == L.END else names.get(w) or order.get(L.ending_key(w, endings), L.UNSEEN)
+
+    out = {}
+    for i, text in docs:
+        before, total = [L.END_CLASS, L.END_CLASS], 0.0
+        for w in [*(text or "").encode().lower().split(), L.END]:
+            q = v.last[before[-1]].astype(float) + v.earlier[before[-2]].astype(float)
+            logits = [float(q @ v.target[c]) + float(v.bias[c]) for c in range(len(v.bias))]
+            z = math.fsum(math.exp(x) for x in logits)
+            if w in counts:
+                group = [w] if w == L.END or w in names else members[L.ending_key(w, endings)]
+                share = (counts[w] + 0.5) / sum(counts[x] + 0.5 for x in group)
+                p = math.exp(logits[of(w)]) / z * share
+            else:
+                p = math.exp(logits[L.UNSEEN]) / z
+            total += math.log10(p)
+            before.append(of(w))
+        out[i] = total
+    return out
+
+
+@pytest.mark.parametrize("known", [200_000, 40])
+def test_scores_equal_brute_force(spark, known):
+    L = language_model
+    rows = [(r.doc_id, r.text[:900] if r.text else r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(60).collect()]
+    rows += [(1000, None), (1001, "neverseen words herezzq"), (1002, "y" * 100)]
+    training = [t for i, t in rows if i % 3]
+    counts = Counter(w for t in training for w in [*(t or "").encode().lower().split(), L.END])
+    frame = spark.createDataFrame(training, "string").toDF("text")
+    scratch = Scratch(spark, "lm-test")
+    lex = L.lexicon(scratch.write(L.count_words(frame, "text"), "counts"), known)
+    assert lex.words == len(counts) and lex.tokens == sum(counts.values()) and 2 * math.isqrt(len(counts)) >= lex.own
+    assert lex.class_mass().sum() == pytest.approx(lex.mass)  # every counted word is in one class
+    v = L.train_vectors(frame, "text", lex, scratch)
+    want = _plain_scores(rows, counts, v, lex.own, len(lex.ending_class))
+    got = L.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), frame, known=known).collect()
+    for r in got:
+        assert r.score == pytest.approx(want[r.doc_id], abs=2e-4 * r.n_tokens)
+
+
+def test_scores_do_not_depend_on_the_layout(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    seen = {}
+    for parts in (1, 32):
+        got = language_model.score_texts(docs, docs.repartition(parts)).collect()
+        seen[parts] = {r.doc_id: (r.score / r.n_tokens, r.base_score / r.n_tokens) for r in got}
+    assert all(abs(seen[1][i][0] - seen[32][i][0]) < 0.01 for i in seen[1])
+    gain = np.mean([a - b for a, b in seen[32].values()])
+    assert gain > 0.158, gain
+
+
+def test_tables_are_normalised():
+    v = language_model.Vectors.start(np.array([1.0, 40, 9, 5, 2, 3]), 8, seed=1)
     t = language_model.Tables.of(v)
-    c1, c2 = np.repeat(np.arange(4), 4), np.tile(np.arange(4), 4)
-    total = sum(np.exp(t.log_p(c1, c2, np.full(16, w))) for w in range(4))
-    assert total == pytest.approx(np.ones(16), rel=1e-5)
+    c1, c2 = np.repeat(np.arange(6), 6), np.tile(np.arange(6), 6)
+    total = sum(np.exp(t.log_p(c1, c2, np.full(36, w))) for w in range(6))
+    assert total == pytest.approx(np.ones(36), rel=1e-5)
 
 
 def test_noise_contrast_learns_what_follows():
