@@ -77,9 +77,9 @@ QUERIES: dict[str, Query] = {
         _q("top15_hotspot_addresses", R.top15_hotspot_addresses, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
         _q("hotspot_address_ranks", R.hotspot_address_ranks, SHORT, _ID, "Address", "Area_Name", "Is_Hotspot"),
         _q("severity_by_area", R.severity_by_area, SHORT, _ID, "Area_Name", "Collision_Severity"),
-        _q("severity_matrix", R.severity_matrix, SHORT,
+        _q("severity_matrix", partial(R.severity_matrix, severities=()), SHORT,
            _ID, "Area_Name", "Collision_Severity"),
-        _q("severity_matrix_top10", R.severity_matrix_top10, SHORT,
+        _q("severity_matrix_top10", partial(R.severity_matrix_top10, severities=()), SHORT,
            _ID, "Area_Name", "Collision_Severity"),
         _q("peak_hour_per_area", R.peak_hour_per_area, SHORT, _ID, "Area_Name", "Hour"),
         _q("peak_hour_single", R.peak_hour_single, SHORT, _ID, "Area_Name", "Hour"),

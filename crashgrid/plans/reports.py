@@ -342,18 +342,22 @@ def top10_areas_overlay(df: DataFrame, n: int = 10, scale: int | None = None) ->
     return top.orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
 
 
-def severity_matrix(df: DataFrame, severities: Sequence[str] | None = None, top: int | None = None) -> DataFrame:
+# Severities that always have a column.
+SEVERITIES = ("Injury Involved", "Property Damage Only")
+
+
+def severity_matrix(df: DataFrame, severities: Sequence[str] = SEVERITIES, top: int | None = None) -> DataFrame:
     """Area x severity counts (missing -> 0) with the area total, by total.
 
     One aggregation to the (area, severity) cube; the matrix and the total are
-    both sums over the cube's cells. Without ``severities`` there is a column for
-    each severity found in the data, in the order of their names; a null one is
-    only in the total.
+    both sums over the cube's cells. The given severities have columns, found or
+    not; every other severity found in the data has one too, in the order of
+    their names. A null one is only in the total.
     """
     cube = rollups.count_by(df, ["Area_Name", "Collision_Severity"], "_n", where=F.col("Area_Name").isNotNull())
-    if severities is None:
-        cube, severities = matrix.found_values(cube, "Collision_Severity")
-    out = matrix.pivot_sum(cube, "Area_Name", "Collision_Severity", list(severities), "_n", total=TOTAL)
+    cube, found = matrix.found_values(cube, "Collision_Severity")
+    columns = [*severities, *(s for s in found if s not in severities)]
+    out = matrix.pivot_sum(cube, "Area_Name", "Collision_Severity", columns, "_n", total=TOTAL)
     order = _desc(TOTAL, "Area_Name")
     if top is None:
         return out.orderBy(*order)
@@ -361,7 +365,7 @@ def severity_matrix(df: DataFrame, severities: Sequence[str] | None = None, top:
     return ranking.top_n(out, top, order).orderBy(F.col(TOTAL).asc(), F.col("Area_Name").desc())
 
 
-def severity_matrix_top10(df: DataFrame, severities: Sequence[str] | None = None) -> DataFrame:
+def severity_matrix_top10(df: DataFrame, severities: Sequence[str] = SEVERITIES) -> DataFrame:
     return severity_matrix(df, severities, top=10)
 
 

@@ -92,13 +92,14 @@ def test_peaks_are_hash_aggregates(spark, name):
 def test_severities_found_in_the_data(spark):
     specs = [{"Area_Name": a, "Collision_Severity": s} for a, s in [("A", "Fatal"), ("A", "Injury Involved"), ("A", None), ("B", "Property Damage Only"), ("B", "Fatal"), ("B", "Fatal"), (None, "Other")]]
     got = R.severity_matrix(rows(spark, specs))
-    assert got.columns == ["Area_Name", "Fatal", "Injury Involved", "Property Damage Only", "Total_Collisions"]
-    assert [tuple(r) for r in got.collect()] == [("A", 1, 1, 0, 3), ("B", 2, 0, 1, 3)]
-    given = R.severity_matrix(rows(spark, specs), ["Fatal"])
-    assert [tuple(r) for r in given.collect()] == [("A", 1, 3), ("B", 2, 3)]
-    assert R.severity_matrix(rows(spark, specs).limit(0)).columns == ["Area_Name", "Total_Collisions"]
+    assert got.columns == ["Area_Name", "Injury Involved", "Property Damage Only", "Fatal", "Total_Collisions"]
+    assert [tuple(r) for r in got.collect()] == [("A", 1, 0, 1, 3), ("B", 0, 1, 2, 3)]
+    found = R.severity_matrix(rows(spark, specs), ())
+    assert found.columns == ["Area_Name", "Fatal", "Injury Involved", "Property Damage Only", "Total_Collisions"]
+    assert [tuple(r) for r in found.collect()] == [("A", 1, 1, 0, 3), ("B", 2, 0, 1, 3)]
+    assert R.severity_matrix(rows(spark, specs).limit(0), ()).columns == ["Area_Name", "Total_Collisions"]
     clash = rows(spark, [{"Collision_Severity": "Area_Name"}, {"Collision_Severity": "Total_Collisions"}])
-    assert R.severity_matrix(clash).columns == ["Area_Name", "Area_Name (Collision_Severity)", "Total_Collisions (Collision_Severity)", "Total_Collisions"]
+    assert R.severity_matrix(clash, ()).columns == ["Area_Name", "Area_Name (Collision_Severity)", "Total_Collisions (Collision_Severity)", "Total_Collisions"]
 
 
 def test_too_many_columns_are_an_error(spark):
