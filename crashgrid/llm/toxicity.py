@@ -192,8 +192,13 @@ def _blocks(texts: list[bytes]) -> list[list[bytes]]:
 def fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float] = (1.0, 1.0), rounds: int = 50, rate: float = 1.0, decay: float = 1e-6) -> ToxicityModel:
     """Maximum likelihood of the token labels by AdaGrad, then a logistic fit of
     the document labels, where a text counts as its class's member of ``weights``.
-    One class alone: a constant score on its side. Gradients are added up over
+    One class alone: a constant score on its side; no text at all: a constant
+    score on the clean side. Gradients are added up over
     blocks of text: what is held of all texts is their features."""
+    # A prior in favour of clean tokens: features never seen stay clean.
+    chain = Chain(np.zeros(TEMPLATES * TABLE), np.log([[0.995, 0.005], [0.5, 0.5]]), np.log([0.995, 0.005]))
+    if not texts:  # nothing to learn from: every text is clean
+        return ToxicityModel(chain, np.array([0.0, 0.0, -4.0]))
     hasher, chunks = RangeHash(), _blocks(texts)
     blocks = [tokens_of(c, hasher) for c in chunks]
     firsts = np.cumsum([0, *map(len, chunks)])
@@ -206,8 +211,6 @@ def fit(texts: list[bytes], labels: np.ndarray, weights: tuple[float, float] = (
     golds = np.split(gold, np.cumsum(n_tokens)[:-1]) if blocks else []
     for t in blocks:
         t.words = t.starts = t.ends = np.zeros(0)
-    # A prior in favour of clean tokens: features never seen stay clean.
-    chain = Chain(np.zeros(TEMPLATES * TABLE), np.log([[0.995, 0.005], [0.5, 0.5]]), np.log([0.995, 0.005]))
     sums, move_sums = np.full(len(chain.weights), 1e-6), np.full((2, 2), 1e-6)
     pairs = np.zeros((2, 2))
     for t, g in zip(blocks, golds):
