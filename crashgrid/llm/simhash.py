@@ -120,9 +120,10 @@ def _classes(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, bi
     """(id, key, fp) per row, and (fp, root) per fingerprint: the one that stands for its component."""
     scratch = Scratch(docs.sparkSession, "simhash")
     rows = scratch.write(fingerprints(docs, id_col, text_col, shingle_words), "rows")
-    # as many partitions as any shuffle: few bytes here become 64 rows each
+    # copies are added up in part before they are dealt; then as many partitions as
+    # any shuffle, since few bytes here become 64 rows each
     wide = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    linked = links(rows.select("fp").repartition(wide, "fp").distinct(), scratch, bits, max_bucket)
+    linked = links(rows.select("fp").distinct().repartition(wide, "fp"), scratch, bits, max_bucket)
     roots = scratch.write(connected_components(linked, scratch).select(F.col("node").alias("fp"), "root"), "roots")
     return rows, roots, scratch
 
