@@ -11,7 +11,7 @@ corpus-wide add-half share of it, so the whole distribution sums to 1.
 Word counts cover all training rows and are a table; the numbers of classes grow
 with the square root of the counted words, up to what the tables may hold. The
 vectors are trained on all training rows too. Rows are dealt into shards by a
-hash of their text, as many as the counted tokens ask for, and put in an order;
+hash of their id and text, as many as the counted tokens ask for, and put in an order;
 each shard learns its rows of a round, the shards' vectors are averaged by their
 tokens, and the next round goes on from there. Neither shards nor order depend
 on files, partitions or the number of machines, so neither does the model.
@@ -254,9 +254,10 @@ def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.nd
     return c1, c2
 
 
-def class_rows(docs: DataFrame, text_col: str, lex: Lexicon, shards: int, rounds: int) -> DataFrame:
+def class_rows(docs: DataFrame, text_col: str, lex: Lexicon, shards: int, rounds: int, id_col: str | None = None) -> DataFrame:
     """(shard, round, place, classes): each text as its classes, 16 bits each.
-    Shard, round and place come from a hash of the text."""
+    Shard, round and place come from a hash of the text and, if there is one, the
+    id, so that copies are dealt to all shards."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(lex)
@@ -269,15 +270,18 @@ def class_rows(docs: DataFrame, text_col: str, lex: Lexicon, shards: int, rounds
             )
 
     text = F.coalesce(F.col(text_col), F.lit(""))
-    told = docs.select(text.alias("text"), F.xxhash64(text).alias("place")).mapInArrow(run, "place long, classes binary")
+    named = [F.col(id_col)] if id_col in docs.columns else []
+    told = docs.select(text.alias("text"), F.xxhash64(*named, text).alias("place")).mapInArrow(run, "place long, classes binary")
     return told.select(F.pmod("place", F.lit(shards)).cast("int").alias("shard"), F.pmod(F.xxhash64("place"), F.lit(rounds)).cast("int").alias("round"), "place", "classes")
 
 
-def train_vectors(docs: DataFrame, text_col: str, lex: Lexicon, scratch: Scratch, width: int = 24, batch: int = 512, rounds: int = ROUNDS, chunk: int = 1 << 18) -> Vectors:
+def train_vectors(
+    docs: DataFrame, text_col: str, lex: Lexicon, scratch: Scratch, width: int = 24, batch: int = 512, rounds: int = ROUNDS, chunk: int = 1 << 18, id_col: str | None = None
+) -> Vectors:
     """One pass over all rows in ``rounds`` rounds of averaged shards."""
     mass = lex.class_mass()
     shards = max(1, -(-lex.tokens // TOKENS_PER_SHARD))
-    rows = scratch.write(class_rows(docs, text_col, lex, shards, rounds), "classes", partition_by="round")
+    rows = scratch.write(class_rows(docs, text_col, lex, shards, rounds, id_col), "classes", partition_by="round")
     now, sums = Vectors.start(mass, width), None
     for r in range(rounds):
         if not lex.tokens:
@@ -429,11 +433,12 @@ def score_texts(
     texts are the end alone. Repeated rows come back as often, null ids too;
     other columns are ignored; an empty ``docs`` gives an empty result; with
     no training rows every token is unseen. A text of any length is read whole.
+    ``training`` may have the id as well: copies are then dealt to all shards.
     """
     scratch = Scratch(docs.sparkSession, "lm")
     counts = scratch.write(count_words(training, text_col), "counts")
     lex = lexicon(counts, known)
-    tables = Tables.of(train_vectors(training, text_col, lex, scratch, width))
+    tables = Tables.of(train_vectors(training, text_col, lex, scratch, width, id_col=id_col))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # written, so that a row's number is the same in every later step
     scanned = scratch.write(scan(rows, lex, tables), "scanned")

@@ -70,7 +70,7 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = remainder("doc_id", 5) == 1
-    found = language_model.score_texts(docs, docs.where(~held_out).select("text"))
+    found = language_model.score_texts(docs, docs.where(~held_out).select("doc_id", "text"))
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
