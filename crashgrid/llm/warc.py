@@ -1,8 +1,10 @@
 """WARC archives of captured pages, read back, and their indexes merged.
 
-Each archive gives a run of captures, sorted where it is read. Runs are dealt
-out by ranges of (URL key, time, id) and merged in every range by a loser tree,
-which gives capture histories in one global order.
+Each archive is read as a stream, record by record, and gives a run of captures,
+sorted where it is read. Runs are dealt out by ranges of (URL key, time, id), as
+many as their bytes ask for; in every range Spark brings each run's part in order,
+spilling as it must, and a loser tree merges them, which gives capture histories
+in one global order. A task holds one range in columns, and one record.
 """
 
 from __future__ import annotations
@@ -10,7 +12,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
-from collections.abc import Iterator
+import io
+from collections.abc import Callable, Iterator, Sequence
+from typing import BinaryIO
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -25,6 +29,10 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 END = "\r\n\r\n"
 
+#: Bytes of records an archive is to hold, and records at most; bytes of captures per range.
+ARCHIVE_BYTES, ARCHIVE_RECORDS = 64 << 20, 2000
+RANGE_BYTES = 32 << 20
+
 CAPTURE = "id long, url string, url_key string, captured string, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long"
 
 
@@ -109,11 +117,15 @@ def records(pages: DataFrame, id_col: str, url_col: str, body_col: str, captured
 
 def write_archives(
     pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
-    captured: Column | None = None, min_bytes: int = 0, records_per_file: int = 2000,
+    captured: Column | None = None, min_bytes: int = 0, records_per_file: int | None = None,
 ) -> None:
     """Write one record per row to gzipped WARC files under ``path``, of at most
-    ``records_per_file`` records. Two line ends close a record, so Spark's own
-    text writer puts it on whatever store ``path`` names."""
+    ``records_per_file`` records: by default as many as make ``ARCHIVE_BYTES`` at
+    the pages' mean size, and no more than ``ARCHIVE_RECORDS``. Two line ends close
+    a record, so Spark's own text writer puts it on whatever store ``path`` names."""
+    if records_per_file is None:
+        mean = pages.agg(F.avg(F.coalesce(F.octet_length(body_col), F.lit(0)))).first()[0] or 0
+        records_per_file = int(max(1, min(ARCHIVE_RECORDS, ARCHIVE_BYTES // (mean + 500))))
     records(pages, id_col, url_col, body_col, captured, min_bytes).write.option("lineSep", END).option(
         "maxRecordsPerFile", records_per_file
     ).option("compression", "gzip").text(path)
@@ -132,15 +144,19 @@ def url_key(url: str) -> str:
     return (",".join(reversed(host.split("."))) + shown + ")" + (parts.path or "/") + (f"?{parts.query}" if parts.query else "")).lower()
 
 
-def parse(data: bytes, archive: str) -> Iterator[tuple]:
-    """The captures of one archive, as CAPTURE lists them; response payloads are
-    checked against their digest."""
+def parse(stream: BinaryIO, archive: str) -> Iterator[tuple]:
+    """The captures of one archive, as CAPTURE lists them, read record by record;
+    response payloads are checked against their digest."""
     at = 0
-    while at < len(data):
-        head_end = data.index(b"\r\n\r\n", at)
-        head = dict(line.split(": ", 1) for line in data[at:head_end].decode().split("\r\n")[1:])
-        block_end = head_end + 4 + int(head["Content-Length"])
-        block = data[head_end + 4 : block_end]
+    while stream.readline():  # the version
+        lines, size_read = [], len("WARC/1.1\r\n")
+        while (line := stream.readline()) != b"\r\n":
+            if not line:
+                raise ValueError(f"{archive} at {at}: the header has no end")
+            lines.append(line.decode().rstrip("\r\n"))
+            size_read += len(line)
+        head = dict(line.split(": ", 1) for line in lines)
+        block = stream.read(int(head["Content-Length"]))
         http, _, payload = block.partition(b"\r\n\r\n")
         size = int(http.rsplit(b"Content-Length: ", 1)[1])
         digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
@@ -148,11 +164,12 @@ def parse(data: bytes, archive: str) -> Iterator[tuple]:
             raise ValueError(f"{archive} at {at}: the payload does not match its digest")
         refers = head.get("WARC-Refers-To")
         url = head.get("WARC-Target-URI", "")
+        length = size_read + 2 + len(block)
         yield (
             id_of(head["WARC-Record-ID"]), url, url_key(url), head["WARC-Date"], size, digest, head["WARC-Type"],
-            id_of(refers) if refers else None, archive, at, block_end - at,
+            id_of(refers) if refers else None, archive, at, length,
         )
-        at = block_end + 4
+        at += length + len(stream.read(4))
 
 
 def _order(row: tuple) -> tuple:
@@ -171,7 +188,8 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
-                rows = sorted(parse(gzip.decompress(content.as_py()), name.rsplit("/", 1)[-1]), key=_order)
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=io.BytesIO(content.as_buffer())), 1 << 16)
+                rows = sorted(parse(stream, name.rsplit("/", 1)[-1]), key=_order)
                 if rows:
                     yield _batch(rows)
 
@@ -180,12 +198,12 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 class LoserTree:
     """Merges sorted runs: inner nodes hold the run that lost there, so the next
-    smallest costs one comparison per level."""
+    smallest costs one comparison per level. ``key`` orders the rows."""
 
-    def __init__(self, runs: list[list[tuple]]):
-        self.runs = runs
+    def __init__(self, runs: Sequence[Sequence], key: Callable = _order):
+        self.runs, self.key = runs, key
         self.at = [0] * len(runs)
-        self.heads = [_order(r[0]) if r else None for r in runs]
+        self.heads = [key(r[0]) if len(r) else None for r in runs]
         self.tree = [-1] * max(1, len(runs))
         for i in range(len(runs)):
             self._play(i)
@@ -206,11 +224,12 @@ class LoserTree:
             node //= 2
         self.tree[0] = k
 
-    def __iter__(self) -> Iterator[tuple]:
-        while self.runs and self.heads[k := self.tree[0]] is not None:
-            yield self.runs[k][self.at[k]]
-            self.at[k] += 1
-            self.heads[k] = _order(self.runs[k][self.at[k]]) if self.at[k] < len(self.runs[k]) else None
+    def __iter__(self) -> Iterator:
+        while len(self.runs) and self.heads[k := self.tree[0]] is not None:
+            run, at = self.runs[k], self.at[k]
+            yield run[at]
+            self.at[k] = at + 1
+            self.heads[k] = self.key(run[at + 1]) if at + 1 < len(run) else None
             self._play(k)
 
 
@@ -218,26 +237,29 @@ def merge_runs(runs: DataFrame, ranges: int | None = None) -> DataFrame:
     """All captures in the order of (URL key, time, id), range by range.
 
     Ranges are cut by the whole order, so one URL with a third of all captures
-    spreads over many. A task holds one range.
+    spreads over many; there are as many as make ``RANGE_BYTES`` each, unless
+    ``ranges`` says. A task holds one range, as Arrow columns; each run's part of
+    it arrives in order, and what is merged are places.
     """
+    if ranges is None:
+        held = runs.agg(F.sum(F.octet_length("url") + F.octet_length("url_key") + 200)).first()[0] or 0
+        ranges = max(1, -(-held // RANGE_BYTES))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_archive: dict[str, list[tuple]] = {}
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                by_archive.setdefault(row[8], []).append(row)
-        out: list[tuple] = []
-        # a run's blocks may arrive in any order; sorting sorted blocks is one merge
-        for row in LoserTree([sorted(r, key=_order) for r in by_archive.values()]):
-            out.append(row)
-            if len(out) == 10_000:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
+        held = list(batches)
+        if not held:
+            return
+        table = pa.Table.from_batches(held)
+        url_key, captured, id_, archive, offset = (table[c].to_pylist() for c in ("url_key", "captured", "id", "archive", "offset"))
+        cuts = [0, *(i for i in range(1, len(archive)) if archive[i] != archive[i - 1]), len(archive)]
+        parts = [range(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+        order = pa.array(LoserTree(parts, lambda i: (url_key[i], captured[i], id_[i] is not None, id_[i] or 0, archive[i], offset[i])), pa.int64())
+        for at in range(0, len(order), 10_000):
+            yield from table.take(order.slice(at, 10_000)).combine_chunks().to_batches()
 
     order = ["url_key", "captured", "id", "archive", "offset"]
-    dealt = runs.repartitionByRange(ranges, *order) if ranges else runs.repartitionByRange(*order)
-    return dealt.mapInArrow(run, CAPTURE)
+    in_runs = ["archive", *(c for c in order if c != "archive")]
+    return runs.repartitionByRange(ranges, *order).sortWithinPartitions(*in_runs).mapInArrow(run, CAPTURE)
 
 
 def capture_histories(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html", captured: Column | None = None, min_bytes: int = 0) -> DataFrame:
@@ -247,7 +269,8 @@ def capture_histories(pages: DataFrame, id_col: str = "page_id", url_col: str =
     Null bodies are empty payloads; a null URL has no target and the empty key;
     a null id is a response of its own and nothing refers to it, unless no
     equal payload has an id. Rows repeated with the largest id are responses
-    each. Other columns are ignored; an empty table gives an empty result.
+    each. Other columns are ignored; an empty table gives an empty result. Ids are
+    whole numbers. A page of any length is one record, held whole by its task.
     """
     spark = pages.sparkSession
     scratch = Scratch(spark, "warc")

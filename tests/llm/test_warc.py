@@ -1,5 +1,6 @@
 import base64
 import hashlib
+import io
 import random
 
 import pytest
@@ -49,6 +50,36 @@ def test_histories_are_in_one_order(spark):
     assert len(got) == 900 and got == sorted(got)
 
 
+def test_ranges_and_archives_go_by_bytes(spark, monkeypatch):
+    r = random.Random(4)
+    pages = spark.createDataFrame([(i, f"http://{r.choice('abc')}.org/{i % 50}", "y" * r.randint(0, 4000)) for i in range(600)], "page_id long, url string, html string").coalesce(1)
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 100_000)
+    monkeypatch.setattr(warc, "RANGE_BYTES", 20_000)
+    at = warc.Scratch(spark, "test")
+    warc.write_archives(pages, at.path("a"))
+    runs = warc.read_runs(spark, at.path("a"))
+    sizes = [x["count"] for x in runs.groupBy("archive").count().collect()]
+    assert 25 <= max(sizes) <= 60 and sum(sizes) == 600
+    merged = warc.merge_runs(runs)
+    got = [(x.url_key, x.captured, x.id) for x in merged.collect()]
+    assert merged.rdd.getNumPartitions() > 4 and len(got) == 600 and got == sorted(got)
+
+
+def test_offsets_are_where_records_stand(spark):
+    import gzip
+    import os
+
+    pages = spark.createDataFrame([(i, f"http://é{i}.org/ä", f"<p>ü{i}</p>" * (i + 1)) for i in range(20)], "page_id long, url string, html string").coalesce(1)
+    at = warc.Scratch(spark, "test")
+    warc.write_archives(pages, at.path("a"))
+    folder = at.path("a").removeprefix("file:")
+    whole = {f: gzip.open(os.path.join(folder, f)).read() for f in os.listdir(folder) if f.endswith(".gz")}
+    for x in warc.read_runs(spark, at.path("a")).collect():
+        record = whole[x.archive][x.offset : x.offset + x.length]
+        assert record.startswith(b"WARC/1.1\r\n") and record.endswith(f"<p>ü{x.id}</p>".encode())
+        assert whole[x.archive][x.offset + x.length : x.offset + x.length + 4] == b"\r\n\r\n"
+
+
 @pytest.mark.parametrize("k", [0, 1, 2, 3, 7, 8])
 def test_loser_tree_merges(k):
     r = random.Random(k)
@@ -59,9 +90,9 @@ def test_loser_tree_merges(k):
 def test_corrupt_payloads_are_noticed(spark):
     pages = spark.createDataFrame([(1, "http://a.org", "abc")], "page_id long, url string, html string")
     text = warc.records(pages, "page_id", "url", "html", None, 0).first()[0] + "\r\n\r\n"
-    assert [x[4] for x in warc.parse(text.encode(), "a")] == [3]
+    assert [x[4] for x in warc.parse(io.BytesIO(text.encode()), "a")] == [3]
     with pytest.raises(ValueError, match="digest"):
-        list(warc.parse(text.replace("abc", "abd").encode(), "a"))
+        list(warc.parse(io.BytesIO(text.replace("abc", "abd").encode()), "a"))
 
 
 def test_ids_survive_record_ids(spark):
