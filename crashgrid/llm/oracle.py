@@ -7,21 +7,17 @@ those against brute force or held-out rows.
 
 from __future__ import annotations
 
-from . import quality, secret_scan
-
 _WORD = r"[^\x20\x09-\x0D]+"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _rule_sql() -> str:
-    tests = []
-    for r in quality.RULES:
-        bounds = ([f"{r.metric} < {r.low}"] if r.low is not None else []) + ([f"{r.metric} > {r.high}"] if r.high is not None else [])
-        tests.append(f"CASE WHEN ({' OR '.join(bounds)}) AND n_words >= {r.least_words} THEN '{r.metric}' END")
-    return f"concat_ws(',', {', '.join(tests)})"
-
-
-_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(quality.STOP_WORDS))
+# The stop words, thresholds and patterns of op1 and op10 are written out here, not
+# taken from the code they check.
+_STOP_WORDS = (
+    "the of and to in is that it for on was be with as by this are or an at from le la les de des du et en un une que qui pour par au aux est "
+    "der die das und ist von zu mit den ein eine auf nicht dem für el los las y del se por con una su al es lo"
+)
+_STOPS = ", ".join(f"'{w}'" for w in dict.fromkeys(_STOP_WORDS.split()))
 
 OP1 = rf"""
 WITH d AS (
@@ -37,20 +33,39 @@ rep AS (
   SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM win WHERE c > 1) GROUP BY doc_id),
 m AS (
   SELECT d.doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
-         (length(t) - length(translate(t, '{quality.SYMBOLS}', '')))::BIGINT AS n_symbols,
+         (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
          (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
-         len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: lower(x) IN ({_STOPS})))::BIGINT AS n_stop_words
+         len(l)::BIGINT AS n_lines, len(list_filter(w, lambda x: lower(x) IN ({_STOPS})))::BIGINT AS n_stop_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}')))::BIGINT AS n_alpha_words,
+         len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z\x{{C0}}-\x{{24F}}]')))::BIGINT AS n_latin_words,
+         len(list_filter(l, lambda x: regexp_matches(x, '^[\x09-\x0D\x20]*[-*•‣◦·–]')))::BIGINT AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(x, '([.][.][.]|…)[\x09-\x0D\x20]*$')))::BIGINT AS n_ellipsis_lines
   FROM d LEFT JOIN rep USING (doc_id)),
 r AS (
   SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
          CASE WHEN n_words > 0 THEN word_chars / n_words ELSE 0 END AS mean_word_chars,
          CASE WHEN n_words > 0 THEN n_symbols / n_words ELSE 0 END AS symbols_per_word,
          CASE WHEN n_words > 0 THEN n_stop_words / n_words ELSE 0 END AS stop_word_ratio,
-         CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio
+         CASE WHEN n_words > 0 THEN n_alpha_words / n_words ELSE 0 END AS alpha_word_ratio,
+         CASE WHEN n_lines > 0 THEN n_words / n_lines ELSE 0 END AS words_per_line,
+         CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines ELSE 0 END AS dup_line_ratio,
+         CASE WHEN n_lines > 0 THEN n_bullet_lines / n_lines ELSE 0 END AS bullet_line_ratio,
+         CASE WHEN n_lines > 0 THEN n_ellipsis_lines / n_lines ELSE 0 END AS ellipsis_line_ratio
   FROM m),
-f AS (SELECT *, {_rule_sql()} AS failed_rules FROM r)
+f AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN n_words < 10 THEN 'n_words' END,
+    CASE WHEN mean_word_chars < 2 OR mean_word_chars > 20 THEN 'mean_word_chars' END,
+    CASE WHEN symbols_per_word > 0.1 THEN 'symbols_per_word' END,
+    CASE WHEN stop_word_ratio < 0.01 AND n_words >= 30 AND 2 * n_latin_words >= n_words THEN 'stop_word_ratio' END,
+    CASE WHEN alpha_word_ratio < 0.6 AND n_words >= 30 THEN 'alpha_word_ratio' END,
+    CASE WHEN words_per_line < 2 AND n_words >= 30 THEN 'words_per_line' END,
+    CASE WHEN dup_line_ratio > 0.5 THEN 'dup_line_ratio' END,
+    CASE WHEN bullet_line_ratio > 0.9 AND n_words >= 30 THEN 'bullet_line_ratio' END,
+    CASE WHEN ellipsis_line_ratio > 0.3 AND n_words >= 30 THEN 'ellipsis_line_ratio' END) AS failed_rules
+  FROM r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT base_failed AND failed_rules = '' AS kept, n_lines, n_stop_words, failed_rules
+       NOT base_failed AND failed_rules = '' AS kept, n_lines, n_stop_words, n_alpha_words, n_latin_words, n_bullet_lines, n_ellipsis_lines, failed_rules
 FROM f
 """
 
@@ -101,8 +116,19 @@ SELECT d.doc_id, n::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_remov
 FROM d LEFT JOIN r USING (doc_id) LEFT JOIN k USING (doc_id)
 """
 
+_KINDS = ("assign", "access", "hex", "weak_access", "weak_secret", "endpoint")
+_ROLES = ("secret", "access", "secret", "access", "secret", "endpoint")
+_GIVEN = r"[\"']?\x20*[:=]\x20*[\"']?"
 _PATTERNS = (
-    secret_scan.ASSIGN, secret_scan.ACCESS, secret_scan.HEX, secret_scan.WEAK_ACCESS, secret_scan.WEAK_SECRET, secret_scan.ENDPOINT,
+    r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
+    + _GIVEN + "([A-Za-z0-9+/_.=-]+)",
+    "AKIA[A-Z0-9]{16,}",
+    "[0-9a-f]{24,}",
+    "A[KS]IA[A-Z0-9]{8,}|(user|username|login|client_id|access_key_id|account_id|USER|USERNAME|LOGIN|CLIENT_ID|ACCESS_KEY_ID|ACCOUNT_ID)"
+    + _GIVEN + "[A-Za-z0-9_.@-]{3,}",
+    "(pwd|pass|key|credential|signature|PWD|PASS|KEY|CREDENTIAL|SIGNATURE)" + _GIVEN + "[A-Za-z0-9+/_.=-]{4,}|[A-Za-z0-9+/]{32,}",
+    "(http|https|ftp|ssh|postgres|postgresql|mysql|mongodb|redis|amqp)://[A-Za-z0-9_.:@/-]{4,}|(host|server|endpoint|HOST|SERVER|ENDPOINT)"
+    + _GIVEN + "[A-Za-z0-9_.:/-]{4,}",
 )
 
 
@@ -126,7 +152,7 @@ OP10 = f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 s AS ({' UNION ALL '.join(_spans_sql(r, p) for r, p in enumerate(_PATTERNS))}),
 parts AS (
-  SELECT *, {_case(secret_scan.ROLES)} AS role FROM s
+  SELECT *, {_case(_ROLES)} AS role FROM s
   WHERE rank < 3 OR NOT EXISTS (
     FROM s AS o WHERE o.doc_id = s.doc_id AND o.rank < 3 AND s.start < o.stop AND o.start < s.stop)),
 judged AS (
@@ -139,8 +165,8 @@ linked AS (
 every AS (SELECT doc_id, start, rank, stop FROM parts WHERE rank < 3 UNION ALL FROM linked),
 told AS (
   SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS a, count(*) FILTER (WHERE rank = 1) AS c, count(*) FILTER (WHERE rank = 2) AS h,
-         string_agg({_case(secret_scan.KINDS)} || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
-         string_agg({_case(secret_scan.KINDS)} || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
+         string_agg({_case(_KINDS)} || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
+         string_agg({_case(_KINDS)} || ':' || start || ':' || stop, ',' ORDER BY start, rank) AS spans
   FROM every GROUP BY doc_id)
 SELECT d.doc_id, coalesce(a, 0)::BIGINT AS n_assign, coalesce(c, 0)::BIGINT AS n_access, coalesce(h, 0)::BIGINT AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .native import let, lines_of, words_of
+from .native import BLANKS, let, lines_of, words_of
 
 # Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -18,13 +18,18 @@ STOP_WORDS = (
 ).split()
 
 SYMBOLS = "#*$%&|<>"
+# Letters of the script the stop words are written in, marks that
+# open a bullet line, marks that cut a line off.
+LATIN = "[A-Za-z\u00C0-\u024F]"
+BULLET = "^[-*\u2022\u2023\u25E6\u00B7\u2013]"
+ELLIPSIS = "(\\.\\.\\.|\u2026)$"
 
 
 @dataclass(frozen=True)
 class Rule:
     """``metric``, a column of ``quality_rules``, must lie in [low, high]; a bound of
-    None is open. Texts of under ``least_words`` words are not judged by it: a
-    ratio over few words says little."""
+    None is open. Texts of under ``least_words`` words, or without the metric, are
+    not judged by it: a ratio over few words says little."""
 
     metric: str
     low: float | None = None
@@ -37,7 +42,11 @@ RULES = (
     Rule("mean_word_chars", low=2, high=20),
     Rule("symbols_per_word", high=0.1),
     Rule("stop_word_ratio", low=0.01, least_words=30),
+    Rule("alpha_word_ratio", low=0.6, least_words=30),
+    Rule("words_per_line", low=2, least_words=30),
     Rule("dup_line_ratio", high=0.5),
+    Rule("bullet_line_ratio", high=0.9, least_words=30),
+    Rule("ellipsis_line_ratio", high=0.3, least_words=30),
 )
 
 
@@ -89,13 +98,16 @@ def quality_rules(
     names of failed rules and ``kept``.
 
     Null and empty texts have no words and fail; ratios over no words or lines
-    are 0. Repeated rows come back as often, null ids too; other columns are
+    are 0. Stop words are listed for languages in Latin script only: a text of
+    which under half the words have a Latin letter has no stop-word ratio and is
+    not judged by it. Texts are read whole, however long. Repeated rows come back as often, null ids too; other columns are
     ignored; an empty table gives an empty result. The whole plan is one
     projection over the scan: no shuffle.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = docs.select(F.col(id_col).alias("id"), text.alias("text"), words_of(text).alias("words"), lines_of(text).alias("lines"))
     stops = F.size(F.filter("words", lambda w: F.lower(w).isin(STOP_WORDS)))
+    count = lambda of, test: F.size(F.filter(of, test)).cast("long")
     counts = base.select(
         "id",
         F.size("words").cast("long").alias("n_words"),
@@ -105,6 +117,10 @@ def quality_rules(
         _repeated_words(F.col("words"), window).cast("long").alias("n_repeat_words"),
         F.size("lines").cast("long").alias("n_lines"),
         stops.cast("long").alias("n_stop_words"),
+        count("words", lambda w: w.rlike(r"\p{L}")).alias("n_alpha_words"),
+        count("words", lambda w: w.rlike(LATIN)).alias("n_latin_words"),
+        count("lines", lambda x: F.trim(x, F.lit(BLANKS)).rlike(BULLET)).alias("n_bullet_lines"),
+        count("lines", lambda x: F.trim(x, F.lit(BLANKS)).rlike(ELLIPSIS)).alias("n_ellipsis_lines"),
     )
 
     def ratio(a: str, b: str) -> Column:
@@ -114,8 +130,12 @@ def quality_rules(
         {
             "mean_word_chars": ratio("word_chars", "n_words"),
             "symbols_per_word": ratio("n_symbols", "n_words"),
-            "stop_word_ratio": ratio("n_stop_words", "n_words"),
+            "stop_word_ratio": F.when(2 * F.col("n_latin_words") >= F.col("n_words"), ratio("n_stop_words", "n_words")),
+            "alpha_word_ratio": ratio("n_alpha_words", "n_words"),
+            "words_per_line": ratio("n_words", "n_lines"),
             "dup_line_ratio": ratio("n_dup_lines", "n_lines"),
+            "bullet_line_ratio": ratio("n_bullet_lines", "n_lines"),
+            "ellipsis_line_ratio": ratio("n_ellipsis_lines", "n_lines"),
             "base_failed": (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")),
         }
     )
@@ -123,7 +143,7 @@ def quality_rules(
     return rated.withColumn("failed_rules", F.array_join(failed, ",")).select(
         F.col("id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("failed_rules") == "")).alias("kept"),
-        "n_lines", "n_stop_words", "failed_rules",
+        "n_lines", "n_stop_words", "n_alpha_words", "n_latin_words", "n_bullet_lines", "n_ellipsis_lines", "failed_rules",
     )
 
 
