@@ -33,7 +33,6 @@ SEASON_MONTHS = [
     ("Fall", (9, 10, 11)),
 ]
 DAY_NAMES = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
-WEEKEND_DAYS = ["Saturday", "Sunday"]
 MONTH_LABELS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
 
