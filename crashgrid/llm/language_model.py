@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scratch, byte_chunks, texts_of
+from .shared import Scratch, byte_chunks
 
 END = b"\n"  # no word: words hold no white space
 UNSEEN, END_CLASS = 0, 1
@@ -42,24 +41,41 @@ TOKENS_PER_SHARD = 2_000_000
 ROUNDS = 4
 
 
-def count_words(docs: DataFrame, text_col: str, flush: int = 400_000) -> DataFrame:
-    """(word, n) over all rows, the end of each included; tasks add up first."""
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts one after another, A-Z in lower case, and how many
+    each text has; a null text has none."""
+    split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(pa.compute.fill_null(texts, "")))
+    pieces = split.flatten()
+    # white space at either end of a text leaves an empty piece
+    real = pa.compute.not_equal(pa.compute.binary_length(pieces), 0)
+    up_to = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False))])
+    ends = np.cumsum(split.value_lengths().to_numpy(zero_copy_only=False))
+    return pieces.filter(real).cast(pa.binary()), np.diff(up_to[np.concatenate([[0], ends])])
+
+
+def count_words(docs: DataFrame, text_col: str, flush: int = 400_000, most_bytes: int = 64 << 20) -> DataFrame:
+    """(word, n) over all rows, the end of each included; tasks add up first. A
+    task adds up when it holds twice ``flush`` rows or ``most_bytes``, and passes
+    on what is then more than ``flush`` or half of ``most_bytes``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter = Counter()
+        held, ends = [], 0
 
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+        def added() -> pa.Table:
+            told = pa.concat_tables(held).group_by("word", use_threads=False).aggregate([("n", "sum")])
+            return told.select(["word", "n_sum"]).rename_columns(["word", "n"])
 
         for part in byte_chunks(batches, 0):
-            for text in texts_of(part.column(0)):
-                seen.update(text.lower().split())
-                seen[END] += 1
-            if len(seen) > flush:
-                yield out()
-                seen = Counter()
-        if seen:
-            yield out()
+            found = words_of(part.column(0))[0].value_counts()
+            held.append(pa.table({"word": found.field("values"), "n": found.field("counts")}))
+            ends += part.num_rows
+            if sum(x.num_rows for x in held) > 2 * flush or sum(x.nbytes for x in held) > most_bytes:
+                held = [added()]
+                if held[0].num_rows > flush or held[0].nbytes > most_bytes // 2:
+                    yield from held.pop().to_batches()
+        if ends:
+            held.append(pa.table({"word": pa.array([END], pa.binary()), "n": pa.array([ends], pa.int64())}))
+            yield from added().to_batches()
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "word binary, n long")
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
@@ -92,9 +108,17 @@ class Lexicon:
     def ending(self, word: bytes) -> int:
         return int(self.ending_class[ending_key(word, len(self.ending_class))])
 
+    def ending_classes(self, words: pa.Array) -> np.ndarray:
+        """The class of each word's ending; looked up once per ending."""
+        endings = pa.compute.binary_slice(words, -ENDING).dictionary_encode()
+        of = np.array([self.ending(x) for x in endings.dictionary.to_pylist()], np.int64)
+        return of[endings.indices.to_numpy(zero_copy_only=False)]
+
     def class_of(self) -> np.ndarray:
         """The class of each word of the index."""
-        out = np.array([END_CLASS if w == END else self.ending(w) for w in self.index], np.int64)
+        out = self.ending_classes(pa.array(list(self.index), pa.binary()))
+        if END in self.index:
+            out[self.index[END]] = END_CLASS
         own = [i for w, i in self.index.items() if w != END][: self.own]
         out[own] = np.arange(len(own)) + 2
         return out
@@ -171,7 +195,8 @@ class Vectors:
 
 
 class NoiseContrast:
-    """Stochastic steps with one set of noise classes per minibatch."""
+    """Stochastic steps with one set of noise classes per minibatch. A step reads
+    and writes only the rows of the classes it meets."""
 
     def __init__(self, v: Vectors, mass: np.ndarray, noise: int = 32, rate: float = 0.15, seed: int = 0):
         self.v, self.noise, self.rate = v, noise, rate
@@ -180,67 +205,140 @@ class NoiseContrast:
         self.cdf = np.cumsum(self.p)
         self.rng = np.random.default_rng(seed)
         self.sums = [np.full(x.shape, 1e-2, np.float32) for x in (v.last, v.earlier, v.target, v.bias)]
+        self.d_target = np.zeros(v.target.shape, np.float32)  # zero between steps
 
     def step(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray) -> None:
-        v, n = self.v, len(w)
-        drawn = np.minimum(np.searchsorted(self.cdf, self.rng.random(self.noise)), len(self.p) - 1)
-        q, target, fake = v.last[c1] + v.earlier[c2], v.target[w], v.target[drawn]
-        true = (q * target).sum(1) + v.bias[w] - self.log_noise[w]
-        false = q @ fake.T + (v.bias[drawn] - self.log_noise[drawn])
-        g = (1 / (1 + np.exp(np.clip(true, -30, 30)))).astype(np.float32)  # 1 - P(true | data)
-        h = (-1 / (1 + np.exp(-np.clip(false, -30, 30)))).astype(np.float32)
-        dq = g[:, None] * target + h @ fake
-        size = len(v.bias)
-        d_target, d_bias = _summed(w, g[:, None] * q, size), np.bincount(w, g, size).astype(np.float32)
-        np.add.at(d_target, drawn, h.T @ q)
+        self.learn(c1, c2, w, len(w))
+
+    def learn(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, batch: int, planned: int = 64) -> None:
+        """One step per ``batch`` tokens. Noise and the order in which rows are
+        added up do not depend on the vectors: they are found for ``planned``
+        steps at a time."""
+        whole = len(w) - len(w) % batch
+        cuts = [*range(0, whole, planned * batch), whole]
+        blocks = [(a, b, batch) for a, b in zip(cuts, cuts[1:])] + [(whole, len(w), len(w) - whole)]
+        for a, b, size in blocks:
+            if a < b:
+                x, y, z = (v[a:b].reshape(-1, size) for v in (c1, c2, w))
+                drawn = np.minimum(np.searchsorted(self.cdf, self.rng.random((len(x), self.noise))), len(self.p) - 1)
+                for planned_step in zip(x, y, z, drawn, _groups(x), _groups(y), _groups(z)):
+                    self._step(*planned_step)
+
+    def _step(self, c1: np.ndarray, c2: np.ndarray, w: np.ndarray, drawn: np.ndarray, by_c1: Groups, by_c2: Groups, by_w: Groups) -> None:
+        v, size = self.v, len(self.v.bias)
+        n, rate = np.float32(math.sqrt(len(w))), np.float32(self.rate)
+        q, target, fake = v.last.take(c1, 0), v.target.take(w, 0), v.target.take(drawn, 0)
+        q += v.earlier.take(c2, 0)
+        true = (q * target).sum(1)
+        true += v.bias.take(w)
+        true -= self.log_noise.take(w)
+        h = q @ fake.T
+        h += v.bias[drawn] - self.log_noise[drawn]
+        g = (1 / (1 + np.exp(_clipped(true)))).astype(np.float32)[:, None]  # 1 - P(true | data)
+        np.negative(_clipped(h), out=h)
+        np.exp(h, out=h)
+        h += 1
+        np.divide(-1, h, out=h)
+        dq = target
+        dq *= g
+        dq += h @ fake
+        self.d_target[by_w.told] = by_w.sums(g * q)
+        np.add.at(self.d_target, drawn, h.T @ q)
+        met = np.zeros(size, bool)
+        met[by_w.told] = met[drawn] = True
+        met = np.flatnonzero(met)
+        d_target = self.d_target.take(met, 0)
+        self.d_target[met] = 0
+        for x, s, rows, d in zip((v.last, v.earlier, v.target), self.sums, (by_c1.told, by_c2.told, met), (by_c1.sums(dq), by_c2.sums(dq), d_target)):
+            d /= n
+            now = s.take(rows, 0)
+            now += d * d
+            s[rows] = now
+            d *= rate
+            d /= np.sqrt(now, out=now)
+            d += x.take(rows, 0)
+            x[rows] = d
+        d_bias = np.bincount(w, g[:, 0], size).astype(np.float32)
         np.add.at(d_bias, drawn, h.sum(0))
-        for x, s, d in zip((v.last, v.earlier, v.target, v.bias), self.sums, (_summed(c1, dq, size), _summed(c2, dq, size), d_target, d_bias)):
-            d = d / math.sqrt(n)
-            s += d * d
-            x += self.rate * d / np.sqrt(s)
+        d_bias /= n
+        self.sums[3] += d_bias * d_bias
+        d_bias *= rate
+        d_bias /= np.sqrt(self.sums[3])
+        v.bias += d_bias
+
+
+def _clipped(x: np.ndarray) -> np.ndarray:
+    """``x`` itself, between -30 and 30."""
+    np.maximum(x, -30, out=x)
+    return np.minimum(x, 30, out=x)
+
+
+@dataclass
+class Groups:
+    """The indices of a step, and how its rows are added up by them."""
+
+    told: np.ndarray  # the indices that occur, ascending
+    first: np.ndarray  # of each, its first row
+    several: np.ndarray  # all rows of indices that occur more than once, in the order of these
+    starts: np.ndarray  # where each of these begins in ``several``
+    again: np.ndarray  # and in ``told``
+
+    def sums(self, rows: np.ndarray) -> np.ndarray:
+        """The sum of the rows of each index."""
+        out = rows.take(self.first, 0)
+        if len(self.starts):
+            out[self.again] = np.add.reduceat(np.ascontiguousarray(rows.take(self.several, 0).T), self.starts, axis=1).T
+        return out
 
 
-def _summed(index: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """Rows added up by index."""
-    order = np.argsort(index, kind="stable")
-    index = index[order]
-    heads = np.flatnonzero(np.r_[True, index[1:] != index[:-1]])
-    out = np.zeros((size, rows.shape[1]), np.float32)
-    out[index[heads]] = np.add.reduceat(rows[order], heads, axis=0)
-    return out
+def _groups(index: np.ndarray) -> Iterator[Groups]:
+    """The groups of each line of ``index``."""
+    lines, size = index.shape
+    # numpy sorts 16 bits by radix, and more slowly what has more
+    order = np.argsort(index.astype(np.uint16) if index.max() < 1 << 16 else index, axis=1, kind="stable")
+    ranked, order = np.take_along_axis(index, order, 1), order.reshape(-1)
+    ends = np.ones((lines, size + 1), bool)
+    np.not_equal(ranked[:, 1:], ranked[:, :-1], out=ends[:, 1:-1])
+    begins, ends = ends[:, :-1], ends[:, 1:]
+    repeated = ~(begins & ends)
+    cuts = lambda counts: np.concatenate([[0], np.cumsum(counts)])
+    of_told, of_several, of_starts = cuts(begins.sum(1)), cuts(repeated.sum(1)), cuts((repeated & begins).sum(1))
+    heads, several = np.flatnonzero(begins), np.flatnonzero(repeated)
+    told, first = ranked.reshape(-1)[heads], order[heads]
+    starts = np.flatnonzero(begins.reshape(-1)[several])
+    line = several[starts] // size
+    starts -= of_several[line]
+    again = np.flatnonzero(repeated.reshape(-1)[heads]) - of_told[line]
+    several = order[several]
+    for a, b, c, d, e, f in zip(of_told, of_told[1:], of_several, of_several[1:], of_starts, of_starts[1:]):
+        yield Groups(told[a:b], first[a:b], several[c:d], starts[e:f], again[e:f])
 
 
 class Reader:
-    """Texts as known words and classes; endings are looked up once per ending."""
+    """Texts as known words and classes."""
 
     def __init__(self, lex: Lexicon):
-        self.index, self.class_of = lex.index, np.append(lex.class_of(), 0)
-        self.lex, self.endings = lex, {}
-
-    def ending(self, word: bytes) -> int:
-        end = word[-ENDING:]
-        found = self.endings.get(end)
-        if found is None:
-            if len(self.endings) > 200_000:
-                self.endings.clear()
-            found = self.endings[end] = self.lex.ending(end)
-        return found
-
-    def read(self, texts: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
-        """Tokens of all texts, each text's end included; the known word of each
-        (or -1); its class; the position of each text's first token."""
-        tokens: list[bytes] = []
-        first = np.empty(len(texts), np.int64)
-        for i, text in enumerate(texts):
-            first[i] = len(tokens)
-            tokens += text.lower().split()
-            tokens.append(END)
-        get = self.index.get
-        known = np.fromiter((get(t, -1) for t in tokens), np.int64, len(tokens))
+        self.lex, self.class_of = lex, np.append(lex.class_of(), UNSEEN)
+        self.words, self.end = pa.array(list(lex.index), pa.binary()), lex.index.get(END, -1)
+
+    def read(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]:
+        """Of the tokens of all texts, each text's end included: those that are no
+        known words; the known word of each (or -1); its class; the position of
+        each text's first token."""
+        words, counts = words_of(texts)
+        last = np.cumsum(counts + 1) - 1
+        listed = pa.compute.fill_null(pa.compute.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        at = np.arange(len(words)) + np.repeat(np.arange(len(counts)), counts)
+        known = np.full(len(words) + len(counts), self.end, np.int64)
+        known[at] = listed
         classes = self.class_of[known]
-        rest = np.flatnonzero(known < 0)
-        classes[rest] = [UNSEEN if tokens[k] == END else self.ending(tokens[k]) for k in rest.tolist()]
-        return tokens, known, classes, first
+        strange = np.flatnonzero(listed < 0)
+        rest, at = words.take(pa.array(strange)), at[strange]
+        if self.end < 0:  # nothing was counted, so that the ends are not known either
+            order = np.argsort(np.concatenate([at, last]), kind="stable")
+            rest, at = pa.concat_arrays([rest, pa.array([END] * len(last), pa.binary())]).take(pa.array(order)), np.arange(len(known))
+        classes[at] = self.lex.ending_classes(rest)
+        return rest, known, classes, last - counts
 
 
 def _contexts(classes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -262,12 +360,10 @@ def class_rows(docs: DataFrame, text_col: str, lex: Lexicon, shards: int, rounds
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(lex)
         for part in byte_chunks(batches, 0):
-            _, _, classes, first = reader.read(texts_of(part.column(0)))
-            ends = np.append(first[1:], len(classes)).tolist()
-            told = classes.astype("<u2")
-            yield pa.RecordBatch.from_arrays(
-                [part.column(1), pa.array([told[a:b].tobytes() for a, b in zip(first.tolist(), ends)], pa.binary())], names=["place", "classes"]
-            )
+            _, _, classes, first = reader.read(part.column(0))
+            bounds, told = np.append(first, len(classes)) * 2, classes.astype("<u2")
+            told = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(bounds.astype(np.int32)), pa.py_buffer(told)])
+            yield pa.RecordBatch.from_arrays([part.column(1), told], names=["place", "classes"])
 
     text = F.coalesce(F.col(text_col), F.lit(""))
     named = [F.col(id_col)] if id_col in docs.columns else []
@@ -318,9 +414,7 @@ def _learn(now: Vectors, sums: Vectors | None, mass: np.ndarray, round_: int, ba
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             c1, c2 = _contexts(classes, np.cumsum(lengths) - lengths)
             order = learner.rng.permutation(len(classes))
-            for at in range(0, len(order), batch):
-                some = order[at : at + batch]
-                learner.step(c1[some], c2[some], classes[some])
+            learner.learn(c1[order], c2[order], classes[order], batch)
             held, size = [], 0
 
         def done() -> None:
@@ -386,30 +480,32 @@ def scan(docs: DataFrame, lex: Lexicon, tables: Tables) -> DataFrame:
         within = np.append(np.log10((counts + 0.5) / class_mass[of]), 0.0)
         row = TaskContext.get().partitionId() << 40
         for part in byte_chunks(batches, 1):
-            tokens, known, classes, first = reader.read(texts_of(part.column(1)))
+            words, known, classes, first = reader.read(part.column(1))
             c1, c2 = _contexts(classes, first)
             log_p = tables.log_p(c1, c2, classes) / math.log(10) + within[known]
-            ends = np.append(first[1:], len(tokens))
+            ends = np.append(first[1:], len(known))
             unknown = np.flatnonzero(known < 0)
-            if_seen = (log_p[unknown] - np.log10(class_mass[classes[unknown]])).tolist()
-            if_not = (tables.log_p(c1[unknown], c2[unknown], np.full(len(unknown), UNSEEN)) / math.log(10)).tolist()
+            if_seen = log_p[unknown] - np.log10(class_mass[classes[unknown]])
+            if_not = tables.log_p(c1[unknown], c2[unknown], np.full(len(unknown), UNSEEN)) / math.log(10)
             log_p[unknown] = 0.0
-            cuts = np.searchsorted(unknown, first).tolist() + [len(unknown)]
-            at = unknown.tolist()
-            rest: list[list[dict]] = [[] for _ in first]
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                found: dict[bytes, list] = {}
-                for k in range(a, b):
-                    x = found.setdefault(tokens[at[k]], [0, 0.0, 0.0])
-                    x[0], x[1], x[2] = x[0] + 1, x[1] + if_seen[k], x[2] + if_not[k]
-                rest[i] = [{"word": w, "times": n, "seen": s, "unseen": u} for w, (n, s, u) in found.items()]
-            kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64()), ("seen", pa.float64()), ("unseen", pa.float64())]))
+            # the pairs of a text and a word, numbered in ascending order
+            words = words.dictionary_encode()
+            text = np.searchsorted(first, unknown, side="right") - 1
+            pairs, of = np.unique(text * (len(words.dictionary) + 1) + words.indices.to_numpy(zero_copy_only=False), return_inverse=True)
+            text, word = np.divmod(pairs, len(words.dictionary) + 1)
+            fields = [
+                words.dictionary.take(pa.array(word)), pa.array(np.bincount(of, minlength=len(pairs))),
+                pa.array(np.bincount(of, if_seen, len(pairs))), pa.array(np.bincount(of, if_not, len(pairs))),
+            ]
+            rest = pa.ListArray.from_arrays(
+                np.searchsorted(text, np.arange(len(first) + 1)).astype(np.int32), pa.StructArray.from_arrays(fields, ["word", "times", "seen", "unseen"])
+            )
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column(0), pa.array(np.arange(row, row + len(first))), pa.array(ends - first),
                     pa.array(np.add.reduceat(known >= 0, first).astype(np.int64)),
                     pa.array(np.add.reduceat(base[known], first)), pa.array(np.add.reduceat(log_p, first)),
-                    pa.array(rest, kind),
+                    rest,
                 ],
                 names=["id", "row", "n_tokens", "n_known", "base_score", "score", "rest"],
             )

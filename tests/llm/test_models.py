@@ -1,11 +1,13 @@
 """Trained operators: exact parts against brute force, the rest on held-out rows."""
 
 import math
+import time
 import zlib
 from collections import Counter
 from itertools import product
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crashgrid.llm import langid, language_model, toxicity
@@ -291,6 +293,71 @@ def test_noise_contrast_learns_what_follows():
     assert p.min() > 0.6
 
 
+def test_a_step_costs_by_the_classes_it_meets():
+    def seconds(classes):
+        learner = language_model.NoiseContrast(language_model.Vectors.start(np.ones(classes), 24), np.ones(classes))
+        met = np.random.default_rng(3).integers(classes - 300, classes, (3, 512))
+        spent = []
+        for _ in range(4):
+            start = time.process_time()
+            for _ in range(20):
+                learner.step(*met)
+            spent.append(time.process_time() - start)
+        return min(spent)
+
+    assert seconds(70_000) < 12 * seconds(1_500)
+
+
+def test_planned_steps_equal_plain_steps():
+    rng, mass = np.random.default_rng(5), 1000 / np.arange(1.0, 41)
+    told = np.minimum(rng.geometric(0.1, (3, 500)) - 1, 39)
+    made = [language_model.NoiseContrast(language_model.Vectors.start(mass, 6), mass, seed=2) for _ in range(2)]
+    made[0].learn(*told, 64, planned=3)  # seven steps and one of 52
+    x, draws = made[1], np.random.default_rng(2)
+    for at in range(0, 500, 64):
+        c1, c2, w = told[:, at : at + 64]
+        v, drawn = x.v, np.searchsorted(x.cdf, draws.random(x.noise))
+        d = [np.zeros(y.shape) for y in (v.last, v.earlier, v.target, v.bias)]
+        for a, b, c in zip(c1, c2, w):
+            q, back = v.last[a].astype(float) + v.earlier[b], 0.0
+            for k, true in [(c, True), *((k, False) for k in drawn)]:
+                p = 1 / (1 + math.exp(-(q @ v.target[k] + v.bias[k] - x.log_noise[k])))
+                d[2][k] += (true - p) * q
+                d[3][k] += true - p
+                back = back + (true - p) * v.target[k]
+            d[0][a] += back
+            d[1][b] += back
+        for y, s, g in zip((v.last, v.earlier, v.target, v.bias), x.sums, d):
+            g /= math.sqrt(len(w))
+            s += g * g
+            y += x.rate * g / np.sqrt(s)
+    assert np.allclose(made[0].v.flat(), x.v.flat(), atol=2e-5)
+    assert np.allclose(language_model.Vectors(*made[0].sums).flat(), language_model.Vectors(*x.sums).flat(), rtol=1e-3)
+
+
+def test_words_are_counted_and_read_as_split(spark):
+    L = language_model
+    every = "".join(f"{chr(i)}B" for i in range(400))
+    texts = [None, "", " \t\n", "a", " a\x0bB  a\x1cA\x85\u00a0\u3000c ", every, "É é ÉA", "x" * 70, None]
+    texts += [f" w{i % 7} W{i} END\n" for i in range(50)]
+    split = [(t or "").encode().lower().split() for t in texts]
+    words, counts = L.words_of(pa.array(texts))
+    assert words.to_pylist() == [w for ws in split for w in ws] and counts.tolist() == [len(ws) for ws in split]
+    want = Counter(w for ws in split for w in [*ws, L.END])
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    for flush, most in ((400_000, 64 << 20), (1, 64 << 20), (400_000, 40)):
+        assert {bytes(r.word): r.n for r in L.count_words(frame, "text", flush, most).collect()} == want
+    lex = L.lexicon(L.count_words(frame, "text"), known=40)
+    assert 0 < len(lex.index) < len(want)
+    classes = dict(zip(lex.index, lex.class_of().tolist()))
+    rest, known, got, first = L.Reader(lex).read(pa.array(texts))
+    tokens = [w for ws in split for w in [*ws, L.END]]
+    assert known.tolist() == [lex.index.get(w, -1) for w in tokens]
+    assert rest.to_pylist() == [w for w in tokens if w not in lex.index]
+    assert got.tolist() == [classes[w] if w in classes else lex.ending(w) for w in tokens]
+    assert first.tolist() == np.cumsum([0, *(len(ws) + 1 for ws in split)])[:-1].tolist()
+
+
 def test_language_model_cases(spark):
     rows = [(1, "A b c"), (1, "A b c"), (2, None), (None, ""), (3, "a " * 50_000), (4, "x" * 200 + " unseen")]
     docs = spark.createDataFrame([(*r, "k") for r in rows], "doc_id long, text string, word string")
